@@ -1,11 +1,18 @@
 """Joins that hold up when one key owns a large share of the rows."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _SLOT = "_slot"
 
 
+def with_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows that have every key."""
+    return rows.filter(reduce(Column.__and__, [F.col(k).isNotNull() for k in keys]))
+
+
 def keyed_join(
     fact: DataFrame,
     side: DataFrame,
@@ -23,8 +30,8 @@ def keyed_join(
     """
     renamed = {k: f"_side_{k}" for k in keys}
     if how in ("inner", "left_semi"):  # rows that cannot match need no shuffle
-        fact = fact.dropna(subset=keys)
-    side = side.dropna(subset=keys)
+        fact = with_keys(fact, keys)
+    side = with_keys(side, keys)
     right = side.withColumnsRenamed(renamed).withColumn(f"_side{_SLOT}", F.xxhash64(*renamed.values()))
     left = fact.withColumn(_SLOT, F.xxhash64(*keys))
     on = F.col(_SLOT) == F.col(f"_side{_SLOT}")

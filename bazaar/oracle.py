@@ -187,7 +187,7 @@ SELECT l.order_id, l.line_number, c.customer_key, l.product_id,
        l.local_day AS order_date_baku, l.quantity, l.unit_price, l.currency,
        CASE WHEN l.currency = 'AZN' THEN 1::DECIMAL(12, 6) ELSE r.rate_azn END AS rate_azn,
        l.quantity * l.unit_price AS gross_amount,
-       l.quantity * l.unit_price
+       (l.quantity * l.unit_price)::DECIMAL(25, 6)
            * CASE WHEN l.currency = 'AZN' THEN 1::DECIMAL(12, 6) ELSE r.rate_azn END AS gross_amount_azn,
        coalesce(s.final_status, l.status) AS final_status,
        coalesce(s.final_status, l.status) NOT IN ('CANCELLED', 'REFUNDED') AS is_recognized
@@ -215,11 +215,20 @@ DIM_COLUMNS = f"""customer_key, customer_id, full_name, country, segment, {_day(
 EVENT_LATE = "event_ts >= TIMESTAMP '2024-01-20' OR op <> 'd'"
 EARLY = "TIMESTAMP '2025-06-01'"
 
-# Lines an early run had: the same verdict, but duplicates are judged among the early versions only.
-PARTS["early_items"] = f"""
-SELECT items.* EXCLUDE (place),
-       dense_rank() OVER (PARTITION BY order_id ORDER BY updated_at DESC) AS early_place
-FROM items WHERE updated_at < {EARLY}
+# The staged lines of a run that had seen only the early documents.
+PARTS["early_versions"] = f"""
+SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY updated_at DESC) AS place
+FROM docs WHERE updated_at < {EARLY}
+"""
+PARTS["early_items"] = PARTS["items"].replace("FROM versions", "FROM early_versions")
+PARTS["early_staged"] = PARTS["staged_lines"].replace("FROM items", "FROM early_items")
+PARTS["changed"] = """
+SELECT DISTINCT order_id FROM staged_lines
+WHERE updated_at > (SELECT max(updated_at) FROM early_staged WHERE reason_code IS NULL)
+"""
+PARTS["changed_rejects"] = """
+SELECT DISTINCT order_id FROM staged_lines
+WHERE updated_at > (SELECT max(updated_at) FROM early_staged WHERE reason_code IS NOT NULL)
 """
 
 SQL: dict[str, str] = {
@@ -278,7 +287,7 @@ SQL: dict[str, str] = {
     "dim_customer_scd2": f"SELECT {DIM_COLUMNS} FROM dim_customer",
     "dim_customer_first_last": """
         WITH old AS (SELECT * FROM snapshots WHERE n = 1), new AS (SELECT * FROM snapshots WHERE n = 3),
-        versions AS (
+        merged AS (
             SELECT o.customer_id, o.full_name, o.country, o.segment, o.signup_date, DATE '2020-01-01' AS valid_from,
                    CASE WHEN w.customer_id IS NULL OR row(o.full_name, o.country, o.segment, o.signup_date)
                         IS DISTINCT FROM row(w.full_name, w.country, w.segment, w.signup_date)
@@ -292,7 +301,7 @@ SQL: dict[str, str] = {
         SELECT md5(customer_id || ':' || valid_from) AS customer_key, customer_id, full_name, country, segment,
                strftime(signup_date, '%Y-%m-%d') AS signup_date, strftime(valid_from, '%Y-%m-%d') AS valid_from,
                strftime(valid_to, '%Y-%m-%d') AS valid_to, valid_to IS NULL AS is_current
-        FROM versions""",
+        FROM merged""",
     "scd2_interval_join": f"""
         SELECT o_orderkey, o.customer_id, segment, {_day('valid_from')} AS valid_from
         FROM (SELECT o_orderkey, 'C' || o_custkey AS customer_id, o_orderdate::DATE + 9500 AS day FROM orders) o
@@ -431,6 +440,25 @@ SQL: dict[str, str] = {
         SELECT table_name, check_name, failures::BIGINT AS failures, failures = 0 AS passed FROM results""",
     "incremental_by_event": f"SELECT {STATUS_COLUMNS} FROM history WHERE {EVENT_LATE}",
     "incremental_keep_late": f"SELECT {STATUS_COLUMNS} FROM history",
+    "incremental_by_order": f"""
+        WITH batch AS (SELECT * FROM lines WHERE order_id IN (SELECT order_id FROM changed))
+        SELECT {LINE_COLUMNS} FROM batch
+        UNION ALL
+        SELECT {LINE_COLUMNS} FROM early_staged e WHERE reason_code IS NULL AND NOT EXISTS (
+            SELECT 1 FROM batch b WHERE b.order_id = e.order_id AND b.line_number = e.line_number)""",
+    "incremental_rejected": """
+        WITH rejects AS (
+            SELECT md5(order_id || ':' || line_number || ':' || reason_code) AS id, * FROM staged_lines
+            WHERE reason_code IS NOT NULL AND order_id IN (SELECT order_id FROM changed_rejects)),
+        kept AS (
+            SELECT md5(order_id || ':' || line_number || ':' || reason_code) AS id, * FROM early_staged
+            WHERE reason_code IS NOT NULL)
+        SELECT id AS quarantine_id, 'silver_order_lines' AS source, reason_code, order_id AS payload_order_id,
+               product_id AS payload_product_id, 12::BIGINT AS payload_fields
+        FROM (SELECT * FROM rejects UNION ALL SELECT * FROM kept WHERE id NOT IN (SELECT id FROM rejects))""",
+    "incremental_fact": """
+        SELECT order_id, line_number::BIGINT AS line_number, customer_key,
+               gross_amount_azn::DOUBLE AS gross_amount_azn, final_status FROM fact""",
     "upsert_delete_insert": f"""
         SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, {_ts('o_orderdate')} AS o_orderdate
         FROM orders, (VALUES (1), (2)) AS twice(t) WHERE o_orderpriority = '1-URGENT'
@@ -463,11 +491,27 @@ SQL: dict[str, str] = {
                    AS country, segment, strftime(signup_date, '%Y-%m-%d') AS signup_date,
                strftime(updated_at, '%Y-%m-%dT%H:%M:%SZ') AS updated_at,
                strftime(snapshot_date, '%Y-%m-%d') AS snapshot_date FROM custs""",
+    "src_products_csv": """
+        SELECT product_id, product_name,
+               CASE p_partkey % 31 WHEN 5 THEN '  ' WHEN 6 THEN '' ELSE p_type END AS category,
+               CASE WHEN p_partkey % 37 = 4 THEN '-5.00' WHEN p_partkey % 41 = 6 THEN ''
+                    ELSE format('{:,.2f}', p_retailprice) END AS unit_price,
+               CASE WHEN p_partkey % 43 = 7 THEN 'AZM'
+                    ELSE ['azn', ' USD', 'EUR', 'Try '][p_partkey % 4 + 1] END AS currency,
+               strftime(updated_at, '%Y-%m-%dT%H:%M:%SZ') AS updated_at
+        FROM prods JOIN part USING (p_partkey)""",
     "src_optional": "SELECT n_name AS value FROM nation",
     "src_event_lines": """
         SELECT count(*) + count(*) FILTER (event_id % 50 = 7) + count(*) FILTER (event_id % 211 = 3)
                + count(*) FILTER (event_id % 211 = 3 AND event_id % 50 = 7) AS line_count, true AS numbered
         FROM events""",
+    "ndjson_split": """
+        WITH written AS (
+            SELECT e.op FROM event_docs e
+            UNION ALL SELECT CASE WHEN event_id % 211 = 3 THEN 'd' WHEN event_type = 'view' THEN 'c' ELSE 'u' END
+            FROM events WHERE event_id % 50 = 7)
+        SELECT 'event' AS kind, op, count(*) AS row_count FROM written GROUP BY 2
+        UNION ALL SELECT 'quarantine', NULL, count(*) FROM written WHERE op = 'd' HAVING count(*) > 0""",
     "audit_columns": """
         SELECT count(*) AS row_count, count(*) AS record_ids, 1::BIGINT AS batches, 'orders_api' AS source,
                'orders_1995-01-01_2002-01-01' AS load_id FROM orders""",
@@ -481,6 +525,7 @@ SQL: dict[str, str] = {
         SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS row_count, sum(event_id)::BIGINT AS ids
         FROM events GROUP BY 1""",
     "export_csv": "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY 1",
+    "stream_events": f"SELECT {STATUS_COLUMNS} FROM event_docs",
     "stream_latest_status": f"""
         SELECT order_id, op, new_status, {_ts('event_ts')} AS event_ts FROM event_docs
         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY event_ts DESC) = 1""",

@@ -12,7 +12,7 @@ from bazaar import standin
 from bazaar.operators import dedup, joins, quality, rules, upsert
 from bazaar.plans import gold, governance, incremental, reports, silver, staging
 from bazaar.schemas import CURRENCIES, EVENT_DOC, ORDER_DOC
-from bazaar.session import settle, workspace
+from bazaar.session import settle, shared_root, workspace
 from bazaar.sources import landed, sinks
 from bazaar.streaming import events as streaming
 
@@ -44,6 +44,28 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+# Bronze tables written in this application, by (application, work folder, data folder, table).
+_LANDED: dict[tuple[str, str, str, str], tuple[str, T.StructType]] = {}
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, short lineage, survives lost executors."""
+    path = workspace(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A bronze table, landed on first use as the loaders land the feeds: even files in the shared folder."""
+    key = (spark.sparkContext.applicationId, shared_root(spark), sf_dir, name)
+    if key not in _LANDED:
+        rows, path = getattr(standin, name)(spark, sf_dir), workspace(spark, name)
+        rows.hint("rebalance").write.parquet(path)
+        _LANDED[key] = path, rows.schema
+    path, schema = _LANDED[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 class Inputs:
     """The layers over one data folder, built lazily and only where a query asks."""
 
@@ -56,7 +78,7 @@ class Inputs:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("bronze_"):
-            frame = getattr(standin, name)(self.spark, self.sf_dir)
+            frame = land(self.spark, self.sf_dir, name)
             self.__dict__[name] = frame
             return frame
         raise AttributeError(name)
@@ -65,6 +87,11 @@ class Inputs:
     def staged_lines(self) -> DataFrame:
         return staging.order_lines(self.bronze_orders, self.bronze_customers, self.bronze_products)
 
+    def share_staged_lines(self) -> "Inputs":
+        """For plans that read the staged lines more than once: write them and read them back."""
+        self.staged_lines = stored(self.staged_lines, "staged_lines")
+        return self
+
     @cached_property
     def staged_customers(self) -> DataFrame:
         return staging.customers(self.bronze_customers)
@@ -111,6 +138,7 @@ class Inputs:
 
     @cached_property
     def fact(self) -> DataFrame:
+        self.share_staged_lines()
         return gold.fct_order_lines(self.lines, self.rates, self.reconciliation, self.dates, self.dim_customer)
 
     @cached_property
@@ -392,8 +420,9 @@ def fct_status_events(i: Inputs) -> DataFrame:
 
 @query
 def report_reconciliation(i: Inputs) -> DataFrame:
+    fact = i.fact
     rejects = i.staged_lines.filter(F.col("reason_code").isNotNull())
-    return reports.reconciliation_summary(i.bronze_orders, i.lines, rejects, i.fact)
+    return reports.reconciliation_summary(i.bronze_orders, i.lines, rejects, fact)
 
 
 @query
@@ -427,6 +456,7 @@ def report_lead_time(i: Inputs) -> DataFrame:
 @query
 def dq_checks(i: Inputs) -> DataFrame:
     """The declared checks over staged and plain tables; some fail on purpose."""
+    fact = stored(i.fact, "fact")
     lines, products, customers = i.lines, silver.products(i.staged_products), i.dim_customer
     now = F.lit(standin.LANDED_AT).cast("timestamp") + F.expr("interval 7 days")
     return quality.all_results(
@@ -447,8 +477,8 @@ def dq_checks(i: Inputs) -> DataFrame:
             quality.run_row_checks("gold.dim_customer", customers, [quality.not_null("customer_key"), quality.not_null("valid_to")]),
             quality.relationship("gold.fct_order_lines", lines, "product_id", i.dim_product, "product_id"),
             quality.relationship("staging.order_lines", i.staged_lines, "product_id", i.dim_product, "product_id"),
-            quality.same_count("gold.fct_order_lines", "grain", i.fact, lines),
-            quality.run_row_checks("gold.fct_order_lines", i.fact, [quality.not_null("gross_amount_azn")]),
+            quality.same_count("gold.fct_order_lines", "grain", fact, lines),
+            quality.run_row_checks("gold.fct_order_lines", fact, [quality.not_null("gross_amount_azn")]),
         ]
     )
 
@@ -493,7 +523,8 @@ def incremental_rejected(i: Inputs) -> DataFrame:
 @query
 def incremental_fact(i: Inputs) -> DataFrame:
     """Fact of an early run, brought up to date by the two cursors."""
-    early_staged = _early_lines(i)
+    i.share_staged_lines()
+    early_staged = stored(_early_lines(i), "early_lines")
     early_lines = silver.order_lines(early_staged)
     early_history = i.history.filter(F.col("event_ts") < F.lit(EVENT_CUT).cast("timestamp"))
     early_status = silver.status_reconciliation(early_staged, early_history)
@@ -589,10 +620,15 @@ def _snapshot_files(i: Inputs) -> str:
     columns = staging.CUSTOMER[:-1]
     for day in standin.SNAPSHOT_DAYS:
         rows = i.bronze_customers.filter(F.col("snapshot_date") == day).select(*columns)
-        rows.write.option("header", True).csv(f"{path}/customers_snapshot_{day}.csv")
+        _write_csv(rows, f"{path}/customers_snapshot_{day}.csv")
     return path
 
 
+def _write_csv(rows: DataFrame, path: str) -> None:
+    """Quoted where needed, blanks kept."""
+    rows.write.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 @query
 def src_customers_csv(i: Inputs) -> DataFrame:
     rows = landed.customers_csv(i.spark, f"{_snapshot_files(i)}/*.csv")
@@ -602,7 +638,7 @@ def src_customers_csv(i: Inputs) -> DataFrame:
 @query
 def src_products_csv(i: Inputs) -> DataFrame:
     path = workspace(i.spark, "products")
-    i.bronze_products.select(*staging.PRODUCT).write.option("header", True).csv(path)
+    _write_csv(i.bronze_products.select(*staging.PRODUCT), path)
     return landed.products_csv(i.spark, path)
 
 
@@ -622,7 +658,7 @@ def src_optional(i: Inputs) -> DataFrame:
 
 def _event_files(i: Inputs) -> str:
     """Event documents as NDJSON files, with a truncated copy of every tombstone line."""
-    path = workspace(i.spark, "events")
+    path = f"{workspace(i.spark, 'events')}/order_events_{standin.LANDED_AT[:10]}.ndjson"
     good = i.bronze_events.select("payload")
     erased = F.get_json_object("payload", "$.op") == "d"
     cut = good.filter(erased).select(F.expr("left(payload, length(payload) - 9)").alias("payload"))

@@ -25,9 +25,9 @@ def range_load_id(prefix: str, since: str, until: str) -> str:
     return f"{prefix}_{since}_{until}"
 
 
-def file_date(name: Column) -> Column:
-    """The date between the last '_' and the suffix of a file name."""
-    return F.regexp_extract(name, r"_([^_]*)\.[^.]*$", 1)
+def file_date(path: Column) -> Column:
+    """The day in `..._<day>.<suffix>`; the named thing may be a file or a folder of part files."""
+    return F.regexp_extract(path, r"_(\d{4}-\d{2}-\d{2})\.[^/]*(/[^/]*)?$", 1)
 
 
 def audited(rows: DataFrame, source: str, load_id: Column, batch_id: str) -> DataFrame:
@@ -89,7 +89,7 @@ def _text_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     """RFC 4180 rows by column name, all text. The reader gives null for an empty field; the feed means ''."""
     rows = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True, inferSchema=False)
     filled = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in schema.names]
-    return rows.select(*filled, F.col("_metadata.file_name").alias("_file"))
+    return rows.select(*filled, F.col("_metadata.file_path").alias("_file"))
 
 
 def customers_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -129,7 +129,7 @@ def event_lines(spark: SparkSession, path: str) -> DataFrame:
             "value",
             "_source_file",
             (F.col("_seq") + F.col("_add") + 1).cast("int").alias("_line_no"),
-            file_date(F.col("_source_file")).alias("file_date"),
+            file_date(F.col("_path")).alias("file_date"),
         )
     )
 

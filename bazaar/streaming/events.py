@@ -27,8 +27,11 @@ def malformed(lines: DataFrame) -> DataFrame:
 
 
 def once_each(events: DataFrame, lateness: str) -> DataFrame:
-    """Deliveries are at least once: repeats by id are dropped while they arrive within `lateness`."""
-    return events.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(["event_id"])
+    """Deliveries are at least once: repeats are dropped while they arrive within `lateness`.
+
+    A repeat is equal in every field, as in the batch form; on the id alone, events that lack one would merge.
+    """
+    return events.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(STATUS_EVENT)
 
 
 def _batch_sink(path: str):
