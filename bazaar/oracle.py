@@ -525,6 +525,24 @@ SQL: dict[str, str] = {
         SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS row_count, sum(event_id)::BIGINT AS ids
         FROM events GROUP BY 1""",
     "export_csv": "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY 1",
+    "medallion_run": """
+        SELECT 'bronze.orders' AS table_name, count(*) AS row_count FROM docs
+        UNION ALL SELECT 'bronze.customers', count(*) FROM custs
+        UNION ALL SELECT 'bronze.products', count(*) FROM prods
+        UNION ALL SELECT 'bronze.events', count(*) + count(*) FILTER (event_id % 50 = 7) FROM events
+        UNION ALL SELECT 'silver.order_lines', count(*) FROM lines
+        UNION ALL SELECT 'quarantine.order_lines', count(*) FROM staged_lines WHERE reason_code IS NOT NULL
+        UNION ALL SELECT 'silver.customers', count(*) FROM snapshots
+        UNION ALL SELECT 'quarantine.customers', count(*) FROM staged_customers WHERE reason_code IS NOT NULL
+        UNION ALL SELECT 'silver.products', count(*) FROM staged_products WHERE reason_code IS NULL
+        UNION ALL SELECT 'quarantine.products', count(*) FROM staged_products WHERE reason_code IS NOT NULL
+        UNION ALL SELECT 'silver.order_status_history', count(*) FROM history
+        UNION ALL SELECT 'quarantine.order_events', count(*) FROM staged_events WHERE reason_code IS NOT NULL
+        UNION ALL SELECT 'silver.order_status_reconciliation', count(*) FROM reconciled
+        UNION ALL SELECT 'gold.dim_customer', count(*) FROM dim_customer
+        UNION ALL SELECT 'gold.dim_product', count(*) FROM dim_product
+        UNION ALL SELECT 'gold.fct_order_lines', count(*) FROM fact
+        UNION ALL SELECT 'gold.fct_order_status_events', count(*) FROM history""",
     "stream_events": f"SELECT {STATUS_COLUMNS} FROM event_docs",
     "stream_latest_status": f"""
         SELECT order_id, op, new_status, {_ts('event_ts')} AS event_ts FROM event_docs

@@ -10,18 +10,15 @@ from bazaar.operators.upsert import replace_range
 LAYERS = ("bronze", "silver", "gold", "quarantine")
 
 
-def create_layers(spark: SparkSession, prefix: str = "") -> None:
+def create_layers(spark: SparkSession, root: str, prefix: str = "") -> None:
     for layer in LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {prefix}{layer} LOCATION '{root}/{layer}'")
 
 
-def write_version(df: DataFrame, root: str, table: str, partition_by: list[str] | None = None) -> str:
+def write_version(df: DataFrame, root: str, table: str) -> str:
     """Write to a folder of its own and return it; nothing that is being read is overwritten."""
     path = f"{root}/{table.replace('.', '/')}/v-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -29,11 +26,9 @@ def publish(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Point the catalog table at a finished version: readers see the old one or the new one, never a mix."""
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-        spark.sql(f"REFRESH TABLE {table}")
+        spark.catalog.refreshTable(table)
     else:
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
-    if spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = '# Partition Information'").count():
-        spark.sql(f"MSCK REPAIR TABLE {table}")
     return spark.table(table)
 
 
