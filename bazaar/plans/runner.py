@@ -1,5 +1,6 @@
 """One interval from feeds to gold: land, check, model, check, publish."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,9 @@ from bazaar.schemas import CURRENCIES
 from bazaar.sources import sinks
 
 
+WRITERS = 4
+
+
 @dataclass
 class Lake:
     """Tables of the four layers; data lives under `root`, database names get `prefix`."""
@@ -36,6 +40,11 @@ class Lake:
         self.pending[name] = sinks.write_version(rows, self.root, name)
         return self.spark.read.schema(rows.schema).parquet(self.pending[name])
 
+    def write_all(self, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write tables that do not read each other; their jobs share the cluster, a few at a time."""
+        with ThreadPoolExecutor(WRITERS) as pool:
+            return dict(zip(tables, pool.map(self.write, tables.keys(), tables.values())))
+
     def publish(self) -> None:
         """Point the tables at the versions written since the last publish."""
         for name, path in self.pending.items():
@@ -53,6 +62,7 @@ def land(lake: Lake, feeds: dict[str, DataFrame], since: str, until: str) -> Non
         "orders": (updated, F.lit(since).cast("timestamp"), F.lit(until).cast("timestamp")),
         "fx_rates": (F.col("rate_date"), F.lit(since), F.lit(until)),
     }
+    tables = {}
     for name, rows in feeds.items():
         table = f"bronze.{name}"
         if lake.has(table):
@@ -61,7 +71,8 @@ def land(lake: Lake, feeds: dict[str, DataFrame], since: str, until: str) -> Non
                 rows = replace_range(old, rows, *ranges[name])
             else:
                 rows = old.join(rows.select("_load_id").distinct(), "_load_id", "left_anti").unionByName(rows)
-        lake.write(table, rows)
+        tables[table] = rows
+    lake.write_all(tables)
     lake.publish()
 
 
@@ -75,26 +86,39 @@ def bronze_checks(lake: Lake, tables: list[str], now) -> DataFrame:
 def build_silver(lake: Lake, full_refresh: bool) -> None:
     """Stage once, write accepted and rejected rows, check them, then publish."""
     bronze = {t: lake.table(f"bronze.{t}") for t in ("orders", "customers", "products", "events")}
-    lines = lake.write(
-        "silver.stg_order_lines", staging.order_lines(bronze["orders"], bronze["customers"], bronze["products"])
+    staged = lake.write_all(
+        {
+            "silver.stg_order_lines": staging.order_lines(bronze["orders"], bronze["customers"], bronze["products"]),
+            "silver.stg_order_events": staging.order_events(bronze["events"], bronze["orders"]),
+            "silver.stg_customers": staging.customers(bronze["customers"]),
+            "silver.stg_products": staging.products(bronze["products"]),
+        }
     )
-    events = lake.write("silver.stg_order_events", staging.order_events(bronze["events"], bronze["orders"]))
-    customers = lake.write("silver.stg_customers", staging.customers(bronze["customers"]))
-    products = lake.write("silver.stg_products", staging.products(bronze["products"]))
+    lines, events, customers, products = staged.values()
 
-    def model(name: str, full, step, staged: DataFrame) -> DataFrame:
-        fresh = full_refresh or not lake.has(name)
-        return lake.write(name, full(staged) if fresh else step(staged, lake.table(name)))
+    def model(name: str, full, step, rows: DataFrame) -> DataFrame:
+        return full(rows) if full_refresh or not lake.has(name) else step(rows, lake.table(name))
 
-    order_lines = model("silver.order_lines", silver.order_lines, incremental.order_lines, lines)
-    model("quarantine.order_lines", silver.order_lines_rejected, incremental.order_lines_rejected, lines)
     history = model("silver.order_status_history", silver.status_history, incremental.status_history, events)
-    model("quarantine.order_events", silver.status_history_rejected, incremental.status_history_rejected, events)
-    clean_customers = lake.write("silver.customers", silver.customers(customers))
-    lake.write("quarantine.customers", silver.customers_rejected(customers))
-    clean_products = lake.write("silver.products", silver.products(products))
-    lake.write("quarantine.products", silver.products_rejected(products))
-    lake.write("silver.order_status_reconciliation", silver.status_reconciliation(lines, history))
+    history = lake.write("silver.order_status_history", history)
+    written = lake.write_all(
+        {
+            "silver.order_lines": model("silver.order_lines", silver.order_lines, incremental.order_lines, lines),
+            "quarantine.order_lines": model(
+                "quarantine.order_lines", silver.order_lines_rejected, incremental.order_lines_rejected, lines
+            ),
+            "quarantine.order_events": model(
+                "quarantine.order_events", silver.status_history_rejected, incremental.status_history_rejected, events
+            ),
+            "silver.customers": silver.customers(customers),
+            "quarantine.customers": silver.customers_rejected(customers),
+            "silver.products": silver.products(products),
+            "quarantine.products": silver.products_rejected(products),
+            "silver.order_status_reconciliation": silver.status_reconciliation(lines, history),
+        }
+    )
+    order_lines, clean_customers = written["silver.order_lines"], written["silver.customers"]
+    clean_products = written["silver.products"]
 
     not_null, one_of = quality.not_null, quality.accepted_values
     line_keys = ["order_id", "line_number"]
@@ -126,28 +150,29 @@ def build_silver(lake: Lake, full_refresh: bool) -> None:
 
 def build_gold(lake: Lake, first_day: str, last_day: str, full_refresh: bool, priced: bool = True) -> None:
     """Dimensions and facts, checked before they are published. `priced` also asks for an amount on every line."""
-    customers = lake.write("gold.dim_customer", gold.dim_customer(lake.table("silver.customers")))
-    products = lake.write("gold.dim_product", gold.dim_product(lake.table("silver.stg_products")))
-    dates = lake.write("gold.dim_date", gold.calendar(lake.spark, first_day, last_day))
+    dimensions = lake.write_all(
+        {
+            "gold.dim_customer": gold.dim_customer(lake.table("silver.customers")),
+            "gold.dim_product": gold.dim_product(lake.table("silver.stg_products")),
+            "gold.dim_date": gold.calendar(lake.spark, first_day, last_day),
+        }
+    )
+    customers, products, dates = dimensions.values()
     lines = lake.table("silver.order_lines")
-    fact = lake.write(
-        "gold.fct_order_lines",
-        gold.fct_order_lines(
+    all_events = gold.fct_order_status_events(lake.table("silver.order_status_history"), dates)
+    name = "gold.fct_order_status_events"
+    step_by_step = not full_refresh and lake.has(name)
+    facts = {
+        "gold.fct_order_lines": gold.fct_order_lines(
             lines,
             gold.fx_rates(lake.table("bronze.fx_rates")),
             lake.table("silver.order_status_reconciliation"),
             dates,
             customers,
         ),
-    )
-    all_events = gold.fct_order_status_events(lake.table("silver.order_status_history"), dates)
-    name = "gold.fct_order_status_events"
-    events = lake.write(
-        name,
-        all_events
-        if full_refresh or not lake.has(name)
-        else incremental.status_event_fact(all_events, lake.table(name)),
-    )
+        name: incremental.status_event_fact(all_events, lake.table(name)) if step_by_step else all_events,
+    }
+    fact, events = lake.write_all(facts).values()
     not_null = quality.not_null
     fact_checks = [not_null("order_id"), not_null("line_number")] + ([not_null("gross_amount_azn")] if priced else [])
     quality.gate(
