@@ -20,14 +20,23 @@ def latest_by(rows: DataFrame, keys: list[str], newest_by: list[str], ties: list
     return rows.groupBy(*keys).agg(top).select(*keys, "_top.*").select(*rows.columns)
 
 
-def mark_latest(rows: DataFrame, keys: list[str], newest_by: list[str], record_id: str, flag: str) -> DataFrame:
+def mark_latest(
+    rows: DataFrame,
+    keys: list[str],
+    newest_by: list[str],
+    record_id: str,
+    flag: str,
+    index: DataFrame | None = None,
+) -> DataFrame:
     """Keep every row and flag the newest of each key; equal times are decided by `record_id`.
 
     The winners are found by a narrow aggregate and joined back on `record_id`, which is unique, rather
-    than on the key. A key that holds a third of all rows therefore never meets in one task.
+    than on the key. A key that holds a third of all rows therefore never meets in one task. `index` may
+    give the key, time and id columns from a cheaper place than the rows themselves.
     """
     winners = (
-        rows.groupBy(*keys)
+        (rows if index is None else index)
+        .groupBy(*keys)
         .agg(F.max_by(record_id, recency(newest_by, record_id)).alias("_winner"))
         .select("_winner")
     )

@@ -31,7 +31,6 @@ def keyed_join(
     renamed = {k: f"_side_{k}" for k in keys}
     if how in ("inner", "left_semi"):  # rows that cannot match need no shuffle
         fact = with_keys(fact, keys)
-    side = with_keys(side, keys)
     right = side.withColumnsRenamed(renamed).withColumn(f"_side{_SLOT}", F.xxhash64(*renamed.values()))
     left = fact.withColumn(_SLOT, F.xxhash64(*keys))
     on = F.col(_SLOT) == F.col(f"_side{_SLOT}")

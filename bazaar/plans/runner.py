@@ -57,9 +57,8 @@ def land(lake: Lake, feeds: dict[str, DataFrame], since: str, until: str) -> Non
 
     `feeds` has the bronze rows of the interval; a feed that is missing that day is left out.
     """
-    updated = F.get_json_object("payload", "$.updated_at").cast("timestamp")
     ranges = {
-        "orders": (updated, F.lit(since).cast("timestamp"), F.lit(until).cast("timestamp")),
+        "orders": (F.col("_updated_at"), F.lit(since).cast("timestamp"), F.lit(until).cast("timestamp")),
         "fx_rates": (F.col("rate_date"), F.lit(since), F.lit(until)),
     }
     tables = {}

@@ -509,8 +509,7 @@ def incremental_keep_late(i: Inputs) -> DataFrame:
 
 def _early_bronze(i: Inputs) -> DataFrame:
     """The documents a run before the cut had seen."""
-    updated = F.get_json_object("payload", "$.updated_at").cast("timestamp")
-    return i.bronze_orders.filter(updated < F.lit(ORDER_CUT).cast("timestamp"))
+    return i.bronze_orders.filter(F.col("_updated_at") < F.lit(ORDER_CUT).cast("timestamp"))
 
 
 def _early_lines(i: Inputs) -> DataFrame:
@@ -614,10 +613,10 @@ def src_order_pages(i: Inputs) -> DataFrame:
         {"ignoreNullFields": "false"},
     )
     i.bronze_orders.select(page.alias("value")).write.text(path)
-    records = landed.order_slice(landed.order_pages(i.spark, path), "2021-01-01", "2024-01-01")
+    records = landed.order_slice(landed.promoted(landed.order_pages(i.spark, path)), "2021-01-01", "2024-01-01")
     return records.select(
-        F.get_json_object("payload", "$.order_id").alias("order_id"),
-        F.get_json_object("payload", "$.updated_at").cast("timestamp").alias("updated_at"),
+        F.col("_order_id").alias("order_id"),
+        F.col("_updated_at").alias("updated_at"),
         F.get_json_object("payload", "$.items[0].product_id").alias("first_product"),
     )
 
@@ -749,7 +748,6 @@ def medallion_run(i: Inputs) -> DataFrame:
     """Two intervals of the feeds through the gated run; the row counts of what was published."""
     root = workspace(i.spark, "lake")
     lake = runner.Lake(i.spark, root, f"lake_{root[-8:]}_")
-    updated = F.get_json_object("payload", "$.updated_at").cast("timestamp")
 
     def feeds(since: str, until: str) -> dict[str, DataFrame]:
         def inside(column):
@@ -757,7 +755,7 @@ def medallion_run(i: Inputs) -> DataFrame:
 
         loads = {"customers": i.bronze_customers, "products": i.bronze_products, "events": i.bronze_events}
         return {
-            "orders": i.bronze_orders.filter(upsert.in_range(updated, *[F.lit(d).cast("timestamp") for d in (since, until)])),
+            "orders": i.bronze_orders.filter(upsert.in_range(F.col("_updated_at"), *[F.lit(d).cast("timestamp") for d in (since, until)])),
             "fx_rates": i.bronze_fx.filter(inside(F.col("rate_date"))),
             "customers": loads["customers"].filter(inside(F.col("snapshot_date"))),
             "products": loads["products"],

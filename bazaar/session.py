@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Where every partition of one side is found small at run time, hash it instead of sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Constraint inference grows exponentially on staged CASE columns used by several joins: minutes of
     # planning for the fact. The null filters it would add to join keys are written out where they matter.
     "spark.sql.constraintPropagation.enabled": "false",

@@ -157,7 +157,10 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         updated_at=_json_text(F.date_format("updated", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")),
         items=items,
     )
-    return _audit(raw.select("_record_id", payload.alias("payload")), "orders_api", F.lit("orders_all"))
+    rows = raw.select(
+        "_record_id", payload.alias("payload"), F.col("order_id").alias("_order_id"), F.col("updated").alias("_updated_at")
+    )
+    return _audit(rows, "orders_api", F.lit("orders_all"))
 
 
 def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
