@@ -1,5 +1,6 @@
 """Small bronze frames with the defects the feeds are known for."""
 
+import itertools
 import json
 
 from pyspark.sql import functions as F
@@ -29,8 +30,12 @@ def event(event_id, order_id, status, at, op="u", **fields):
     )
 
 
+_batches = itertools.count()
+
+
 def _numbered(spark, rows, schema, source, load):
-    df = spark.createDataFrame([(*row, f"{source}:{n:05}") for n, row in enumerate(rows)], schema + ", _record_id string")
+    batch = next(_batches)  # record ids never repeat, in no batch
+    df = spark.createDataFrame([(*row, f"{source}:{batch}:{n:05}") for n, row in enumerate(rows)], schema + ", _record_id string")
     return df.select(
         "*", F.lit(source).alias("_source"), F.lit("b1").alias("_batch_id"), F.lit(load).alias("_load_id"),
         F.current_timestamp().alias("_ingested_at"),
