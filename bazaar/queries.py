@@ -52,25 +52,22 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-# Bronze tables written in this application, by (application, work folder, data folder, table).
-_LANDED: dict[tuple[str, str, str, str], tuple[str, T.StructType]] = {}
+# Tables written in this application, by (application, work folder, data folder, table).
+_WRITTEN: dict[tuple[str, str, str, str], tuple[str, T.StructType]] = {}
 
 
-def stored(rows: DataFrame, purpose: str) -> DataFrame:
-    """The frame as a table in the shared folder: computed once, short lineage, survives lost executors."""
-    path = workspace(rows.sparkSession, purpose)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+def written(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table of the lake, written on first use to the shared folder and read by every later plan.
 
-
-def land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A bronze table, landed on first use as the loaders land the feeds: even files in the shared folder."""
+    That is how the layers relate: loaders land bronze once, staging is built once, reports read them. It
+    also cuts lineage in a way that survives lost executors. The rebalance makes files of even size.
+    """
     key = (spark.sparkContext.applicationId, shared_root(spark), sf_dir, name)
-    if key not in _LANDED:
-        rows, path = getattr(standin, name)(spark, sf_dir), workspace(spark, name)
+    if key not in _WRITTEN:
+        rows, path = make(), workspace(spark, name)
         rows.hint("rebalance").write.parquet(path)
-        _LANDED[key] = path, rows.schema
-    path, schema = _LANDED[key]
+        _WRITTEN[key] = path, rows.schema
+    path, schema = _WRITTEN[key]
     return spark.read.schema(schema).parquet(path)
 
 
@@ -86,7 +83,7 @@ class Inputs:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("bronze_"):
-            frame = land(self.spark, self.sf_dir, name)
+            frame = self.built(name, lambda: getattr(standin, name)(self.spark, self.sf_dir))
             self.__dict__[name] = frame
             return frame
         raise AttributeError(name)
@@ -95,9 +92,13 @@ class Inputs:
     def staged_lines(self) -> DataFrame:
         return staging.order_lines(self.bronze_orders, self.bronze_customers, self.bronze_products)
 
+    def built(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        return written(self.spark, self.sf_dir, name, make)
+
     def share_staged_lines(self) -> "Inputs":
-        """For plans that read the staged lines more than once: write them and read them back."""
-        self.staged_lines = stored(self.staged_lines, "staged_lines")
+        """For plans that read the staged lines more than once: read the written table."""
+        fresh = self.staged_lines
+        self.staged_lines = self.built("staged_lines", lambda: fresh)
         return self
 
     @cached_property
@@ -464,7 +465,8 @@ def report_lead_time(i: Inputs) -> DataFrame:
 @query
 def dq_checks(i: Inputs) -> DataFrame:
     """The declared checks over staged and plain tables; some fail on purpose."""
-    fact = stored(i.fact, "fact")
+    i.share_staged_lines()
+    fact = i.built("fact", lambda: i.fact)
     lines, products, customers = i.lines, silver.products(i.staged_products), i.dim_customer
     now = F.lit(standin.LANDED_AT).cast("timestamp") + F.expr("interval 7 days")
     return quality.all_results(
@@ -531,7 +533,7 @@ def incremental_rejected(i: Inputs) -> DataFrame:
 def incremental_fact(i: Inputs) -> DataFrame:
     """Fact of an early run, brought up to date by the two cursors."""
     i.share_staged_lines()
-    early_staged = stored(_early_lines(i), "early_lines")
+    early_staged = i.built("early_lines", lambda: _early_lines(i))
     early_lines = silver.order_lines(early_staged)
     early_history = i.history.filter(F.col("event_ts") < F.lit(EVENT_CUT).cast("timestamp"))
     early_status = silver.status_reconciliation(early_staged, early_history)
