@@ -148,12 +148,30 @@ class Inputs:
     @cached_property
     def fact(self) -> DataFrame:
         self.share_staged_lines()
-        return gold.fct_order_lines(self.lines, self.rates, self.reconciliation, self.dates, self.dim_customer)
+        return gold.fct_order_lines(self.lines, self.rates, self.reconciliation, self.dates, self.gold_customers)
 
     @cached_property
     def status_fact(self) -> DataFrame:
         return gold.fct_order_status_events(self.history, self.dates)
 
+    # Gold tables as the reports read them: written once, from the plans above.
+
+    @cached_property
+    def gold_customers(self) -> DataFrame:
+        return self.built("dim_customer", lambda: self.dim_customer)
+
+    @cached_property
+    def gold_products(self) -> DataFrame:
+        return self.built("dim_product", lambda: self.dim_product)
+
+    @cached_property
+    def gold_lines(self) -> DataFrame:
+        return self.built("fct_order_lines", lambda: self.fact)
+
+    @cached_property
+    def gold_events(self) -> DataFrame:
+        return self.built("fct_order_status_events", lambda: self.status_fact)
+
     @cached_property
     def order_days(self) -> DataFrame:
         """One row: first and last order day of the data, for a calendar that spans it."""
@@ -406,12 +424,12 @@ def quarantine_events(i: Inputs) -> DataFrame:
 
 @query
 def status_reconciliation(i: Inputs) -> DataFrame:
-    return i.reconciliation
+    return i.share_staged_lines().reconciliation
 
 
 @query
 def status_census(i: Inputs) -> DataFrame:
-    return i.reconciliation.groupBy("reconciliation_status").agg(F.count("*").alias("order_count"))
+    return i.share_staged_lines().reconciliation.groupBy("reconciliation_status").agg(F.count("*").alias("order_count"))
 
 
 # ---- facts and reports
@@ -429,34 +447,34 @@ def fct_status_events(i: Inputs) -> DataFrame:
 
 @query
 def report_reconciliation(i: Inputs) -> DataFrame:
-    fact = i.fact
+    fact = i.share_staged_lines().gold_lines
     rejects = i.staged_lines.filter(F.col("reason_code").isNotNull())
     return reports.reconciliation_summary(i.bronze_orders, i.lines, rejects, fact)
 
 
 @query
 def report_monthly_revenue(i: Inputs) -> DataFrame:
-    return reports.monthly_revenue(i.fact, i.dates, i.dim_product, i.dim_customer)
+    return reports.monthly_revenue(i.gold_lines, i.dates, i.gold_products, i.gold_customers)
 
 
 @query
 def report_top_customers(i: Inputs) -> DataFrame:
-    return reports.top_customers(i.fact, i.dim_customer)
+    return reports.top_customers(i.gold_lines, i.gold_customers)
 
 
 @query
 def report_funnel(i: Inputs) -> DataFrame:
-    return reports.status_funnel(i.status_fact)
+    return reports.status_funnel(i.gold_events)
 
 
 @query
 def report_aov(i: Inputs) -> DataFrame:
-    return reports.average_order_value(i.fact, i.dates)
+    return reports.average_order_value(i.gold_lines, i.dates)
 
 
 @query
 def report_lead_time(i: Inputs) -> DataFrame:
-    return reports.delivery_lead_time(i.status_fact)
+    return reports.delivery_lead_time(i.gold_events)
 
 
 # ---- quality
@@ -465,9 +483,8 @@ def report_lead_time(i: Inputs) -> DataFrame:
 @query
 def dq_checks(i: Inputs) -> DataFrame:
     """The declared checks over staged and plain tables; some fail on purpose."""
-    i.share_staged_lines()
-    fact = i.built("fact", lambda: i.fact)
-    lines, products, customers = i.lines, silver.products(i.staged_products), i.dim_customer
+    fact = i.share_staged_lines().gold_lines
+    lines, products, customers = i.lines, silver.products(i.staged_products), i.gold_customers
     now = F.lit(standin.LANDED_AT).cast("timestamp") + F.expr("interval 7 days")
     return quality.all_results(
         [
@@ -485,8 +502,8 @@ def dq_checks(i: Inputs) -> DataFrame:
             quality.unique("silver.order_lines", lines, ["order_id", "line_number"]),
             quality.unique("lineitem", i.table("lineitem"), ["l_orderkey", "l_linenumber"]),
             quality.run_row_checks("gold.dim_customer", customers, [quality.not_null("customer_key"), quality.not_null("valid_to")]),
-            quality.relationship("gold.fct_order_lines", lines, "product_id", i.dim_product, "product_id"),
-            quality.relationship("staging.order_lines", i.staged_lines, "product_id", i.dim_product, "product_id"),
+            quality.relationship("gold.fct_order_lines", lines, "product_id", i.gold_products, "product_id"),
+            quality.relationship("staging.order_lines", i.staged_lines, "product_id", i.gold_products, "product_id"),
             quality.same_count("gold.fct_order_lines", "grain", fact, lines),
             quality.run_row_checks("gold.fct_order_lines", fact, [quality.not_null("gross_amount_azn")]),
         ]
@@ -537,7 +554,7 @@ def incremental_fact(i: Inputs) -> DataFrame:
     early_lines = silver.order_lines(early_staged)
     early_history = i.history.filter(F.col("event_ts") < F.lit(EVENT_CUT).cast("timestamp"))
     early_status = silver.status_reconciliation(early_staged, early_history)
-    target = gold.fct_order_lines(early_lines, i.rates, early_status, i.dates, i.dim_customer)
+    target = gold.fct_order_lines(early_lines, i.rates, early_status, i.dates, i.gold_customers)
     return incremental.order_line_fact(
         target,
         i.lines,
@@ -547,7 +564,7 @@ def incremental_fact(i: Inputs) -> DataFrame:
         i.rates,
         i.reconciliation,
         i.dates,
-        i.dim_customer,
+        i.gold_customers,
     ).select("order_id", "line_number", "customer_key", "gross_amount_azn", "final_status")
 
 
