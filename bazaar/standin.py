@@ -63,14 +63,16 @@ def _day_number(moment: str) -> Column:
     return F.unix_date(F.col(moment).cast("date"))
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order fields before they become documents: one per line item, ordered by no one and partly broken.
+def raw_orders(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Order fields before they become documents: one per line item, partly broken.
 
     The order id is (order key, line number), which repeats in the data: natural duplicate versions.
+    `spread` evens the rows out while they are still narrow, before text is made of them.
     """
     lines = _located(table(spark, sf_dir, "lineitem"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = rows.hint("rebalance") if spread else rows
     part, supp, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     day = F.when(part % 113 == 3, F.lit(OLD_ORDER_DAY)).otherwise(_day_number("o_orderdate") + ORDER_SHIFT_DAYS)
     second_of_day = (part * 61 + line * 7) % 86400
@@ -138,7 +140,7 @@ def order_time_text(ordered_at: Column, time_format: Column) -> Column:
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_orders(spark, sf_dir)
+    raw = raw_orders(spark, sf_dir, spread=True)
     first = _object(
         product_id=_json_text(F.col("product_id")), quantity=F.col("quantity").cast("string"), unit_price=F.col("price_json")
     )
