@@ -1,6 +1,5 @@
 """Session settings and the shared work folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,17 +43,39 @@ def local_session(cores: int | str = "*", name: str = "bazaar", **conf: str) ->
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by spark.checkpoint.dir; local sessions without it get their own."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="bazaar-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The folder every executor can reach: spark.checkpoint.dir, or else the warehouse.
+
+    Both are named by whoever runs the session; nothing falls back to a temporary folder. A path on a machine's
+    own disk (no scheme, or file:) is accepted only where the master runs on that machine.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    own_disk = root.startswith(("/", "file:")) and not _default_is_shared(spark, root)
+    if own_disk and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir or spark.sql.warehouse.dir must name a folder shared by all executors")
+    return root.rstrip("/")
+
+
+def _default_is_shared(spark: SparkSession, root: str) -> bool:
+    """Whether a path without a scheme lies in a shared file system."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return root.startswith("/") and not default.startswith("file:")
+
+
+def _home(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/bazaar/{spark.sparkContext.applicationId}"
 
 
 def workspace(spark: SparkSession, purpose: str) -> str:
-    """A new, empty folder name under the shared root."""
-    return f"{shared_root(spark)}/bazaar/{purpose}-{uuid.uuid4().hex}"
+    """A new, empty folder name under the shared root, in the folder of this application."""
+    return f"{_home(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it lies; one that is not there is fine."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete every work folder of this application. Results that still read them end here."""
+    remove(spark, _home(spark))
