@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaar.llm import language, mixing, packing, quality
+from bazaar.llm import jaccard, language, mixing, packing, quality
 from bazaar.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), packing.vocabulary())
 
 
+@query
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
