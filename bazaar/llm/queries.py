@@ -1,17 +1,27 @@
 """The numbered operators as queries over the given tables, and SQL counterparts."""
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bazaar.llm import jaccard, language, mixing, packing, quality
+from bazaar.llm import jaccard, language, lines, mixing, packing, quality, toxicity
 from bazaar.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def ready(spark: SparkSession) -> SparkSession:
+    """Settings, and Python workers that find this package where they see the same folder as the driver."""
+    environment, home = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if home not in (path := environment.get("PYTHONPATH", "")).split(":"):
+        environment["PYTHONPATH"] = f"{home}:{path}".rstrip(":")
+    return settle(spark)
+
+
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[build.__name__] = lambda spark, sf_dir: build(settle(spark), sf_dir)
+    QUERIES[build.__name__] = lambda spark, sf_dir: build(ready(spark), sf_dir)
     return build
 
 
@@ -44,5 +54,17 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its remaining text; emptied ones too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.deduplicated(docs, keep_empty=True).withColumn("n_lines", F.size(F.split("text", "\n")))
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
