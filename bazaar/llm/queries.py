@@ -6,7 +6,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import jaccard, language, lines, mixing, packing, quality, toxicity
+from bazaar.llm import chat, jaccard, language, lines, mixing, packing, quality, secret_scan, toxicity, vectors
 from bazaar.session import settle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,11 +49,28 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every finding with its score; the candidate itself as a fingerprint."""
+    rows = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return rows.withColumn("fingerprint", F.sha2("candidate", 256)).drop("candidate")
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.linked(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its remaining text; emptied ones too."""
