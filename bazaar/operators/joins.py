@@ -96,28 +96,36 @@ def asof_join_large(
 ) -> DataFrame:
     """Backward as-of join for a right side of any size; right rows are unique per key and time.
 
-    Time is cut into buckets (`bucket_of`). Each (key, bucket) gets its own right rows plus one carried row,
-    the last one before the bucket, so the join is on (key, bucket) and a key's rows spread over its buckets.
-    The carried rows come from one row per (key, bucket), so no window sees the raw rows of a whole key.
+    Time is cut into buckets (`bucket_of`), so a key's rows spread over its buckets. Within a (key, bucket) both sides are
+    sorted together, and a left row takes the last right row before it: each row is looked at once, however many right
+    rows a bucket has. What came before a bucket is carried into it, one row per (key, bucket). Left rows without a
+    complete key find nothing and skip the sort.
     """
     cell = [*by, "_bucket"]
     picked = F.struct(F.col(right_on).alias("_since"), *values)
-    inside = right.select(*by, right_on, *values).withColumn("_bucket", bucket_of(F.col(right_on)))
-    last = inside.groupBy(*cell).agg(F.max_by(picked, F.col(right_on)).alias("_last"))
-    cells = left.select(*by, bucket_of(F.col(left_on)).alias("_bucket")).distinct()
+    probe = with_keys(left, [*by, left_on]).withColumn("_bucket", bucket_of(F.col(left_on)))
+    inside = with_keys(right.select(*by, right_on, *values), [*by, right_on])
+    inside = inside.select(*by, bucket_of(F.col(right_on)).alias("_bucket"), F.col(right_on).alias("_at"), picked.alias("_found"))
+    last = inside.groupBy(*cell).agg(F.max_by("_found", "_at").alias("_last"))
+    cells = probe.select(*cell).distinct()
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         cells.withColumn("_wanted", F.lit(True))
         .join(last, cell, "full")
-        .withColumn("_carry", F.last("_last", ignorenulls=True).over(before))
-        .filter(F.col("_wanted") & F.col("_carry").isNotNull())
-        .select(*cell, "_carry.*")
+        .withColumn("_found", F.last("_last", ignorenulls=True).over(before))
+        .filter(F.col("_wanted") & F.col("_found").isNotNull())
+        .select(*cell, F.col("_found._since").alias("_at"), "_found")
     )
-    rows = inside.withColumnRenamed(right_on, "_since").select(*cell, "_since", *values).unionByName(carried)
-    intervals = validity(rows, cell, "_since", "_until")
-    residual = (F.col(left_on) >= F.col("_since")) & (F.col("_until").isNull() | (F.col(left_on) < F.col("_until")))
-    probe = left.withColumn("_bucket", bucket_of(F.col(left_on)))
-    return keyed_join(probe, intervals, cell, "left", residual).drop("_bucket", "_since", "_until")
+    own = F.struct(*left.columns).alias("_left")
+    rows = probe.select(*cell, F.col(left_on).alias("_at"), F.lit(1).alias("_side"), own, F.lit(None).cast(inside.schema["_found"].dataType).alias("_found"))
+    for side in (inside, carried):
+        none = F.lit(None).cast(rows.schema["_left"].dataType).alias("_left")
+        rows = rows.unionByName(side.select(*cell, "_at", F.lit(0).alias("_side"), none, "_found"))
+    upto = Window.partitionBy(*cell).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = rows.withColumn("_found", F.last("_found", ignorenulls=True).over(upto)).filter("_side = 1")
+    found = met.select(*[F.col("_left")[c].alias(c) for c in left.columns], *[F.col("_found")[v].alias(v) for v in values])
+    keyless = left.filter(reduce(Column.__or__, [F.col(c).isNull() for c in [*by, left_on]]))
+    return found.unionByName(keyless.select("*", *[F.lit(None).cast(right.schema[v].dataType).alias(v) for v in values]))
 
 
 def interval_join(

@@ -182,8 +182,7 @@ WHERE isodow(day) < 6 AND day >= DATE '2021-02-01'
 PARTS["dated"] = "SELECT *, (order_ts + INTERVAL 4 HOUR)::DATE AS local_day FROM lines"
 PARTS["fact"] = """
 SELECT l.order_id, l.line_number, c.customer_key, l.product_id,
-       CASE WHEN l.local_day BETWEEN DATE '2023-01-01' AND DATE '2026-12-31'
-            THEN strftime(l.local_day, '%Y%m%d')::BIGINT END AS order_date_key,
+       strftime(l.local_day, '%Y%m%d')::BIGINT AS order_date_key,
        l.local_day AS order_date_baku, l.quantity, l.unit_price, l.currency,
        CASE WHEN l.currency = 'AZN' THEN 1::DECIMAL(12, 6) ELSE r.rate_azn END AS rate_azn,
        l.quantity * l.unit_price AS gross_amount,
@@ -353,8 +352,7 @@ SQL: dict[str, str] = {
                is_recognized FROM fact""",
     "fct_status_events": f"""
         SELECT event_id, order_id, op, old_status, new_status, {_ts('event_ts')} AS event_ts,
-               CASE WHEN day BETWEEN DATE '2023-01-01' AND DATE '2026-12-31'
-                    THEN strftime(day, '%Y%m%d')::BIGINT END AS event_date_key, {_day('day')} AS event_date_baku
+               strftime(day, '%Y%m%d')::BIGINT AS event_date_key, {_day('day')} AS event_date_baku
         FROM (SELECT *, (event_ts + INTERVAL 4 HOUR)::DATE AS day FROM history)""",
     "report_reconciliation": """
         SELECT 'bronze.orders' AS stage, count(*) AS row_count, NULL::DOUBLE AS gross_azn,
@@ -369,6 +367,11 @@ SQL: dict[str, str] = {
                round(sum(gross_amount_azn), 2)::DOUBLE AS recognized_revenue_azn
         FROM sold JOIN dim_product USING (product_id) JOIN dim_customer USING (customer_key)
         GROUP BY 1, 2, 3""",
+    "monthly_revenue_table": f"""
+        SELECT {_day("date_trunc('month', day)")} AS month, category, country,
+               round(sum(gross_amount_azn), 2)::DOUBLE AS recognized_revenue_azn
+        FROM sold JOIN dim_product USING (product_id) JOIN dim_customer USING (customer_key)
+        GROUP BY 1, 2, 3""",
     "report_top_customers": """
         WITH revenue AS (
             SELECT customer_id, full_name, sum(gross_amount_azn) AS amount
@@ -483,8 +486,32 @@ SQL: dict[str, str] = {
         WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
     "src_order_pages": f"""
         SELECT order_id, {_ts('updated_at')} AS updated_at,
-               CASE WHEN NOT without_items THEN product_id END AS first_product
-        FROM docs WHERE updated_at >= DATE '2021-01-01' AND updated_at < DATE '2024-01-01'""",
+               CASE WHEN NOT without_items THEN product_id END AS first_product, 'record' AS kind
+        FROM docs UNION ALL SELECT NULL, NULL, NULL, 'unreadable_page'""",
+    "src_fx_documents": f"""
+        WITH days AS (SELECT unnest(generate_series(min(day), max(day), INTERVAL 1 DAY))::DATE AS day
+                      FROM (SELECT o_orderdate::DATE + 9500 AS day FROM orders)),
+        documents AS (SELECT DISTINCT rate_date AS day FROM rates)
+        SELECT {_day('day')} AS day, true AS published FROM documents
+        UNION ALL
+        SELECT {_day('day')}, false FROM days ANTI JOIN documents USING (day) WHERE day < (SELECT max(day) FROM days)""",
+    "erase_layers": """
+        WITH gone AS (SELECT DISTINCT customer_id FROM custs WHERE regexp_matches(customer_id, '^C[0-9]*7$')),
+        lost AS (SELECT DISTINCT order_id FROM docs WHERE customer_id IN (SELECT customer_id FROM gone)),
+        erased_versions AS (SELECT customer_key FROM dim_customer WHERE customer_id IN (SELECT customer_id FROM gone))
+        SELECT 'bronze.orders' AS table_name, 0::BIGINT AS naming_erased, count(*) AS row_count
+        FROM docs WHERE customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM gone)
+        UNION ALL SELECT 'bronze.customers', 0, count(*) FROM custs
+                  WHERE customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM gone)
+        UNION ALL SELECT 'quarantine.order_lines', 0, count(*) FROM staged_lines
+                  WHERE reason_code IS NOT NULL AND (customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM gone))
+        UNION ALL SELECT 'silver.order_lines', 0, count(*) FROM lines
+                  WHERE customer_id NOT IN (SELECT customer_id FROM gone) AND order_id NOT IN (SELECT order_id FROM lost)
+        UNION ALL SELECT 'gold.dim_customer', 0, count(*) FROM dim_customer
+                  WHERE customer_id NOT IN (SELECT customer_id FROM gone)
+        UNION ALL SELECT 'gold.fct_order_lines', 0, count(*) FROM fact
+                  WHERE (customer_key IS NULL OR customer_key NOT IN (SELECT customer_key FROM erased_versions))
+                    AND order_id NOT IN (SELECT order_id FROM lost)""",
     "src_customers_csv": """
         SELECT coalesce(customer_id, '') AS customer_id, full_name,
                ['azerbaijan', 'AZE', ' Azerbaijan ', 'TURKEY', 'Türkiye', 'N/A', 'Georgia', ''][c_nationkey % 8 + 1]
@@ -519,6 +546,8 @@ SQL: dict[str, str] = {
         SELECT 'customers_' || strftime(snapshot_date, '%Y-%m-%d') AS _load_id,
                CASE WHEN n = 2 THEN 'NEW' ELSE segment END AS segment, count(*) AS row_count
         FROM custs GROUP BY ALL""",
+    "stream_accounting": """
+        SELECT count(*) AS landed, true AS all_accounted, true AS repeats_not_negative FROM event_docs""",
     "partition_layout": """
         SELECT strftime(o_orderdate, '%Y-%m') AS order_month, count(*) AS row_count FROM orders GROUP BY 1""",
     "compact": """

@@ -1,5 +1,7 @@
 """Gold: dimensions and facts."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,12 @@ def dim_date(bounds: DataFrame) -> DataFrame:
     )
 
 
+def day_bounds(*days: DataFrame) -> DataFrame:
+    """One row for `dim_date`: the first and last day of one-column frames of days."""
+    every = reduce(DataFrame.unionAll, [d.toDF("day") for d in days])
+    return every.agg(F.min("day").alias("first_day"), F.max("day").alias("last_day")).filter("first_day IS NOT NULL")
+
+
 def calendar(spark, first_day: str, last_day: str) -> DataFrame:
     one_row = spark.range(1).select(
         F.lit(first_day).cast("date").alias("first_day"), F.lit(last_day).cast("date").alias("last_day")

@@ -1,5 +1,6 @@
 """Every operator and model as a query over the star-schema tables."""
 
+import functools
 from collections.abc import Callable
 from functools import cached_property
 
@@ -52,17 +53,25 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-# Tables written in this application, by (application, work folder, data folder, table).
+# Tables written in this application, by (application, work folder, data folder and its state, table).
 _WRITTEN: dict[tuple[str, str, str, str], tuple[str, T.StructType]] = {}
 
 
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """What the input folder holds now: other files, sizes or times make a shared table out of date."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    listed = [(s.getPath().getName(), s.getModificationTime(), s.getLen()) for s in fs.listStatus(where)]
+    return f"{sf_dir}|{sorted(listed)}"
+
+
 def written(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """A table of the lake, written on first use to the shared folder and read by every later plan.
 
     That is how the layers relate: loaders land bronze once, staging is built once, reports read them. It
     also cuts lineage in a way that survives lost executors. The rebalance makes files of even size.
     """
-    key = (spark.sparkContext.applicationId, shared_root(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, shared_root(spark), _state(spark, sf_dir), name)
     if key not in _WRITTEN:
         rows, path = make(), workspace(spark, name)
         even = rows if name == "bronze_orders" else rows.hint("rebalance")  # order documents are even already
@@ -140,7 +149,10 @@ class Inputs:
 
     @cached_property
     def dates(self) -> DataFrame:
-        return gold.calendar(self.spark, *standin.CALENDAR)
+        """A calendar that spans the data: order days and event days, and a day more on each side for the local zone."""
+        shifted = F.date_add(F.col("o_orderdate").cast("date"), standin.ORDER_SHIFT_DAYS)
+        bounds = gold.day_bounds(self.table("orders").select(shifted), self.table("events").select(F.col("ts").cast("date")))
+        return gold.dim_date(bounds.select(F.date_sub("first_day", 1).alias("first_day"), F.date_add("last_day", 2).alias("last_day")))
 
     @cached_property
     def rates(self) -> DataFrame:
@@ -468,6 +480,19 @@ def report_funnel(i: Inputs) -> DataFrame:
     return reports.status_funnel(i.gold_events)
 
 
+@query
+def monthly_revenue_table(i: Inputs) -> DataFrame:
+    """Monthly revenue as a table: built from the orders before a cut, then only the months that later ones touch."""
+    path = workspace(i.spark, "monthly")
+    cut = int(ORDER_CUT[:10].replace("-", ""))
+    early = i.gold_lines.filter(F.col("order_date_key") < cut)
+    reports.refresh_monthly_revenue(path, early, i.dates, i.gold_products, i.gold_customers)
+    later = i.gold_lines.filter(F.col("order_date_key") >= cut).select(F.floor(F.col("order_date_key") / 100).alias("m")).distinct()
+    touched = [f"{r['m'] // 100}-{r['m'] % 100:02d}" for r in later.collect()]  # months
+    reports.refresh_monthly_revenue(path, i.gold_lines, i.dates, i.gold_products, i.gold_customers, touched)
+    return i.spark.read.parquet(path).select("month", "category", "country", "recognized_revenue_azn")
+
+
 @query
 def report_aov(i: Inputs) -> DataFrame:
     return reports.average_order_value(i.gold_lines, i.dates)
@@ -617,36 +642,84 @@ def erase_subjects(i: Inputs) -> DataFrame:
     return kept.select("o_orderkey", "o_custkey", "o_totalprice")
 
 
+@query
+def erase_layers(i: Inputs) -> DataFrame:
+    """Rows that still name an erased person, per table of the lake, after erasing; and rows that are left."""
+    i.share_staged_lines()
+    subjects = i.bronze_customers.filter(F.col("customer_id").rlike("^C[0-9]*7$")).select("customer_id").distinct()
+    quarantined = silver.order_lines_rejected(i.staged_lines)
+    tables = {
+        "bronze.orders": i.bronze_orders, "bronze.customers": i.bronze_customers, "quarantine.order_lines": quarantined,
+        "silver.order_lines": i.lines, "gold.dim_customer": i.gold_customers, "gold.fct_order_lines": i.gold_lines,
+    }
+    kept = governance.erase_layers(tables, subjects)
+    named = {name: rows.withColumn("_person", governance.persons_of(name)) for name, rows in kept.items() if name != "gold.fct_order_lines"}
+    versions = i.gold_customers.select("customer_key", F.col("customer_id").alias("_person"))
+    named["gold.fct_order_lines"] = joins.keyed_join(kept["gold.fct_order_lines"], versions, ["customer_key"])
+    counted = []
+    for name, rows in named.items():
+        left = joins.semi_join(rows, ["_person"], subjects.withColumnRenamed("customer_id", "_person"))
+        total = kept[name].agg(F.count("*").alias("n")).scalar()
+        counted.append(left.agg(F.count("*").alias("naming_erased")).select(F.lit(name).alias("table_name"), "naming_erased", total.alias("row_count")))
+    return functools.reduce(DataFrame.unionByName, counted)
+
+
 # ---- files
 
 
 @query
 def src_order_pages(i: Inputs) -> DataFrame:
-    """Records written as response pages, read back as raw documents."""
+    """Every record of every response page, read back as raw documents; a truncated page is counted, not lost."""
     path = workspace(i.spark, "pages")
+    pages = i.bronze_orders
+    number = F.pmod(F.xxhash64("_record_id"), F.lit(max(1, pages.count() // 100)))
     page = F.to_json(
         F.struct(
-            F.array(F.from_json("payload", ORDER_DOC)).alias("data"),
+            F.collect_list(F.from_json("payload", ORDER_DOC)).alias("data"),  # about a hundred records
             F.lit(None).cast("string").alias("next_cursor"),
             F.lit(200).alias("page_size"),
         ),
         {"ignoreNullFields": "false"},
     )
-    i.bronze_orders.select(page.alias("value")).write.text(path)
-    records = landed.order_slice(landed.promoted(landed.order_pages(i.spark, path)), "2021-01-01", "2024-01-01")
-    return records.select(
+    whole = pages.groupBy(number.alias("page")).agg(page.alias("value")).select("value")
+    cut = whole.agg(F.min("value").alias("value")).select(F.expr("left(value, length(value) - 9)").alias("value"))
+    whole.unionByName(cut).write.text(path)
+    records = landed.promoted(landed.order_pages(i.spark, path, strict=False))
+    bad = landed.unreadable_pages(i.spark, path, landed.new_batch_id(), "orders_pages")
+    found = records.select(
         F.col("_order_id").alias("order_id"),
         F.col("_updated_at").alias("updated_at"),
         F.get_json_object("payload", "$.items[0].product_id").alias("first_product"),
+        F.lit("record").alias("kind"),
+    )
+    none = F.lit(None)
+    return found.unionByName(
+        bad.select(none.cast("string").alias("order_id"), none.cast("timestamp").alias("updated_at"), none.cast("string").alias("first_product"), F.col("reason_code").alias("kind"))
+    )
+
+
+@query
+def src_fx_documents(i: Inputs) -> DataFrame:
+    """Rate documents written and read back as landed, and the days of the orders that have none."""
+    path = workspace(i.spark, "rates")
+    i.bronze_fx.select(F.col("payload").alias("value")).write.text(path)
+    documents = landed.fx_documents(i.spark, path)
+    bounds = i.order_days.select(
+        F.date_add("first_day", standin.ORDER_SHIFT_DAYS).alias("since"),
+        F.date_add("last_day", standin.ORDER_SHIFT_DAYS).alias("until"),
+    )
+    missing = landed.days_without_rates(documents, bounds)
+    return documents.select(F.col("rate_date").alias("day"), F.lit(True).alias("published")).unionByName(
+        missing.select(F.col("day").cast("string"), F.lit(False).alias("published"))
     )
 
 
 def _snapshot_files(i: Inputs) -> str:
-    """Customer snapshots as CSV folders, one per snapshot day."""
+    """Customer snapshots as CSV folders, one per snapshot day, each with its own column order."""
     path = workspace(i.spark, "snapshots")
     columns = staging.CUSTOMER[:-1]
-    for day in standin.SNAPSHOT_DAYS:
-        rows = i.bronze_customers.filter(F.col("snapshot_date") == day).select(*columns)
+    for n, day in enumerate(standin.SNAPSHOT_DAYS):
+        rows = i.bronze_customers.filter(F.col("snapshot_date") == day).select(*columns[n:], *columns[:n])
         _write_csv(rows, f"{path}/customers_snapshot_{day}.csv")
     return path
 
@@ -730,12 +803,14 @@ def audit_columns(i: Inputs) -> DataFrame:
 
 @query
 def replace_load(i: Inputs) -> DataFrame:
-    """Three loads are written, then the middle one again with other rows."""
+    """Four loads are written, then the middle one again with other rows, and the last one again without any."""
     path = workspace(i.spark, "loads")
     rows = i.bronze_customers.select("customer_id", "segment", "_load_id")
-    sinks.replace_loads(rows, path)
-    middle = f"customers_{standin.SNAPSHOT_DAYS[1]}"
-    sinks.replace_loads(rows.filter(F.col("_load_id") == middle).withColumn("segment", F.lit("NEW")), path)
+    ids = [f"customers_{day}" for day in standin.SNAPSHOT_DAYS]
+    rows = rows.unionByName(rows.filter(F.col("_load_id") == ids[0]).withColumn("_load_id", F.lit("customers_again")))
+    sinks.replace_loads(rows, path, [*ids, "customers_again"])
+    sinks.replace_loads(rows.filter(F.col("_load_id") == ids[1]).withColumn("segment", F.lit("NEW")), path, [ids[1]])
+    sinks.replace_loads(rows.limit(0), path, ["customers_again"])
     return i.spark.read.parquet(path).groupBy("_load_id", "segment").agg(F.count("*").alias("row_count"))
 
 
@@ -794,10 +869,35 @@ def medallion_run(i: Inputs) -> DataFrame:
 
 @query
 def stream_events(i: Inputs) -> DataFrame:
-    source, out = _event_files(i), workspace(i.spark, "stream")
-    lines = streaming.stream_lines(i.spark, source)
-    streaming.land_events(lines, out, workspace(i.spark, "stream-state"), lateness="40 days")
-    return i.spark.read.parquet(out).select(*staging.STATUS_EVENT)
+    return streaming.landed_events(i.spark, _streamed(i)[0])
+
+
+def _streamed(i: Inputs) -> tuple[str, str, str]:
+    """Two arrivals: the events of all days, then late ones and repeats of the same days again."""
+    source, out, bad = _event_files(i), workspace(i.spark, "stream"), workspace(i.spark, "stream-bad")
+    state = workspace(i.spark, "stream-state")
+    early = F.pmod(F.xxhash64("value"), F.lit(3)) > 0
+    folder = workspace(i.spark, "stream-in")
+    i.spark.read.text(source).filter(early).write.text(f"{folder}/first")
+    lines = streaming.stream_lines(i.spark, f"{folder}/*")
+    streaming.land_events(lines, out, state, bad)
+    i.spark.read.text(source).write.text(f"{folder}/second")
+    streaming.land_events(lines, out, state, bad)
+    return out, bad, folder
+
+
+@query
+def stream_accounting(i: Inputs) -> DataFrame:
+    """Every line that arrived is an event, a repeat of one, or in quarantine."""
+    out, bad, folder = _streamed(i)
+    arrived = i.spark.read.text(f"{folder}/*").filter(F.trim("value") != "")
+    good = arrived.filter(landed.is_json(F.col("value"))).agg(F.count("*").alias("n")).scalar()
+    landed_rows = streaming.landed_events(i.spark, out).agg(F.count("*").alias("n")).scalar()
+    return i.spark.read.parquet(bad).agg(F.count("*").alias("quarantined")).select(
+        landed_rows.alias("landed"),
+        (F.col("quarantined") + good == arrived.agg(F.count("*").alias("n")).scalar()).alias("all_accounted"),
+        (good >= landed_rows).alias("repeats_not_negative"),
+    )
 
 
 @query

@@ -1,6 +1,8 @@
 """Readers for landed files: response pages, rate documents, CSV snapshots, NDJSON event files."""
 
+import csv
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -56,12 +58,63 @@ def optional(spark: SparkSession, pattern: str, schema: T.StructType, read) -> t
     return spark.createDataFrame([], schema), False
 
 
-def order_pages(spark: SparkSession, path: str, one_page_per_file: bool = False) -> DataFrame:
-    """Every record of every landed page as raw JSON text. Pages are files or lines."""
-    pages = spark.read.schema(ORDER_PAGE).option("multiLine", one_page_per_file).json(path)
+UNREADABLE = "_unreadable"
+
+
+def _pages(spark: SparkSession, path: str, one_page_per_file: bool) -> DataFrame:
+    """Pages, which are files or lines; one that is no page keeps its text in `_unreadable`."""
+    schema = T.StructType([*ORDER_PAGE.fields, T.StructField(UNREADABLE, T.StringType())])
+    reader = spark.read.schema(schema).option("multiLine", one_page_per_file)
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", UNREADABLE).json(path)
+
+
+def order_pages(spark: SparkSession, path: str, one_page_per_file: bool = False, strict: bool = True) -> DataFrame:
+    """Every record of every landed page as raw JSON text.
+
+    An unreadable page stops the read; with strict=False it is left to `unreadable_pages`, never just lost.
+    """
+    pages = _pages(spark, path, one_page_per_file)
+    if strict:
+        told = F.raise_error(F.concat(F.lit("unreadable page: "), F.left(UNREADABLE, F.lit(200))))
+        pages = pages.withColumn("data", F.when(F.col(UNREADABLE).isNotNull(), told.cast("array<string>")).otherwise(F.col("data")))
     return pages.select(F.explode("data").alias("payload"))
 
 
+def unreadable_pages(spark: SparkSession, path: str, batch_id: str, load_id: str, one_page_per_file: bool = False) -> DataFrame:
+    """Quarantine records of the pages that `order_pages(strict=False)` passes over."""
+    pages = _pages(spark, path, one_page_per_file).select("page_size", UNREADABLE, F.col("_metadata.file_name").alias("_file"))
+    # The size, null on such pages, is named because Spark refuses to read the unreadable text alone.
+    raw = pages.filter(F.col(UNREADABLE).isNotNull() & F.col("page_size").isNull()).select("_file", F.col(UNREADABLE).alias("raw"))
+    return _quarantined(raw, ORDERS_SOURCE, F.lit(load_id), batch_id, "unreadable_page", F.xxhash64("_file", "raw").cast("string"))
+
+
+def _quarantined(rows: DataFrame, source: str, load_id: Column, batch_id: str, reason: str, place: Column) -> DataFrame:
+    """Quarantine records of raw texts (column `raw`)."""
+    return rows.select(
+        joined_key(F.lit(source), load_id, place).alias("quarantine_id"),
+        F.lit(source).alias("source"),
+        F.lit(batch_id).alias("_batch_id"),
+        load_id.alias("_load_id"),
+        F.lit(reason).alias("reason_code"),
+        F.to_json(F.struct(F.col("raw"))).alias("payload"),
+        F.current_timestamp().alias("quarantined_at"),
+    )
+
+
+def unreadable_documents(bronze: DataFrame) -> DataFrame:
+    """Quarantine records of landed documents that are no JSON: no model would see them."""
+    bad = bronze.filter(~F.coalesce(is_json(F.col("payload")), F.lit(False)))
+    return bad.select(
+        joined_key("_source", "_load_id", "_record_id").alias("quarantine_id"),
+        F.col("_source").alias("source"),
+        "_batch_id",
+        "_load_id",
+        F.lit("malformed_json").alias("reason_code"),
+        F.to_json(F.struct(F.col("payload").alias("raw"))).alias("payload"),
+        F.current_timestamp().alias("quarantined_at"),
+    )
+
+
 def promoted(records: DataFrame) -> DataFrame:
     """Adds `_order_id` and `_updated_at`, read from the document once at landing.
 
@@ -95,22 +148,47 @@ def days_without_rates(documents: DataFrame, span: DataFrame) -> DataFrame:
     return days.join(published, "day", "left_anti")
 
 
-def _text_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """RFC 4180 rows by column name, all text. The reader gives null for an empty field; the feed means ''."""
-    rows = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True, inferSchema=False)
-    filled = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in schema.names]
-    return rows.select(*filled, F.col("_metadata.file_path").alias("_file"))
-
-
-def customers_csv(spark: SparkSession, path: str) -> DataFrame:
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Files by their column names in order: one short row per file, read from its first line."""
+    first = F.min_by("value", F.struct("block", "seq"))
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("seq"),
+    )
+    heads = lines.filter("block = 0").groupBy("file").agg(first.alias("head")).collect()
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in heads:
+        names = next(csv.reader([row["head"].lstrip("\ufeff")]))
+        found.setdefault(tuple(n.strip() for n in names), []).append(row["file"])
+    return found
+
+
+def _text_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """RFC 4180 rows by column name, all text. The reader gives null for an empty field; the feed means ''.
+
+    Each distinct header is read with its own column order. Files are split between tasks unless fields may hold
+    line feeds (`multi_line`), which makes a file one task.
+    """
+    parts = []
+    for names, files in sorted(_headers(spark, path).items()):
+        own = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        rows = spark.read.schema(own).csv(files, header=True, quote='"', escape='"', multiLine=multi_line, enforceSchema=False)
+        filled = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in schema.names]
+        parts.append(rows.select(*filled, F.col("_metadata.file_path").alias("_file")))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("_file", T.StringType())]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def customers_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Customer snapshots; the snapshot day comes from the file name."""
-    return _text_csv(spark, path, CUSTOMER_CSV).select(
+    return _text_csv(spark, path, CUSTOMER_CSV, multi_line).select(
         *CUSTOMER_CSV.names, file_date(F.col("_file")).alias("snapshot_date")
     )
 
 
-def products_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _text_csv(spark, path, PRODUCT_CSV).select(*PRODUCT_CSV.names)
+def products_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    return _text_csv(spark, path, PRODUCT_CSV, multi_line).select(*PRODUCT_CSV.names)
 
 
 def event_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -161,13 +239,5 @@ def split_events(lines: DataFrame, batch_id: str) -> tuple[DataFrame, DataFrame]
         F.current_timestamp().alias("_ingested_at"),
         F.concat_ws(":", "_source_file", "_line_no").alias("_record_id"),
     )
-    bad = tagged.filter(~is_json(F.col("value"))).select(
-        joined_key(F.lit(EVENTS_SOURCE), "_load_id", "_line_no").alias("quarantine_id"),
-        F.lit(EVENTS_SOURCE).alias("source"),
-        F.lit(batch_id).alias("_batch_id"),
-        "_load_id",
-        F.lit("malformed_json").alias("reason_code"),
-        F.to_json(F.struct(F.col("value").alias("raw"))).alias("payload"),
-        F.current_timestamp().alias("quarantined_at"),
-    )
-    return events, bad
+    bad = tagged.filter(~is_json(F.col("value"))).withColumnRenamed("value", "raw")
+    return events, _quarantined(bad, EVENTS_SOURCE, F.col("_load_id"), batch_id, "malformed_json", F.col("_line_no"))

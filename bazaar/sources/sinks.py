@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.operators.upsert import replace_range
+from bazaar.session import remove
 
 LAYERS = ("bronze", "silver", "gold", "quarantine")
 
@@ -32,14 +33,15 @@ def publish(spark: SparkSession, table: str, path: str) -> DataFrame:
     return spark.table(table)
 
 
-def replace_loads(df: DataFrame, path: str) -> None:
-    """Overwrite only the `_load_id` partitions present in `df`; other loads stay."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_load_id")
-        .parquet(path)
-    )
+def replace_loads(df: DataFrame, path: str, load_ids: list[str]) -> None:
+    """The loads named in `load_ids` become the rows of `df`; a load without rows is emptied, other loads stay."""
+    spark = df.sparkSession
+    mine = df.filter(F.col("_load_id").isin(*load_ids))
+    mine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_load_id").parquet(path)
+    written = {r["_load_id"] for r in mine.select("_load_id").distinct().collect()}  # some of the ids given
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for load_id in set(load_ids) - written:
+        remove(spark, f"{path}/_load_id={escape(load_id)}")
 
 
 def replaced_slice(target: DataFrame, batch: DataFrame, source: str, column: Column, low, high) -> DataFrame:

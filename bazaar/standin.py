@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 ORDER_SHIFT_DAYS = 9500  # moves the 1995-2001 order days to 2021-2027, past the last summer-time change
 OLD_ORDER_DAY = 18062  # 2019-06-15 as days since 1970, before the first plausible day
-CALENDAR = ("2023-01-01", "2026-12-31")
 FIRST_RATE_DAY = "2021-02-01"
 SNAPSHOT_DAYS = ("2023-06-01", "2024-06-01", "2025-06-01")
 LANDED_AT = "2026-08-25 00:00:00"

@@ -2,11 +2,13 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bazaar.operators.dedup import latest_by
 from bazaar.plans.staging import STATUS_EVENT
 from bazaar.schemas import EVENT_DOC
-from bazaar.sources.landed import is_json
+from bazaar.session import remove
+from bazaar.sources.landed import exists, is_json
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -26,27 +28,56 @@ def malformed(lines: DataFrame) -> DataFrame:
     return lines.filter(~is_json(F.col("value")))
 
 
-def once_each(events: DataFrame, lateness: str) -> DataFrame:
-    """Deliveries are at least once: repeats are dropped while they arrive within `lateness`.
+def _batch_sink(path: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # Overwriting the batch's own folder makes a replayed batch harmless.
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    A repeat is equal in every field, as in the batch form; on the id alone, events that lack one would merge.
-    """
-    return events.withWatermark("event_ts", lateness).dropDuplicatesWithinWatermark(STATUS_EVENT)
+    return write
 
 
-def _batch_sink(path: str):
+DAY = "event_day"
+
+
+def _landing(path: str, quarantine: str):
+    """Each batch: lines that are no JSON to quarantine, events that are not there yet to the table.
+
+    A repeat is equal in every field, as in the batch form; on the id alone, events that lack one would merge. The table
+    lies by batch and event day, so a batch is compared with the days it holds, however late they are; there is no
+    watermark behind which events are lost, and no state that grows.
+    """
+
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        malformed(batch).select(F.col("value").alias("raw")).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        found = parsed(batch).distinct().withColumn(DAY, F.coalesce(F.to_date("event_ts").cast("string"), F.lit("none")))
+        days = [r[DAY] for r in found.select(DAY).distinct().collect()]  # days of one batch
+        if exists(spark, f"{path}/batch=*/{DAY}=*"):
+            there = spark.read.option("basePath", path).schema(_landed_schema(found)).parquet(path)
+            there = there.filter((F.col("batch") != batch_id) & F.col(DAY).isin(days))
+            same = [F.col(f"n.{c}").eqNullSafe(F.col(f"t.{c}")) for c in [*STATUS_EVENT, DAY]]
+            found = found.alias("n").join(there.alias("t"), same, "left_anti")
         # Overwriting the batch's own folder makes a replayed batch harmless.
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        found.write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/batch={batch_id}")
+        batch.unpersist()
 
     return write
 
 
-def land_events(lines: DataFrame, path: str, checkpoint: str, lateness: str = "7 days"):
-    """Run what is there, deduplicated, into `path`; returns the finished query."""
+def _landed_schema(found: DataFrame) -> T.StructType:
+    return T.StructType([*found.schema.fields, T.StructField("batch", T.LongType())])
+
+
+def landed_events(spark: SparkSession, path: str) -> DataFrame:
+    """The events that `land_events` has written."""
+    return spark.read.option("basePath", path).parquet(path).select(*STATUS_EVENT)
+
+
+def land_events(lines: DataFrame, path: str, checkpoint: str, quarantine: str):
+    """Run what is there: events once each into `path`, other lines into `quarantine`; returns the finished query."""
     query = (
-        once_each(parsed(lines), lateness)
-        .writeStream.foreachBatch(_batch_sink(path))
+        lines.writeStream.foreachBatch(_landing(path, quarantine))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -78,3 +109,22 @@ def keep_latest_status(lines: DataFrame, path: str, checkpoint: str):
 def latest_status(spark: SparkSession, path: str) -> DataFrame:
     """Current status per order from the change log; a tombstone shows as op 'd' without a status."""
     return latest_by(spark.read.parquet(path), ["order_id"], ["batch"]).drop("batch")
+
+
+def compact_changes(spark: SparkSession, path: str) -> None:
+    """Fold the change log into one entry per order, as the log's newest batch; run it between runs of the stream.
+
+    Reading the log then costs the orders plus the changes since. The folded batches go only after the new one is whole.
+    """
+    log = spark.read.parquet(path)
+    newest = log.agg(F.max("batch").alias("b")).first()["b"]
+    if newest is None:
+        return
+    folded = [r["batch"] for r in log.select("batch").distinct().collect()]  # one per batch of the log
+    spare = f"{path}-folded-{newest}"
+    latest_status(spark, path).write.mode("overwrite").parquet(spare)
+    spark.read.parquet(spare).write.mode("overwrite").parquet(f"{path}/batch={newest}")
+    for batch in folded:
+        if batch != newest:
+            remove(spark, f"{path}/batch={batch}")
+    remove(spark, spare)

@@ -1,6 +1,7 @@
 import csv
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from bazaar.sources import landed, sinks
@@ -36,7 +37,7 @@ def test_csv_by_name_with_quotes_and_blanks(spark, tmp_path):
         out.writerow(["full_name", "customer_id", "country", "segment", "signup_date", "updated_at", "extra"])
         out.writerow(['Ləman "L", Q', "C1", " AZE ", "", "2024-01-01", "2026-01-01T00:00:00Z", "x"])
         out.writerow(["two\nlines", "", "N/A", "SME", "2024-01-01", "2026-01-01T00:00:00Z", "x"])
-    rows = landed.customers_csv(spark, str(tmp_path)).orderBy("customer_id").collect()
+    rows = landed.customers_csv(spark, str(tmp_path), multi_line=True).orderBy("customer_id").collect()
     assert [tuple(r) for r in rows] == [
         ("", "two\nlines", "N/A", "SME", "2024-01-01", "2026-01-01T00:00:00Z", "2026-08-24"),
         ("C1", 'Ləman "L", Q', " AZE ", "", "2024-01-01", "2026-01-01T00:00:00Z", "2026-08-24"),
@@ -66,9 +67,38 @@ def test_optional_source(spark, tmp_path):
 def test_replacing_one_load_keeps_the_others(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "n int, _load_id string")
     path = str(tmp_path / "t")
-    sinks.replace_loads(rows, path)
-    sinks.replace_loads(rows.filter("n = 2").withColumn("n", F.lit(9)), path)
+    sinks.replace_loads(rows, path, ["a", "b"])
+    sinks.replace_loads(rows.filter("n = 2").withColumn("n", F.lit(9)), path, ["b"])
     assert sorted((r.n, r._load_id) for r in spark.read.parquet(path).collect()) == [(1, "a"), (9, "b")]
+    sinks.replace_loads(rows.limit(0), path, ["a"])
+    assert [(r.n, r._load_id) for r in spark.read.parquet(path).collect()] == [(9, "b")]
+
+
+def test_csv_files_with_other_column_orders(spark, tmp_path):
+    names = ["customer_id", "full_name", "country", "segment", "signup_date", "updated_at"]
+    for day, order in (("2026-08-24", names), ("2026-08-25", names[1::-1] + names[2:] + ["extra"])):
+        row = {n: f"{n}-{day}" for n in names} | {"extra": "x"}
+        (tmp_path / f"customers_snapshot_{day}.csv").write_text(",".join(order) + "\n" + ",".join(row[n] for n in order) + "\n")
+    rows = landed.customers_csv(spark, str(tmp_path)).collect()
+    assert len(rows) == 2 and all(r[n] == f"{n}-{r.snapshot_date}" for r in rows for n in names)
+
+
+def test_unreadable_pages_are_never_lost(spark, tmp_path):
+    (tmp_path / "p1.json").write_text(json.dumps({"data": [{"order_id": "o1"}], "next_cursor": None, "page_size": 1}))
+    (tmp_path / "p2.json").write_text('{"data": [{"order_id": "o2"}, {"order')
+    assert landed.order_pages(spark, str(tmp_path), strict=False).count() == 1
+    (bad,) = landed.unreadable_pages(spark, str(tmp_path), "b", "orders_x").collect()
+    assert bad.reason_code == "unreadable_page" and json.loads(bad.payload)["raw"].startswith('{"data": [{"order_id": "o2"}')
+    with pytest.raises(Exception, match="unreadable page"):
+        landed.order_pages(spark, str(tmp_path)).collect()
+
+
+def test_rate_documents_by_line_and_file(spark, tmp_path):
+    (tmp_path / "d.ndjson").write_text('{"date": "2026-08-24", "rates": []}\n\n{"date": "2026-08-26", "rates": []}\n')
+    rows = landed.fx_documents(spark, str(tmp_path))
+    assert sorted(r.rate_date for r in rows.collect()) == ["2026-08-24", "2026-08-26"]
+    span = spark.sql("select date'2026-08-24' since, date'2026-08-27' until")
+    assert [str(r.day) for r in landed.days_without_rates(rows, span).collect()] == ["2026-08-25"]
 
 
 def test_compaction_writes_fewer_files(spark, tmp_path):

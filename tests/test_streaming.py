@@ -13,13 +13,14 @@ def test_repeats_and_bad_lines_and_restart(spark, tmp_path):
     first = b.event("E1", "o1", "CREATED", "2026-06-01T00:00:00Z", "c")
     write(source, "a.ndjson", [first, first, '{"event_id": "E', "", b.event(None, "o1", "PACKED", "2026-06-01T01:00:00Z")])
     lines = streaming.stream_lines(spark, str(source))
-    streaming.land_events(lines, out, state)
+    bad = str(tmp_path / "bad")
+    streaming.land_events(lines, out, state, bad)
     # A later file repeats the first event and brings a late one; the stream goes on where it stopped.
-    write(source, "b.ndjson", [first, b.event("E2", "o1", "SHIPPED", "2026-05-31T00:00:00Z"), b.event(None, "o2", "PACKED", "2026-06-01T01:00:00Z")])
-    streaming.land_events(lines, out, state)
-    found = sorted((str(r.event_id), r.order_id, r.new_status) for r in spark.read.parquet(out).collect())
+    write(source, "b.ndjson", [first, b.event("E2", "o1", "SHIPPED", "2026-02-01T00:00:00Z"), b.event(None, "o2", "PACKED", "2026-06-01T01:00:00Z")])
+    streaming.land_events(lines, out, state, bad)
+    found = sorted((str(r.event_id), r.order_id, r.new_status) for r in streaming.landed_events(spark, out).collect())
     assert found == [("E1", "o1", "CREATED"), ("E2", "o1", "SHIPPED"), ("None", "o1", "PACKED"), ("None", "o2", "PACKED")]
-    assert spark.read.text(str(source)).transform(streaming.malformed).filter("value != ''").count() == 1
+    assert [r.raw for r in spark.read.parquet(bad).collect()] == ['{"event_id": "E', ]
 
 
 def test_latest_status_ignores_arrival_order(spark, tmp_path):
@@ -31,3 +32,10 @@ def test_latest_status_ignores_arrival_order(spark, tmp_path):
     streaming.keep_latest_status(lines, out, state)
     found = {r.order_id: (r.op, r.new_status) for r in streaming.latest_status(spark, out).collect()}
     assert found == {"o1": ("u", "SHIPPED"), "o2": ("d", None)}
+    streaming.compact_changes(spark, out)
+    assert {r.order_id: (r.op, r.new_status) for r in streaming.latest_status(spark, out).collect()} == found
+    assert spark.read.parquet(out).count() == 2
+    write(source, "c.ndjson", [b.event("E5", "o1", "DELIVERED", "2026-06-07T00:00:00Z")])
+    streaming.keep_latest_status(lines, out, state)
+    found = {r.order_id: (r.op, r.new_status) for r in streaming.latest_status(spark, out).collect()}
+    assert found == {"o1": ("u", "DELIVERED"), "o2": ("d", None)}
