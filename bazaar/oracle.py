@@ -555,23 +555,32 @@ SQL: dict[str, str] = {
         FROM events GROUP BY 1""",
     "export_csv": "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY 1",
     "medallion_run": """
-        SELECT 'bronze.orders' AS table_name, count(*) AS row_count FROM docs
-        UNION ALL SELECT 'bronze.customers', count(*) FROM custs
-        UNION ALL SELECT 'bronze.products', count(*) FROM prods
-        UNION ALL SELECT 'bronze.events', count(*) + count(*) FILTER (event_id % 50 = 7) FROM events
-        UNION ALL SELECT 'silver.order_lines', count(*) FROM lines
-        UNION ALL SELECT 'quarantine.order_lines', count(*) FROM staged_lines WHERE reason_code IS NOT NULL
-        UNION ALL SELECT 'silver.customers', count(*) FROM snapshots
-        UNION ALL SELECT 'quarantine.customers', count(*) FROM staged_customers WHERE reason_code IS NOT NULL
-        UNION ALL SELECT 'silver.products', count(*) FROM staged_products WHERE reason_code IS NULL
-        UNION ALL SELECT 'quarantine.products', count(*) FROM staged_products WHERE reason_code IS NOT NULL
-        UNION ALL SELECT 'silver.order_status_history', count(*) FROM history
-        UNION ALL SELECT 'quarantine.order_events', count(*) FROM staged_events WHERE reason_code IS NOT NULL
-        UNION ALL SELECT 'silver.order_status_reconciliation', count(*) FROM reconciled
-        UNION ALL SELECT 'gold.dim_customer', count(*) FROM dim_customer
-        UNION ALL SELECT 'gold.dim_product', count(*) FROM dim_product
-        UNION ALL SELECT 'gold.fct_order_lines', count(*) FROM fact
-        UNION ALL SELECT 'gold.fct_order_status_events', count(*) FROM history""",
+        SELECT 'bronze.orders' AS table_name, count(*) AS row_count, 0::DOUBLE AS value_sum FROM docs
+        UNION ALL SELECT 'bronze.customers', count(*), 0 FROM custs
+        UNION ALL SELECT 'bronze.products', count(*), 0 FROM prods
+        UNION ALL SELECT 'bronze.events', count(*) + count(*) FILTER (event_id % 50 = 7), 0 FROM events
+        UNION ALL SELECT 'silver.order_lines', count(*), sum(quantity * line_number) FROM lines
+        UNION ALL SELECT 'quarantine.order_lines', count(*), sum(length(reason_code))
+                  FROM staged_lines WHERE reason_code IS NOT NULL
+        UNION ALL SELECT 'silver.customers', count(*), 0 FROM snapshots
+        UNION ALL SELECT 'quarantine.customers', count(*), 0 FROM staged_customers WHERE reason_code IS NOT NULL
+        UNION ALL SELECT 'silver.products', count(*), 0 FROM staged_products WHERE reason_code IS NULL
+        UNION ALL SELECT 'quarantine.products', count(*), 0 FROM staged_products WHERE reason_code IS NOT NULL
+        UNION ALL SELECT 'silver.order_status_history', count(*), sum(length(new_status)) FROM history
+        UNION ALL SELECT 'quarantine.order_events', count(*), sum(length(reason_code))
+                  FROM staged_events WHERE reason_code IS NOT NULL
+        UNION ALL SELECT 'silver.order_status_reconciliation', count(*),
+                         sum(length(final_status || reconciliation_status)) FROM reconciled
+        UNION ALL SELECT 'gold.dim_customer', count(*), sum(length(segment)) FROM dim_customer
+        UNION ALL SELECT 'gold.dim_product', count(*), 0 FROM dim_product
+        UNION ALL SELECT 'gold.fct_order_lines', count(*), round(sum(gross_amount_azn), 2)::DOUBLE FROM fact
+        UNION ALL SELECT 'gold.fct_order_status_events', count(*),
+                         sum(strftime((event_ts + INTERVAL 4 HOUR)::DATE, '%Y%m%d')::BIGINT) FROM history""",
+    "interval_partitions": """
+        SELECT DISTINCT 'bronze.orders' AS table_name, strftime(updated_at, '%Y-%m') AS partition
+        FROM docs WHERE updated_at >= DATE '2025-06-01'
+        UNION ALL SELECT DISTINCT 'bronze.fx_rates', strftime(rate_date, '%Y-%m') FROM rates
+                  WHERE rate_date >= DATE '2025-06-01'""",
     "stream_events": f"SELECT {STATUS_COLUMNS} FROM event_docs",
     "stream_latest_status": f"""
         SELECT order_id, op, new_status, {_ts('event_ts')} AS event_ts FROM event_docs

@@ -101,11 +101,16 @@ def _quarantined(rows: DataFrame, source: str, load_id: Column, batch_id: str, r
     )
 
 
+def record_key(bronze: DataFrame) -> str:
+    """What tells the rows of a bronze table apart."""
+    return "_record_id" if "_record_id" in bronze.columns else "payload"
+
+
 def unreadable_documents(bronze: DataFrame) -> DataFrame:
     """Quarantine records of landed documents that are no JSON: no model would see them."""
     bad = bronze.filter(~F.coalesce(is_json(F.col("payload")), F.lit(False)))
     return bad.select(
-        joined_key("_source", "_load_id", "_record_id").alias("quarantine_id"),
+        joined_key("_source", "_load_id", record_key(bronze)).alias("quarantine_id"),
         F.col("_source").alias("source"),
         "_batch_id",
         "_load_id",

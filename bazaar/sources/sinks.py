@@ -1,6 +1,8 @@
 """Table publishing, load replacement, partition layout, compaction and CSV export."""
 
+import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,15 +35,66 @@ def publish(spark: SparkSession, table: str, path: str) -> DataFrame:
     return spark.table(table)
 
 
+def _escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark writes it in folder names."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def _literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def publish_partitions(
+    spark: SparkSession, table: str, key: str, path: str, touched: tuple[str, ...], written: tuple[str, ...]
+) -> None:
+    """Point partitions at the folders of a version; touched ones that have no rows any more go."""
+    there = {unquote(r[0].split("=", 1)[1]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    place = lambda v: f"PARTITION (`{key}`={_literal(v)})"
+    where = lambda v: _literal(f"{path}/{key}={_escaped(spark, v)}")
+    new = [v for v in written if v not in there]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD " + " ".join(f"{place(v)} LOCATION {where(v)}" for v in new))
+    for value in set(written) & there:
+        spark.sql(f"ALTER TABLE {table} {place(value)} SET LOCATION {where(value)}")
+    for value in set(touched) - set(written):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {place(value)}")
+    spark.catalog.refreshTable(table)
+
+
+def locations(spark: SparkSession, table: str) -> set[str]:
+    """Folders that a table's data lies in."""
+    def found(sql: str) -> set[str]:
+        return {r["data_type"] for r in spark.sql(sql).collect() if r["col_name"].strip(":") == "Location"}
+
+    out = found(f"DESCRIBE EXTENDED {table}")
+    keys = [r["col_name"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()]
+    if "# Partition Information" in keys:
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+            key, value = row[0].split("=", 1)
+            out |= found(f"DESCRIBE EXTENDED {table} PARTITION (`{key}`={_literal(unquote(value))})")
+    return out
+
+
+def drop_versions(spark: SparkSession, folder: str, live: set[str]) -> int:
+    """Delete the version folders that hold no live location; returns how many."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    plain = [re.sub("^[a-z0-9]+:/+", "/", place) for place in live]
+    old = [s.getPath() for s in (fs.listStatus(where) if fs.exists(where) else []) if s.getPath().getName().startswith("v-")]
+    old = [p for p in old if not any(f"/{p.getName()}/" in f"{place}/" for place in plain)]
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
 def replace_loads(df: DataFrame, path: str, load_ids: list[str]) -> None:
     """The loads named in `load_ids` become the rows of `df`; a load without rows is emptied, other loads stay."""
     spark = df.sparkSession
     mine = df.filter(F.col("_load_id").isin(*load_ids))
     mine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_load_id").parquet(path)
     written = {r["_load_id"] for r in mine.select("_load_id").distinct().collect()}  # some of the ids given
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for load_id in set(load_ids) - written:
-        remove(spark, f"{path}/_load_id={escape(load_id)}")
+        remove(spark, f"{path}/_load_id={_escaped(spark, load_id)}")
 
 
 def replaced_slice(target: DataFrame, batch: DataFrame, source: str, column: Column, low, high) -> DataFrame:
