@@ -1,6 +1,88 @@
-"""DuckDB SQL for the numbered operators that SQL can express."""
+"""DuckDB SQL for the numbered operators that SQL can express.
 
-STATEMENTS: dict[str, str] = {}
+The others (random draws, tokenizers, fitted models, line joins too slow for SQL on whole tables) are tested against plain
+versions in tests/llm.
+"""
+
+from bazaar.llm.quality import POLICIES, RULES, mask_of
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_BITS = " + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(RULES.values()))
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _count(pattern: str) -> str:
+    return f"length(t) - length(regexp_replace(t, '{pattern}', '', 'g'))"
+
+
+def _components(node: str, links: str) -> str:
+    """Recursive closure: every node with the smallest node that the links (a, b) lead to."""
+    return f"""both_ways AS (SELECT a, b FROM {links} UNION SELECT b, a FROM {links}),
+    reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, w.b FROM reach r JOIN both_ways w ON r.b = w.a),
+    component AS (SELECT n.{node} AS node, least(n.{node}, min(r.b)) AS root
+                  FROM nodes n LEFT JOIN reach r ON r.a = n.{node} GROUP BY n.{node})"""
+
+
+STATEMENTS: dict[str, str] = {
+    "op4_ngram_jaccard": f"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS w FROM documents),
+    shingle AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM words WHERE len(w) > 0)),
+    nodes AS (SELECT d.doc_id, count(s) AS n FROM documents d LEFT JOIN shingle USING (doc_id) GROUP BY 1),
+    pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+              FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+    links AS (SELECT p.a, p.b FROM pairs p JOIN nodes x ON x.doc_id = p.a JOIN nodes y ON y.doc_id = p.b
+              WHERE 100 * p.n >= 90 * (x.n + y.n - p.n)),
+    {_components("doc_id", "links")}
+    SELECT doc_id, n AS n_shingles, root AS component_id FROM nodes JOIN component ON node = doc_id""",
+    "op6_quality_rules": f"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+    windows AS (
+        SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS i FROM texts WHERE len(w) >= 8)),
+    twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, generate_series(0, 7) AS g(k) GROUP BY 1),
+    measured AS (
+        SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+               {_count("[#*$%&|<>]")} AS n_symbols,
+               len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))) AS n_lines,
+               n_lines - len(list_distinct(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))))
+                   AS n_dup_lines,
+               len(list_filter(w, lambda x: NOT regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]'))) AS n_bare_words,
+               {_count("[A-Za-z]|[^\\x00-\\x7F]")} AS n_letters, {_count("[A-Z]")} AS n_capitals,
+               {_count("[!?]")} AS n_exclamations, coalesce(c.n, 0) AS n_repeat_words
+        FROM texts LEFT JOIN covered c USING (doc_id)),
+    ledger AS (SELECT *, ({_BITS})::BIGINT AS failures FROM measured)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           failures & {mask_of(POLICIES["base"])} <> 0 AS base_failed,
+           failures & {mask_of(POLICIES["base"]) | mask_of(POLICIES["v2"])} = 0 AS kept, failures FROM ledger""",
+    "op7_chat_formatting": """
+    WITH turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, coalesce(role, ''), coalesce(text, '')) AS rank
+        FROM conversations WHERE conv_id IS NOT NULL),
+    talks AS (
+        SELECT conv_id, count(*) AS n_turns, list(role || chr(0) || text ORDER BY rank) AS said,
+               string_agg('<|' || replace(replace(role, '<|', '< |'), '|>', '| >') || '|>' || chr(10)
+                          || replace(replace(text, '<|', '< |'), '|>', '| >') || chr(10), '' ORDER BY rank) AS text
+        FROM turns GROUP BY conv_id),
+    longer AS (SELECT DISTINCT x.conv_id FROM talks x JOIN talks y
+               ON x.said[1] = y.said[1] AND y.n_turns > x.n_turns AND y.said[1:x.n_turns] = x.said)
+    SELECT min(conv_id) AS conv_id, 0::BIGINT AS part, n_turns, count(*) AS n_snapshots, min(text) AS text
+    FROM talks ANTI JOIN longer USING (conv_id) GROUP BY said, n_turns""",
+    "op8_embedding_dedup": f"""
+    WITH RECURSIVE nodes AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+    usable AS (SELECT * FROM nodes WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+               AND len(list_filter(v, lambda x: x <> 0)) > 0),
+    links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y
+              ON x.vec_id < y.vec_id AND len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.95),
+    {_components("vec_id", "links")},
+    degree AS (SELECT a, count(DISTINCT b) AS n FROM both_ways GROUP BY 1)
+    SELECT vec_id, coalesce(degree.n, 0) AS n_links, root AS component_id, vec_id = root AS kept
+    FROM nodes JOIN component ON node = vec_id LEFT JOIN degree ON degree.a = vec_id""",
+}
 
 
 def statements() -> dict[str, str]:
