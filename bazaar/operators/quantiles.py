@@ -4,19 +4,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_percentiles(
-    rows: DataFrame, group: str, value: str, points: dict[str, float], widths: list[int]
-) -> DataFrame:
+def exact_percentiles(rows: DataFrame, group: str, value: str, points: dict[str, float], width: int) -> DataFrame:
     """`percentile_cont` of an integer column per group, plus `row_count`.
 
-    Equal values collapse to counts first. Counts per bin of the widest width find the bins that hold the
-    wanted ranks; only those bins are cut again with the next width, and only the last, narrowest ones are
-    ordered value by value. `rows` are narrow counts by then; no buffer grows with a group.
+    Equal values collapse to counts first. A histogram per group, with bins of `width`, says which bins hold the wanted
+    ranks: at most two per point. Only the values of those bins are ordered, bin by bin; no buffer grows with a group.
     """
     counts = rows.filter(F.col(value).isNotNull()).groupBy(F.col(group).alias("_g"), F.col(value).alias("_v")).agg(
         F.count("*").alias("_n")
     )
-    sizes = counts.groupBy("_g").agg(F.sum("_n").alias("_size"))
+    counts = counts.withColumn("_bin", F.floor(F.col("_v") / F.lit(width)).cast("bigint"))
 
     def position(p: float):
         return F.lit(p) * (F.col("_size") - 1)
@@ -24,25 +21,23 @@ def exact_percentiles(
     ranks = F.array_distinct(
         F.array(*[edge(position(p)).cast("bigint") for p in points.values() for edge in (F.floor, F.ceil)])
     )
-    # Open cells: whole groups at first, then the bins that hold a wanted rank.
-    cells = sizes.select("_g", F.lit(0).cast("bigint").alias("_bin"), F.lit(0).cast("bigint").alias("_before"), ranks.alias("_ranks"))
-    inside = counts.withColumn("_bin", F.lit(0).cast("bigint"))
-    for width in [*widths, 1]:
-        finer = F.floor(F.col("_v") / F.lit(width)).cast("bigint")
-        open_rows = inside.join(cells.select("_g", "_bin"), ["_g", "_bin"], "left_semi")
-        binned = open_rows.groupBy("_g", "_bin", finer.alias("_fine")).agg(F.sum("_n").alias("_n"))
-        run = Window.partitionBy("_g", "_bin").orderBy("_fine").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cells = (
-            binned.withColumn("_upto", F.sum("_n").over(run))
-            .join(cells, ["_g", "_bin"])
-            .withColumn("_end", F.col("_before") + F.col("_upto"))
-            .withColumn("_start", F.col("_end") - F.col("_n"))
-            .withColumn("_ranks", F.filter("_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_end"))))
-            .filter(F.size("_ranks") > 0)
-            .select("_g", F.col("_fine").alias("_bin"), F.col("_start").alias("_before"), "_ranks")
-        )
-        inside = counts.withColumn("_bin", finer)
-    found = cells.select("_g", F.explode("_ranks").alias("_rank"), F.col("_bin").alias("_v"))
+
+    def held(frame: DataFrame, wanted) -> DataFrame:
+        """The wanted ranks that lie in each row's run of `_n` values ending at `_end`."""
+        start = F.col("_end") - F.col("_n")
+        here = F.filter(wanted, lambda r: (r >= start) & (r < F.col("_end")))
+        return frame.withColumn("_held", here).filter(F.size("_held") > 0)
+
+    whole = Window.partitionBy("_g")
+    upto = [Window.unboundedPreceding, Window.currentRow]
+    bins = counts.groupBy("_g", "_bin").agg(F.sum("_n").alias("_n"))
+    bins = bins.withColumn("_size", F.sum("_n").over(whole))
+    bins = held(bins.withColumn("_end", F.sum("_n").over(whole.orderBy("_bin").rowsBetween(*upto))), ranks)
+    bins = bins.select("_g", "_bin", "_size", (F.col("_end") - F.col("_n")).alias("_before"), F.col("_held").alias("_ranks"))
+    inside = counts.join(bins, ["_g", "_bin"])
+    run = F.sum("_n").over(Window.partitionBy("_g", "_bin").orderBy("_v").rowsBetween(*upto))
+    found = held(inside.withColumn("_end", F.col("_before") + run), F.col("_ranks"))
+    found = found.select("_g", "_size", F.explode("_held").alias("_rank"), "_v")
 
     def at(rank):
         return F.max(F.when(F.col("_rank") == rank, F.col("_v")))
@@ -52,8 +47,4 @@ def exact_percentiles(
         low, high = at(F.floor(position(p)).cast("bigint")), at(F.ceil(position(p)).cast("bigint"))
         share = F.max(position(p) - F.floor(position(p)))
         results.append((low + (high - low) * share).cast("double").alias(name))
-    return (
-        found.join(sizes, "_g")
-        .groupBy(F.col("_g").alias(group))
-        .agg(*results, F.max("_size").alias("row_count"))
-    )
+    return found.groupBy(F.col("_g").alias(group)).agg(*results, F.max("_size").alias("row_count"))
