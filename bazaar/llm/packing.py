@@ -14,6 +14,7 @@ table gives none; only doc_id and text of the input are used, so no name clashes
 import os
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ from bazaar.llm import common
 
 CAPACITY = 2048
 END = 0
-_CACHED = 200_000  # chunks of text that a worker remembers the ids of
+_CACHED = 600_000  # chunks of text that a worker remembers the ids of
 
 
 def vocabulary() -> str:
@@ -47,21 +48,43 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.lowers = self.tokenizer.encode("AÀ", add_special_tokens=False).ids == self.tokenizer.encode("aà", add_special_tokens=False).ids
         self._forget()
 
+    def _plain(self, text: str) -> str:
+        """The text in lower case, where the tokenizer does that anyway and no rule for other scripts can matter."""
+        if not self.lowers or "<|" in text:
+            return text
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text.lower()
+
     def _forget(self) -> None:
         self.index: dict[str, int] = {}
         self.ids, self.starts = np.empty(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
 
     def _learn(self, chunks: list[str]) -> None:
-        found = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
-        ends = self.starts[-1] + np.cumsum([len(f) for f in found])
+        """Remember the ids of new chunks; those that only add a comma or full stop to a word take the word's."""
+        stems = {c[:-1]: c for c in chunks if len(c) > 1 and c[-1] in ",." and c[-2].isalpha()}
+        plain = list(set(chunks).difference(stems.values()).union(stems).difference(self.index))
+        fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        self._add(plain, [e.ids for e in fast(plain, add_special_tokens=False)])
+        marked = [c for c in chunks if c not in self.index]
+        ends = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ",."} if marked else {}
+        words = [self.index[c[:-1]] for c in marked]
+        self._add(marked, [[*self.ids[self.starts[w] : self.starts[w + 1]], *ends[c[-1]]] for c, w in zip(marked, words, strict=True)])
+
+    def _add(self, chunks: list[str], ids: list[list[int]]) -> None:
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
         self.index.update(zip(chunks, range(len(self.index), len(self.index) + len(chunks)), strict=True))
-        self.ids, self.starts = np.concatenate([self.ids, *found]), np.concatenate((self.starts, ends))
+        self.ids, self.starts = np.concatenate((self.ids, flat)), np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, without special tokens of the tokenizer's own."""
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        split = [self._plain(t or "").replace("\n", " ").split(" ") for t in texts]
         chunks = [c for s in split for c in s]
         new = set(chunks).difference(self.index)
         if new and len(self.index) + len(new) > _CACHED:
