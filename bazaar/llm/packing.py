@@ -26,7 +26,7 @@ from bazaar.llm import common
 
 CAPACITY = 2048
 END = 0
-_CACHED = 600_000  # chunks of text that a worker remembers the ids of
+_CACHED = 300_000  # chunks of text that a worker remembers the ids of
 
 
 def vocabulary() -> str:
@@ -137,6 +137,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
                 out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
+        encoder(path)._forget()  # the worker goes on with other work
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, schema)
 

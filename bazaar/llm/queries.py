@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from bazaar.llm import chat, jaccard, language, lines, mixing, packing, quality, secret_scan, toxicity, vectors
 from bazaar.session import settle
 
+ROWS_PER_BATCH = "1000"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -17,6 +18,8 @@ def ready(spark: SparkSession) -> SparkSession:
     environment, home = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     if home not in (path := environment.get("PYTHONPATH", "")).split(":"):
         environment["PYTHONPATH"] = f"{home}:{path}".rstrip(":")
+    # Texts are long: fewer of them at a time between the JVM and Python keep both small.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
     return settle(spark)
 
 
