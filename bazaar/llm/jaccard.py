@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaar.llm import common, graph, rarity
+from bazaar.llm import bitmap, common, graph, rarity
 from bazaar.operators.joins import keyed_join
 
 SHINGLE = 3
@@ -194,7 +194,7 @@ def linked(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[D
         pivots.select("id", "sig", chunk, F.lit(True).alias("pivot"))
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    grouped = texts.join(dealt, "id").repartition("chunk").sortWithinPartitions("chunk")
+    grouped = texts.filter(bitmap.may_hold(member, "id")(F.col("id"))).join(dealt, "id").repartition("chunk").sortWithinPartitions("chunk")
     grouped = grouped.select("chunk", "id", "pivot", "sig", "text")
     done = common.saved(grouped.mapInPandas(_chunked(k, percent), "id long, root long, blob binary"), "chunks")
     edges = done.select(F.col("id").alias("a"), F.col("root").alias("b"))
@@ -238,9 +238,12 @@ def linked(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[D
 def _blobs(done: DataFrame, docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     """Compact sets of the documents in pairs: those that a chunk has made, and the rest from their texts."""
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    have = keyed_join(done.filter("blob IS NOT NULL").select("id", "blob"), wanted, ["id"], "left_semi")
-    lacking = common.saved(wanted.join(done.filter("blob IS NOT NULL").select("id"), "id", "left_anti"), "lacking")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(lacking, "id")
+    wanted = common.saved(wanted, "wanted")
+    may = bitmap.may_hold(wanted, "id")
+    have = common.saved(done.filter("blob IS NOT NULL").filter(may(F.col("id"))).select("id", "blob"), "blobs")
+    lacking = common.saved(wanted.join(have.select("id"), "id", "left_anti"), "lacking")
+    may = bitmap.may_hold(lacking, "id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").filter(may(F.col("id"))).join(lacking, "id")
 
     def work(batch: pd.DataFrame) -> pd.DataFrame:
         return batch[["id"]].assign(blob=[_compact(shingles(t, k)) for t in batch["text"]])
