@@ -56,7 +56,10 @@ def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, table: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Prefix tokens of all lines: token, the line's signature, size and place, and the token's position."""
+    """Prefix tokens of all lines: token, the line's signature, size and place, and the token's position.
+
+    Lines are equal if token, position, signature and size are: some 100 bits.
+    """
     order = docs.sparkSession.sparkContext.broadcast(table)  # fixed size
     bits = len(table).bit_length() - 1
 
@@ -77,7 +80,7 @@ def _entries(docs: DataFrame, table: np.ndarray, width: int, percent: int) -> Da
         head = pos < _prefix(n, percent)[line]
         line, h, pos = line[head], h[head], pos[head]
         columns = [
-            pa.array(common.signed(h)), pa.array(common.signed(signature[line])), pa.array(ids[text_of[line]]),
+            pa.array(common.signed(h)), pa.array((signature[line] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[text_of[line]]),
             pa.array(number[line].astype(np.int32)), pa.array(n[line].astype(np.int32)), pa.array(pos.astype(np.int32)),
         ]
         return pa.RecordBatch.from_arrays(columns, names=["token", "sig", "doc", "line", "n", "pos"])
@@ -88,7 +91,7 @@ def _entries(docs: DataFrame, table: np.ndarray, width: int, percent: int) -> Da
                 part = batch.slice(low, 128)
                 yield of(part.column(0).to_numpy(zero_copy_only=False), part.column(1).to_pylist())
 
-    schema = "token long, sig long, doc long, line int, n int, pos int"
+    schema = "token long, sig int, doc long, line int, n int, pos int"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
@@ -105,7 +108,8 @@ def _met(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             continue
         token, sig, doc, line = (rows[c].to_numpy() for c in ("token", "sig", "doc", "line"))
         same_token = np.concatenate(([False], token[1:] == token[:-1]))
-        first = ~(same_token & np.concatenate(([False], sig[1:] == sig[:-1])))
+        n = rows["n"].to_numpy()
+        first = ~(same_token & np.concatenate(([False], (sig[1:] == sig[:-1]) & (n[1:] == n[:-1]))))
         at = np.flatnonzero(first)
         owner = at[np.cumsum(first) - 1]
         later = ~first & (rows["pos"].to_numpy() == 0) & ((doc != doc[owner]) | (line != line[owner]))
@@ -144,13 +148,15 @@ _PAIR = ("doc_x", "line_x", "doc_y", "line_y")
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(doc, line) of the lines x that some pair's y is similar to."""
     for side in ("x", "y"):
-        named = sets.select(F.col("doc").alias(f"doc_{side}"), F.col("line").alias(f"line_{side}"), F.col("set").alias(f"set_{side}"))
+        place = F.xxhash64(f"doc_{side}", f"line_{side}").alias("place")
+        may = bitmap.may_hold(pairs.select(place), "place")  # only sets that are asked for are shuffled
+        named = sets.filter(may(F.xxhash64("doc", "line"))).select(F.col("doc").alias(f"doc_{side}"), F.col("line").alias(f"line_{side}"), F.col("set").alias(f"set_{side}"))
         pairs = keyed_join(pairs, named, [f"doc_{side}", f"line_{side}"], "inner")
 
     def work(batch: pd.DataFrame) -> pd.DataFrame:
         keep = []
         for x, y in zip(batch["set_x"], batch["set_y"], strict=True):
-            a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+            a, b = np.frombuffer(x, dtype="<u4"), np.frombuffer(y, dtype="<u4")
             keep.append((100 + percent) * len(np.intersect1d(a, b, assume_unique=True)) >= percent * (len(a) + len(b)))
         keep = np.array(keep, dtype=bool)
         return pd.DataFrame({"doc": batch["doc_x"][keep], "line": batch["line_x"][keep]})
@@ -160,7 +166,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """Token sets of the wanted (doc, line)."""
+    """Token sets of the wanted (doc, line), 32 bits of each token.
+
+    Two different tokens of a pair look equal in fewer than one in a million pairs of lines.
+    """
     per = wanted.select("doc", "line").distinct().groupBy("doc").agg(F.collect_list("line").alias("lines"))
     per = common.saved(per, "candidate-lines")
     may = bitmap.may_hold(per, "doc")
@@ -175,21 +184,20 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             mine, mine_h = place[cuts[i] : cuts[i + 1]], h[cuts[i] : cuts[i + 1]]
             for x in lines:
                 lo, hi = np.searchsorted(mine, x), np.searchsorted(mine, x, side="right")
-                out.append((doc, x, np.unique(mine_h[lo:hi]).tobytes()))
+                out.append((doc, x, np.unique((mine_h[lo:hi] >> np.uint64(32)).astype("<u4")).tobytes()))
         return pd.DataFrame(out, columns=["doc", "line", "set"])
 
     # Rows that share a doc_id may differ: any of their lines of that number will do.
-    rows = common.over_batches(texts, work, "doc long, line int, set binary", 128)
-    return common.saved(rows.dropDuplicates(["doc", "line"]), "line-sets")
+    return common.saved(common.over_batches(texts, work, "doc long, line int, set binary", 128), "line-sets")
 
 
 def removed(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc, line) of every line to remove."""
     rows = docs.filter("doc_id IS NOT NULL")
     table = rarity.counts(rows, lambda t: tokens(t, width))
-    order = ["token", "sig", "doc", "line"]
+    order = ["token", "sig", "n", "doc", "line"]
     sorted_ = _entries(rows, table, width, percent).repartition("token").sortWithinPartitions(*order)
-    schema = "token long, sig long, doc long, line int, n int, pos int, later boolean"
+    schema = "token long, sig int, doc long, line int, n int, pos int, later boolean"
     met = common.saved(sorted_.mapInPandas(_met, schema), "met")
     later = met.filter("later").select("doc", "line")
     entries = met.filter("NOT later").select("token", "doc", "line", "n", "pos")
