@@ -1,8 +1,9 @@
 """Line dedup: an exact set-similarity join over the lines of all documents.
 
 A line's tokens are its distinct runs of WIDTH neighbouring words (A-Z as a-z). Single words would be too common: their
-vocabulary stops growing while the corpus goes on, so that ever more lines share even their rarest ones. Lines of fewer
-words hold no token and always stay. A line is removed if an earlier line, in the order of (doc_id, line number), has
+vocabulary stops growing while the corpus goes on, so that ever more lines share even their rarest ones. With
+`short`, a line of fewer words has one token, its whole sequence of words; without, it has none. Lines without tokens, such
+as those without words, always stay. A line is removed if an earlier line, in the order of (doc_id, line number), has
 the same set of tokens or one of Jaccard similarity PERCENT / 100 or more; the first of its kind stays.
 
 Tokens are ordered by rarity in the corpus. One shuffle brings the prefix tokens of all lines together, sorted, and is
@@ -30,12 +31,14 @@ WIDTH = 5
 PERCENT = 80
 
 
-def tokens(text: str | None, width: int = WIDTH) -> np.ndarray:
+def tokens(text: str | None, width: int = WIDTH, short: bool = False) -> np.ndarray:
     """All tokens of a text's lines, repeats included."""
-    return _line_tokens([text], width)[1]
+    return _line_tokens([text], width, short)[1]
 
 
-def _line_tokens(texts: list[str | None], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _line_tokens(
+    texts: list[str | None], width: int = WIDTH, short: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Line (index over all texts) and hash per token, in text order; and per line its text and its number there."""
     raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
     a = np.frombuffer(b"\n".join(raw), dtype=np.uint8)
@@ -45,17 +48,23 @@ def _line_tokens(texts: list[str | None], width: int = WIDTH) -> tuple[np.ndarra
     text_of = np.repeat(np.arange(len(raw)), per_text)
     number = np.arange(len(text_of)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
     line = np.searchsorted(np.flatnonzero(a == 10), starts)
-    if len(h) < width:
-        return np.empty(0, np.int64), np.empty(0, np.uint64), text_of, number
-    whole = line[: len(line) - width + 1] == line[width - 1 :]
-    return line[: len(line) - width + 1][whole], common.windows(h, width)[whole], text_of, number
+    words = np.bincount(line, minlength=len(text_of))
+    first = np.cumsum(words) - words
+    full = np.flatnonzero(np.arange(len(h)) - first[line] <= words[line] - width)
+    found, hashes = [line[full]], [common.windows(h, width)[full] if len(full) else h[:0]]
+    for k in range(1, width if short else 1):  # shorter lines: one run of all their words
+        at = np.flatnonzero(words == k)
+        found.append(at)
+        hashes.append(common.windows(h[(first[at, None] + np.arange(k)).ravel()], k)[::k])
+    by = np.argsort(np.concatenate(found), kind="stable")
+    return np.concatenate(found)[by], np.concatenate(hashes)[by], text_of, number
 
 
 def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
-def _entries(docs: DataFrame, table: np.ndarray, width: int, percent: int) -> DataFrame:
+def _entries(docs: DataFrame, table: np.ndarray, width: int, percent: int, short: bool) -> DataFrame:
     """Prefix tokens of all lines: token, the line's signature, size and place, and the token's position.
 
     Lines are equal if token, position, signature and size are: some 100 bits.
@@ -64,7 +73,7 @@ def _entries(docs: DataFrame, table: np.ndarray, width: int, percent: int) -> Da
     bits = len(table).bit_length() - 1
 
     def of(ids: np.ndarray, texts: list[str | None]) -> pa.RecordBatch:
-        line, h, text_of, number = _line_tokens(texts, width)
+        line, h, text_of, number = _line_tokens(texts, width, short)
         by = np.lexsort((h, order.value[rarity.bucket(h, bits)], line))
         line, h = line[by], h[by]
         new = np.ones(len(h), dtype=bool)
@@ -165,7 +174,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return common.saved(common.over_batches(rows, work, "doc long, line int", 4096).distinct(), "similar-lines")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, width: int, short: bool) -> DataFrame:
     """Token sets of the wanted (doc, line), 32 bits of each token.
 
     Two different tokens of a pair look equal in fewer than one in a million pairs of lines.
@@ -176,7 +185,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").filter(may(F.col("doc"))).join(per, "doc")
 
     def work(batch: pd.DataFrame) -> pd.DataFrame:
-        line, h, text_of, number = _line_tokens(list(batch["text"]), width)
+        line, h, text_of, number = _line_tokens(list(batch["text"]), width, short)
         text, place = text_of[line], number[line]
         cuts = np.searchsorted(text, np.arange(len(batch) + 1))
         out = []
@@ -191,17 +200,17 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return common.saved(common.over_batches(texts, work, "doc long, line int, set binary", 128), "line-sets")
 
 
-def removed(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def removed(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, short: bool = False) -> DataFrame:
     """(doc, line) of every line to remove."""
     rows = docs.filter("doc_id IS NOT NULL")
-    table = rarity.counts(rows, lambda t: tokens(t, width))
+    table = rarity.counts(rows, lambda t: tokens(t, width, short))
     order = ["token", "sig", "n", "doc", "line"]
-    sorted_ = _entries(rows, table, width, percent).repartition("token").sortWithinPartitions(*order)
+    sorted_ = _entries(rows, table, width, percent, short).repartition("token").sortWithinPartitions(*order)
     schema = "token long, sig int, doc long, line int, n int, pos int, later boolean"
     met = common.saved(sorted_.mapInPandas(_met, schema), "met")
     later = met.filter("later").select("doc", "line")
     entries = met.filter("NOT later").select("token", "doc", "line", "n", "pos")
-    sets = _sets(rows, entries, width)
+    sets = _sets(rows, entries, width, short)
 
     head = entries.groupBy("token").agg(F.min(F.struct("doc", "line", "n", "pos")).alias("h"))
     head = _side(head.select("token", "h.*"), "y")
@@ -216,9 +225,11 @@ def removed(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     return known.unionByName(_verified(rest, sets, percent)).distinct()
 
 
-def deduplicated(docs: DataFrame, keep_empty: bool = False, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def deduplicated(
+    docs: DataFrame, keep_empty: bool = False, width: int = WIDTH, percent: int = PERCENT, short: bool = False
+) -> DataFrame:
     """The documents, with all their columns, without their removed lines."""
-    per = removed(docs, width, percent).groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("_lines"))
+    per = removed(docs, width, percent, short).groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("_lines"))
     per = common.saved(per.withColumnRenamed("doc", "_doc"), "removed-lines")
     may = bitmap.may_hold(per, "_doc")
     hit = F.coalesce(may(F.col("doc_id")), F.lit(False))

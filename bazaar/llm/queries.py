@@ -78,7 +78,7 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its remaining text; emptied ones too."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.deduplicated(docs, keep_empty=True).withColumn("n_lines", F.size(F.split("text", "\n")))
+    return lines.deduplicated(docs, keep_empty=True, short=True).withColumn("n_lines", F.size(F.split("text", "\n")))
 
 
 @query

@@ -6,7 +6,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from bazaar.llm import bitmap, lines
+import corpus_pipeline
+from bazaar.llm import bitmap, lines, queries
 
 
 def line_set(line):
@@ -77,3 +78,30 @@ def test_bitmap(spark):
     rows = spark.range(600).selectExpr("id", "if(id = 5, null, id) k")
     found = {r["id"] for r in rows.filter(may(rows["k"])).collect()}
     assert found >= set(range(0, 600, 3)) and len(found) < 230 and 5 not in found
+
+
+def test_short_lines_in_query_and_pipeline(spark, tmp_path):
+    """Repeats of lines of one to four words go too, and nothing else of that length."""
+    long = " ".join(f"w{i}" for i in range(12))
+    texts = ["Read more\n" + long, "read  MORE\nread more now", "more read\n\none", "one\na b c d\n" + long, "a b c d e\na b c d\nRead more", None, "one"]
+    want = ["Read more\n" + long, "read more now", "more read\n\none", "a b c d", "a b c d e", None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["text"] for r in queries.queries()["op9_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == dict(enumerate(want))
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_lines(spark, docs, str(tmp_path)).collect()}
+    assert left == {i: t for i, t in enumerate(want) if t != ""}
+
+
+def test_short_lines_against_all_pairs(spark):
+    rows = corpus(3)
+    text = {d: t for d, t in rows if d is not None}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seen, repeats = set(), set()
+    for d in sorted(text):
+        for i, x in enumerate((text[d] or "").split("\n")):
+            if 0 < len(w := tuple(x.lower().split())) < 5:
+                repeats |= {(d, i)} if w in seen else set()
+                seen.add(w)
+    assert repeats
+    assert {(r["doc"], r["line"]) for r in lines.removed(docs, short=True).collect()} == all_pairs(rows) | repeats
