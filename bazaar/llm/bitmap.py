@@ -49,11 +49,12 @@ def may_hold(keys: DataFrame, column: str, bits: int = BITS, fan: int = 32):
     def test(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bitmap = np.frombuffer(zlib.decompress(shared.value), dtype=np.uint8)
         for keys in batches:
-            known = keys.notna().to_numpy()
-            at = _places(keys.fillna(0).to_numpy(), bits)
-            yield pd.Series(known & ((bitmap[at >> 3] >> (at & 7)) & 1).astype(bool))
+            at = _places(keys.to_numpy(), bits)
+            yield pd.Series(((bitmap[at >> 3] >> (at & 7)) & 1).astype(bool))
 
     def may(col: Column) -> Column:
-        return test(col.cast("long"))
+        # pandas would make floats of a column with a null, and round its keys.
+        key = col.cast("long")
+        return key.isNotNull() & test(F.coalesce(key, F.lit(0).cast("long")))
 
     return may

@@ -114,14 +114,32 @@ def saved(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_ids(rows: DataFrame) -> DataFrame:
+    """doc_id without nulls, which `_no_id` marks: pandas would make floats of a column that holds one, and round ids."""
+    return rows.withColumn("_no_id", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0).cast("long")))
+
+
+def ids_back(rows: DataFrame) -> DataFrame:
+    """Undo with_ids."""
+    return rows.withColumn("doc_id", F.when(~F.col("_no_id"), F.col("doc_id"))).drop("_no_id")
+
+
 def over_batches(
     df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str, rows: int = 512
 ) -> DataFrame:
-    """mapInPandas in slices of few rows, so that long texts keep a worker's memory bounded."""
+    """mapInPandas in slices of few rows, so that long texts keep a worker's memory bounded.
+
+    Where df has a doc_id (long), work must give one row for each of its rows, in order.
+    """
+    named = "doc_id" in df.columns
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), rows):
-                yield work(batch.iloc[at : at + rows])
+                part = batch.iloc[at : at + rows]
+                out = work(part)
+                yield out.assign(_no_id=part["_no_id"].to_numpy()) if named else out
 
-    return df.mapInPandas(run, schema)
+    if not named:
+        return df.mapInPandas(run, schema)
+    return ids_back(with_ids(df).mapInPandas(run, schema + ", _no_id boolean"))

@@ -83,12 +83,12 @@ def settled(a: np.ndarray, p: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray,
     return out, at
 
 
-_UNIT = "doc_id long, source string, n_words long, weight long, whole long, p double, bucket long"
+_UNIT = "doc_id long, source string, n_words long, weight long, whole long, p double, bucket long, _no_id boolean"
 
 
 def _level(rows: pd.DataFrame) -> pd.DataFrame:
     """One group: all of its units whole but at most one."""
-    key = rows["doc_id"].fillna(-1).astype("int64").to_numpy().view(np.uint64)
+    key = np.where(rows["_no_id"], -1, rows["doc_id"]).astype(np.int64).view(np.uint64)
     key = common.mixed(key ^ common.mixed(rows["n_words"].to_numpy(dtype=np.int64).view(np.uint64) + np.uint64(1)))
     order = np.lexsort((rows["n_words"].to_numpy(), key))
     rows, key = rows.iloc[order], key[order]
@@ -108,6 +108,7 @@ def copies(sizes: DataFrame, shares: DataFrame) -> DataFrame:
         F.floor("rate").alias("whole"), (F.col("rate") - F.floor("rate")).alias("p"),
         F.pmod(F.xxhash64("doc_id", "n_words"), groups).alias("bucket"),
     )
+    rows = common.with_ids(rows)
     most = shares.agg(F.max("n_docs").alias("n")).first()["n"] or 0
     buckets, done = max(1, -(-most // GROUP)), []
     while True:
@@ -119,6 +120,7 @@ def copies(sizes: DataFrame, shares: DataFrame) -> DataFrame:
             break
         buckets = -(-buckets // FAN)
         rows = rest.withColumn("bucket", F.col("bucket") % buckets)
+    done, rest = [common.ids_back(d) for d in done], common.ids_back(rest)
     draw = F.pmod(F.xxhash64("source", "doc_id", "n_words"), F.lit(1 << 30)) / float(1 << 30)
     done.append(rest.withColumn("p", F.when(draw < F.col("p"), 1.0).otherwise(0.0)))
     out = done[0]

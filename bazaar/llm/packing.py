@@ -119,7 +119,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
 
     `task` and `number` count the pieces of one length within one task. `keep_ids` adds the token ids.
     """
-    schema = PIECE + ", task int, number long" + (", ids array<long>" if keep_ids else "")
+    schema = PIECE + ", task int, number long, _no_id boolean" + (", ids array<long>" if keep_ids else "")
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, task = np.zeros(capacity + 1, dtype=np.int64), TaskContext.get().partitionId()
@@ -127,19 +127,20 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
             for low in range(0, len(batch), 256):
                 part = batch.iloc[low : low + 256]
                 rows = []
-                for doc_id, ids in zip(part["doc_id"], encoder(path).encode(list(part["text"])), strict=True):
+                for doc_id, none, ids in zip(part["doc_id"], part["_no_id"], encoder(path).encode(list(part["text"])), strict=True):
                     ids = np.append(ids, np.uint32(END)).astype("<u4")
                     for k, start in enumerate(range(0, len(ids), capacity)):
                         one = ids[start : start + capacity]
                         seen[len(one)] += 1
-                        row = (doc_id, k, start, len(one), zlib.crc32(one.tobytes()), task, seen[len(one)] - 1)
+                        row = (doc_id, k, start, len(one), zlib.crc32(one.tobytes()), task, seen[len(one)] - 1, none)
                         rows.append((*row, one.astype(np.int64)) if keep_ids else row)
                 out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
         encoder(path)._forget()  # the worker goes on with other work
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, schema)
+    rows = common.with_ids(docs.select(F.col("doc_id").cast("long"), "text"))
+    return common.ids_back(rows.mapInPandas(run, schema))
 
 
 def fullest(lengths: list[tuple[int, int]], room: int) -> list[tuple[int, int]]:

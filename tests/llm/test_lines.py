@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from bazaar.llm import bitmap, lines, queries
+from bazaar.llm import bitmap, lines, mixing, queries
 
 
 def line_set(line):
@@ -80,6 +80,32 @@ def test_bitmap(spark):
     assert found >= set(range(0, 600, 3)) and len(found) < 230 and 5 not in found
 
 
+def test_large_ids_beside_a_null(spark, tmp_path):
+    """Ids above 2 to the 53 stay what they are in batches that hold a null id, and are found in bitmaps."""
+    big = (1 << 60) + 1
+    text = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(4)]
+    rows = [(big, text[0]), (None, text[1]), (big + 2, text[0] + "\n" + text[2]), (big + 4, text[3]), (None, None), (big + 6, text[3])]
+    docs = spark.createDataFrame([(d, t, "s", "en") for d, t in rows], "doc_id long, text string, source string, lang string").coalesce(1)
+    may = bitmap.may_hold(docs.filter(f"doc_id <> {big + 4}"), "doc_id")
+    found = [r["doc_id"] for r in docs.filter(may(docs["doc_id"])).collect()]
+    assert {big, big + 2, big + 6} <= set(found) and None not in found
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(big, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    ids = sorted((d for d, _ in rows), key=str)
+    for name in ("op2_language_id", "op3_best_fit_packing", "op4_ngram_jaccard", "op6_quality_rules", "op9_line_dedup", "op10_toxicity"):
+        got = queries.queries()[name](spark, str(tmp_path)).collect()
+        assert sorted((r["doc_id"] for r in got), key=str) == ids, name
+        if name == "op4_ngram_jaccard":
+            links = {r["doc_id"]: r["component_id"] for r in got}
+            assert links[big + 6] == big + 4 and links[big] == big and links[None] is None
+        if name == "op9_line_dedup":
+            left = {r["doc_id"]: r["text"] for r in got if r["doc_id"]}
+            assert left == {big: text[0], big + 2: text[2], big + 4: text[3], big + 6: ""}
+    sizes = docs.selectExpr("doc_id", "source", "cast(30 as long) n_words")
+    shares = spark.createDataFrame([("s", 6, 180, 180.0)], "source string, n_docs long, source_size long, target double")
+    assert {r["doc_id"] for r in mixing.copies(sizes, shares).collect()} == set(ids)
+
+
 def test_short_lines_in_query_and_pipeline(spark, tmp_path):
     """Repeats of lines of one to four words go too, and nothing else of that length."""
     long = " ".join(f"w{i}" for i in range(12))
