@@ -6,7 +6,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaar.llm import chat, jaccard, language, lines, merkle, mixing, packing, quality, secret_scan, toxicity, vectors, whitening
+from bazaar.llm import chat, jaccard, language, lines, merkle, mixing, packing, pii, quality, secret_scan, toxicity, vectors, whitening
 from bazaar.session import settle
 
 ROWS_PER_BATCH = "1000"
@@ -92,6 +92,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered())
 
 
+@query
+def op12_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whitened(table(spark, sf_dir, "embeddings"))

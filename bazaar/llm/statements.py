@@ -4,6 +4,7 @@ The others (random draws, tokenizers, fitted models, line joins too slow for SQL
 versions in tests/llm.
 """
 
+from bazaar.llm import pii
 from bazaar.llm.quality import POLICIES, RULES, mask_of
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -46,6 +47,52 @@ def _crc32(text: str) -> str:
     return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: list_transform([xor(a, b)], lambda c: {step})[1]), 4294967295)"
 
 
+def _luhn(digits: str) -> str:
+    each = "CASE WHEN i % 2 = 0 THEN (2 * c::INT) // 10 + (2 * c::INT) % 10 ELSE c::INT END"
+    return f"list_sum(list_transform(string_split(reverse({digits}), ''), lambda c, i: {each})) % 10 = 0"
+
+
+def _mod97(account: str) -> str:
+    codes = f"list_transform(string_split(substr({account}, 5) || left({account}, 4), ''), lambda c: CASE WHEN c >= 'A' THEN ascii(c) - 55 ELSE c::INT END)"
+    return f"list_reduce(list_prepend(0, {codes}), lambda r, v: (r * (CASE WHEN v > 9 THEN 100 ELSE 10 END) + v) % 97) = 1"
+
+
+#: The agreed base patterns as they are written, and the added ones.
+_PII = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+} | {k: pii.PATTERNS[k] for k in pii.KINDS[4:]}
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_ALONE = "NOT regexp_matches(before, '[A-Za-z0-9]$') AND NOT regexp_matches(after, '^[A-Za-z0-9]')"
+_ACCOUNT = "replace(m, ' ', '')"
+_CHECKS = {
+    "email": "true",
+    "ip": "len(list_filter(string_split(m, '.'), lambda x: x::HUGEINT > 255)) = 0",
+    "card": f"length({_DIGITS}) BETWEEN 12 AND 19 AND {_luhn(_DIGITS)}",
+    "phone": f"length({_DIGITS}) BETWEEN 9 AND 15",
+    "iban": f"{_ALONE} AND length({_ACCOUNT}) BETWEEN 15 AND 34 AND {_mod97(_ACCOUNT)}",
+    "ssn": "NOT regexp_matches(before, '[0-9-]$') AND NOT regexp_matches(after, '^[0-9-]') AND NOT regexp_matches(m, '^(000|666|9)|-00-|-0000$')",
+    "local_phone": "NOT regexp_matches(before, '[0-9+-]$|\\+[0-9][ ().0-9-]*$') AND NOT regexp_matches(after, '^[0-9-]')",
+}
+
+
+def _proposals(kind: str) -> str:
+    return f"""SELECT doc_id, {pii.KINDS.index(kind)} AS k, '{kind}' AS kind, {kind in pii.BASE} AS base, f[i] AS m, right(g[i], {pii.BEFORE}) AS before,
+        left(g[i + 1], {pii.AFTER}) AS after, (list_sum(list_transform(g[1:i] || f[1:i - 1], lambda x: length(x))))::BIGINT AS start,
+        {pii.SCORES[kind]} AS own, '{pii.near(pii.WORDS[kind])}' AS words
+        FROM (SELECT doc_id, f, g, unnest(generate_series(1, len(f))) AS i
+              FROM (SELECT doc_id, regexp_extract_all(t, '{_PII[kind]}') AS f, string_split_regex(t, '{_PII[kind]}') AS g FROM texts))"""
+
+
+def _confirmed(kind: str) -> str:
+    around = f"translate(before || ' ' || after, '{_UPPER}', '{_LOWER}')"
+    score = f"""own + CASE WHEN regexp_matches({around}, words) THEN {pii.STEP} ELSE 0 END
+                - CASE WHEN regexp_matches({around}, '{pii.near(pii.AGAINST)}') THEN {pii.STEP} ELSE 0 END"""
+    return f"SELECT *, {score} AS score FROM ({_proposals(kind)}) WHERE {_CHECKS[kind]}"
+
+
 STATEMENTS: dict[str, str] = {
     "op4_ngram_jaccard": f"""
     WITH RECURSIVE words AS (
@@ -105,6 +152,15 @@ STATEMENTS: dict[str, str] = {
     degree AS (SELECT a, count(DISTINCT b) AS n FROM both_ways GROUP BY 1)
     SELECT vec_id, coalesce(degree.n, 0) AS n_links, root AS component_id, vec_id = root AS kept
     FROM nodes JOIN component ON node = vec_id LEFT JOIN degree ON degree.a = vec_id""",
+    "op12_pii_spans": f"""
+    WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    kept AS (SELECT *, kind || ':' || start || ':' || (start + length(m)) AS said FROM ({" UNION ALL ".join(map(_confirmed, pii.KINDS))})
+             WHERE base OR score >= {pii.THRESHOLD}),
+    per AS (SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in pii.BASE)},
+                   string_agg(said, ',' ORDER BY start, k) FILTER (WHERE base) AS b, string_agg(said, ',' ORDER BY start, k) AS a
+            FROM kept GROUP BY doc_id)
+    SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.BASE)}, sha256(coalesce(b, '')) AS base_sha256, coalesce(a, '') AS spans
+    FROM texts LEFT JOIN per USING (doc_id)""",
     "op11_merkle_manifest": f"""
     WITH RECURSIVE docs AS (
         SELECT *, {_leaf("text")} AS leaf, coalesce({_crc32("doc_id::VARCHAR")} % 3 = 0, false) AS hit,
