@@ -1,4 +1,10 @@
-"""One interval from feeds to gold: land, check, model, check, publish."""
+"""One interval from feeds to gold: land, check, model, check, publish.
+
+What drives the models is the difference between the slice that an interval replaces and what it brings: orders with a
+document or event that was added, changed or removed (`bronze.changed_orders`) are staged anew from everything bronze
+holds of them, and replaced in every table. An index (`bronze.places`) names the partitions that hold them, so no
+history is searched. Orders stay on that list until gold is published.
+"""
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -11,14 +17,30 @@ from pyspark.sql import functions as F
 
 from bazaar.functions import local_date
 from bazaar.operators import quality
+from bazaar.operators.diff import changed_keys, digest, version_diff
 from bazaar.operators.joins import anti_join, keyed_join, semi_join
-from bazaar.plans import gold, silver, staging
-from bazaar.schemas import CURRENCIES, EVENT_DOC
+from bazaar.operators.upsert import in_range
+from bazaar.plans import gold, layout, places, silver, staging
+from bazaar.plans.places import ENTITY
+from bazaar.schemas import CURRENCIES
+from bazaar.session import remove
 from bazaar.sources import landed, sinks
 
 WRITERS = 4
-NONE = "none"  # partition of rows without a time
+NONE = layout.NONE
 BRONZE = {"records": "quarantine.records"}
+FOLD = 24  # runs of the index that are kept apart
+#: Tables that share a plan of days, after the table whose rows are counted for it.
+PLANS = {
+    "bronze.orders": ("bronze.orders",),
+    "silver.order_lines": ("silver.order_lines", "quarantine.order_lines", "silver.order_status_reconciliation", "gold.fct_order_lines"),
+    "silver.order_status_history": ("silver.order_status_history", "quarantine.order_events", "gold.fct_order_status_events"),
+}
+PARTED = [t for tables in PLANS.values() for t in tables]
+GOLD = ("gold.fct_order_lines", "gold.fct_order_status_events")
+SILVER = tuple(t for t in PARTED if t not in GOLD and t != "bronze.orders")
+#: Tables that keep the entity as a column; the others have it in their order id.
+WITH_ENTITY = ("bronze.orders", "bronze.events", "quarantine.order_lines", "quarantine.order_events")
 
 
 @dataclass
@@ -30,23 +52,30 @@ class Change:
     key: str | None = None
     touched: tuple[str, ...] = ()
     written: tuple[str, ...] = ()
+    anew: bool = False  # the table gets other partition columns
 
 
 @dataclass
 class Lake:
     """Tables of the four layers; data lives under `root`, database names get `prefix`.
 
-    Writes are versions that nobody sees. `publish` moves the table, or the touched partitions of it, to them; `check`
-    forgets them when a gate fails, so that no later run publishes them.
+    Writes are versions that nobody sees. `publish` moves the tables, or the touched partitions of them, to them; `check`
+    forgets them when a gate fails, so that no later run publishes them. A publish notes what it is about to do first;
+    if it is stopped in between, the next Lake over the same root ends it, so readers of a started lake see all tables of
+    a publish or none. One lake writes at a time. `target` is the number of rows that a partition should hold.
     """
 
     spark: SparkSession
     root: str
     prefix: str = ""
     pending: dict[str, Change] = field(default_factory=dict)
+    target: int = layout.TARGET
 
     def __post_init__(self):
         sinks.create_layers(self.spark, self.root, self.prefix)
+        for note, moves in sinks.journals(self.spark, self.root).items():
+            self._move(moves)
+            remove(self.spark, note)
 
     def has(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.prefix + name)
@@ -66,7 +95,7 @@ class Lake:
         change = self.pending.get(name)
         if change is None:
             return self.table(name)
-        if change.key is None or not self.has(name):
+        if change.key is None or change.anew or not self.has(name):
             return change.rows
         old = self.table(name).filter(~F.col(change.key).isin(*change.touched, *change.written))
         return old.unionByName(change.rows)
@@ -102,20 +131,29 @@ class Lake:
 
     def publish(self) -> dict[str, tuple[str, ...]]:
         """Point the tables at what was written since the last publish; returns the partitions that moved."""
-        moved = {}
+        moves = []
         for name, change in self.pending.items():
-            table = self.prefix + name
-            if change.key is None:
-                sinks.publish(self.spark, table, change.path)
-                continue
-            if not self.has(name):
-                columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in change.rows.schema.fields)
-                base = f"{self.root}/{name.replace('.', '/')}/base"
-                self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (`{change.key}`) LOCATION '{base}'")
-            sinks.publish_partitions(self.spark, table, change.key, change.path, change.touched, change.written)
-            moved[name] = tuple(sorted({*change.touched, *change.written}))
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in change.rows.schema.fields)
+            moves.append({"name": name, "path": change.path, "key": change.key, "touched": change.touched, "written": change.written, "columns": columns, "anew": change.anew})
+        note = sinks.write_journal(self.spark, self.root, moves)
+        self._move(moves)
+        remove(self.spark, note)
         self.pending.clear()
-        return moved
+        return {m["name"]: tuple(sorted({*m["touched"], *m["written"]})) for m in moves if m["key"]}
+
+    def _move(self, moves: list[dict]) -> None:
+        """Do what a note says; doing it twice, or again from the middle, gives the same."""
+        for m in moves:
+            table = self.prefix + m["name"]
+            if m["key"] is None:
+                sinks.publish(self.spark, table, m["path"])
+                continue
+            if m["anew"]:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            if not self.has(m["name"]):
+                base = f"{self.root}/{m['name'].replace('.', '/')}/base"
+                self.spark.sql(f"CREATE TABLE {table} ({m['columns']}) USING parquet PARTITIONED BY (`{m['key']}`) LOCATION '{base}'")
+            sinks.publish_partitions(self.spark, table, m["key"], m["path"], tuple(m["touched"]), tuple(m["written"]))
 
     def vacuum(self, name: str) -> int:
         """Delete the versions of a table that nothing points at any more; returns how many."""
@@ -124,14 +162,68 @@ class Lake:
         return sinks.drop_versions(self.spark, f"{self.root}/{name.replace('.', '/')}", live)
 
 
-def _month_of(moment: str) -> Column:
-    return F.coalesce(F.date_format(moment, "yyyy-MM"), F.lit(NONE))
+def _entity_of(name: str) -> Column:
+    return F.col(ENTITY) if name in WITH_ENTITY else places.entity()
+
+
+def plan_of(lake: Lake, lead: str, days: DataFrame | None = None) -> DataFrame:
+    """The plan of a group of tables; days (one column, a row per row of the lead table) get a label if they have none."""
+    known = lake.current("bronze.layout") if "bronze.layout" in lake.pending or lake.has("bronze.layout") else None
+    mine = None if known is None else known.filter(F.col("tab") == lead).drop("tab")
+    if days is None:
+        return mine
+    sizes = days.toDF("day").groupBy("day").agg(F.count("*").alias("n"))
+    fresh = layout.planned(sizes, mine, lake.target).select(F.lit(lead).alias("tab"), "*")
+    every = fresh if known is None else known.unionByName(fresh)
+    return lake.write("bronze.layout", every).filter(F.col("tab") == lead).drop("tab")
+
+
+def write_places(lake: Lake, rows: DataFrame, whole: bool = False) -> None:
+    """Add a run to the index; `whole` replaces it. Many runs are folded into one."""
+    name = "bronze.places"
+    runs = lake.partitions(name)
+    run = f"{max(map(int, runs), default=0) + 1:010d}"
+    rows = rows.select(ENTITY, "tab", "parts").withColumn("_run", F.lit(run))
+    folded = not whole and len(runs) >= FOLD
+    if folded:
+        every = places.current(lake.table(name).unionByName(rows)).filter(F.size("parts") > 0)
+        rows = every.withColumn("_run", F.lit(run))
+    lake.write_partitions(name, rows, "_run", runs if whole or folded else [])
+
+
+def places_of(lake: Lake, wanted: DataFrame | None = None) -> DataFrame:
+    return places.current(lake.current("bronze.places"), wanted)
+
+
+def _replace_slice(lake: Lake, table: str, rows: DataFrame, moment: str, since: str, until: str) -> tuple[DataFrame, DataFrame | None, list[str]]:
+    """Bronze rows with `_part` in the place of the interval's. Returns what was written, what gave way, and which partitions.
+
+    Rows that the feed brings from outside the interval, or without a time, are merged into their partitions: there they
+    take the place of equal documents, nothing else.
+    """
+    if not lake.has(table):
+        return lake.write_partitions(table, rows, "_part", []), None, []
+    old = lake.table(table)
+    inside = F.coalesce(in_range(F.col(moment), *[F.lit(d).cast(old.schema[moment].dataType) for d in (since, until)]), F.lit(False))
+    stray = rows.filter(~inside)
+    theirs = [r[0] for r in stray.select("_part").distinct().collect()]  # partitions
+    touched = sorted({*layout.within(lake.partitions(table), since, until), *theirs})
+    old = old.filter(F.col("_part").isin(touched))
+    stays, gone = old.filter(~inside), old.filter(inside)
+    if theirs:
+        same = stray.select(F.md5("payload").alias("_content"))
+        stays = stays.withColumn("_content", F.md5("payload"))
+        gone = gone.unionByName(semi_join(stays, ["_content"], same).drop("_content"))
+        stays = anti_join(stays, ["_content"], same).drop("_content")
+    written = lake.write_partitions(table, stays.unionByName(rows), "_part", touched)
+    return written, gone, sorted({*touched, *lake.pending[table].written})
 
 
 def land(lake: Lake, feeds: dict[str, DataFrame], since: str, until: str, loads: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
     """Replace the interval in bronze: orders by their update time, rates by day, the rest by load id.
 
-    Orders and rates lie by month: a run rewrites the months its interval is in, and no others.
+    Orders lie by days as `layout` plans them, rates by month; a run rewrites the partitions its interval is in, and those
+    of rows that come from outside it. What that adds, changes and removes goes to `bronze.changed_orders`.
 
     `feeds` has the bronze rows of the interval; a feed that is missing that day is left out. `loads` names the load ids
     that a feed replaces: one that comes without rows is emptied. (Where it is not given, the ids in the rows.) Order and
@@ -139,36 +231,56 @@ def land(lake: Lake, feeds: dict[str, DataFrame], since: str, until: str, loads:
     Returns the rows landed; nothing is published.
     """
     loads = loads or {}
-    found = {}
+    found, diffs, moved = {}, [], {}
     records = [feeds["records"]] if "records" in feeds else []
     for name, rows in feeds.items():
         table = BRONZE.get(name, f"bronze.{name}")
+        gone = None
+        if name == "orders":
+            rows = rows.withColumn(ENTITY, places.entity("_order_id"))
+            plan = plan_of(lake, table, rows.select(layout.day_of("_updated_at")))
+            rows = layout.placed(rows, plan, layout.day_of("_updated_at"), F.col(ENTITY))
+            written, gone, parts = _replace_slice(lake, table, rows, "_updated_at", since, until)
+        elif name == "fx_rates":
+            rows = rows.withColumn("_part", F.coalesce(F.left("rate_date", F.lit(7)), F.lit(NONE)))
+            _replace_slice(lake, table, rows, "rate_date", since, until)
+        elif name != "records":
+            parts = loads.get(name) or [r[0] for r in rows.select("_load_id").distinct().collect()]
+            if name == "events":
+                rows = landed.promoted_events(rows).withColumn(ENTITY, places.entity("_order_id", "_event_id"))
+                gone = lake.table(table).filter(F.col("_load_id").isin(parts)) if lake.has(table) else None
+            written = lake.write_partitions(table, rows, "_load_id", parts)
         if name in ("orders", "fx_rates"):
-            moment = "_updated_at" if name == "orders" else "rate_date"
-            rows = rows.withColumn("_month", _month_of(moment))
             records.append(landed.unreadable_documents(rows))
-            touched = [m for m in lake.partitions(table) if since[:7] <= m <= until[:7]] + [NONE]
-            if lake.has(table):  # the rest of those months stays; rows without a time belong to no interval
-                old = lake.table(table).filter(F.col("_month").isin(touched))
-                low, high = (F.lit(d).cast(old.schema[moment].dataType) for d in (since, until))
-                stays = old.filter(F.col(moment).isNull() | (F.col(moment) < low) | (F.col(moment) >= high))
-                undated = rows.filter(F.col(moment).isNull())
-                stays = anti_join(stays, [landed.record_key(rows)], undated)
-                whole = stays.unionByName(rows)
-            else:
-                whole = rows
-            found[name] = rows
-            lake.write_partitions(table, whole, "_month", touched)
-        elif name != "records":
-            ids = loads.get(name) or [r[0] for r in rows.select("_load_id").distinct().collect()]
-            found[name] = lake.write_partitions(table, rows, "_load_id", ids)
+        found[name] = rows if name in ("orders", "fx_rates") else written
+        if name in ("orders", "events"):
+            old = rows.limit(0) if gone is None else gone
+            diffs.append(version_diff(old, rows, [ENTITY], digest("payload")).select(ENTITY, "change"))
+            moved[table] = (written, parts)
     if records:
         rows = reduce(DataFrame.unionByName, records)
         ids = [r[0] for r in rows.select("_load_id").distinct().collect()]
         lake.write_partitions("quarantine.records", rows, "_load_id", sorted({*ids, *loads.get("records", [])}))
+    if diffs:
+        _note_changes(lake, reduce(DataFrame.unionByName, diffs), moved)
     return found
 
 
+def _note_changes(lake: Lake, diff: DataFrame, moved: dict[str, tuple[DataFrame, list[str]]]) -> None:
+    """Changed orders join those that wait to be modelled, and the index learns where their documents lie now."""
+    waiting = lake.table("bronze.changed_orders") if lake.has("bronze.changed_orders") else None
+    changed = changed_keys(diff if waiting is None else diff.unionByName(waiting), [ENTITY])
+    changed = lake.write("bronze.changed_orders", changed)
+    key = {"bronze.orders": "_part", "bronze.events": "_load_id"}
+    first = not lake.has("bronze.places")
+    before = None if first else places_of(lake, changed)
+    delta = []
+    for table, (written, parts) in moved.items():
+        now = places.of_rows(written if first else semi_join(written, [ENTITY], changed), table, F.col(ENTITY), F.col(key[table]))
+        delta.append(now if first else places.after_rewrite(before, now, table, parts))
+    write_places(lake, reduce(DataFrame.unionByName, delta), whole=first)
+
+
 def bronze_checks(written: dict[str, DataFrame], tables: list[str], now, lake: Lake) -> DataFrame:
     """The declared checks on what the run landed; on the whole table where it landed nothing."""
     checks = [quality.not_empty(), quality.fresh("_ingested_at", now)]
@@ -180,110 +292,107 @@ def bronze_checks(written: dict[str, DataFrame], tables: list[str], now, lake: L
     return quality.all_results([quality.run_row_checks(f"bronze.{t}", rows(t), checks) for t in tables])
 
 
-def documents_of(lake: Lake, ids: DataFrame) -> DataFrame:
-    """Every version of the orders `ids`. Months are found from two narrow columns; documents of other months stay unread."""
-    bronze = lake.current("bronze.orders")
-    months = semi_join(bronze.select("_order_id", "_month"), ["_order_id"], ids.withColumnRenamed("order_id", "_order_id"))
-    months = [r[0] for r in months.select("_month").distinct().collect()]
-    return semi_join(bronze.filter(F.col("_month").isin(months)), ["_order_id"], ids.withColumnRenamed("order_id", "_order_id"))
+def rows_of(lake: Lake, name: str, touched: DataFrame, where: DataFrame, key: str = "_part") -> DataFrame:
+    """Every row of the touched entities; only the partitions that hold them are read."""
+    rows = lake.current(name).filter(F.col(key).isin(places.partitions(where, name)))
+    return semi_join(rows.withColumn(ENTITY, _entity_of(name)), [ENTITY], touched)
 
 
-def replace_orders(lake: Lake, name: str, fresh: DataFrame, ids: DataFrame | None, month: str = "_month") -> DataFrame:
-    """Give the orders `ids` their fresh rows, in the months that hold their old or new ones; None replaces all."""
-    if ids is None or not lake.has(name):
-        return lake.write_partitions(name, fresh, month, lake.partitions(name))
+def replace_orders(lake: Lake, name: str, fresh: DataFrame, touched: DataFrame | None, where: DataFrame | None) -> DataFrame:
+    """Give the touched orders their fresh rows, in the partitions that hold their old or new ones; None replaces all."""
+    if touched is None or not lake.has(name):
+        return lake.write_partitions(name, fresh, "_part", lake.partitions(name))
+    parts = {r[0] for r in fresh.select("_part").distinct().collect()} | set(places.partitions(where, name))  # partitions
     old = lake.table(name)
-    held = semi_join(old.select("order_id", month), ["order_id"], ids)
-    touched = [r[0] for r in held.select(month).union(fresh.select(month)).distinct().collect()]
-    stays = anti_join(old.filter(F.col(month).isin(touched)), ["order_id"], ids)
-    return lake.write_partitions(name, stays.unionByName(fresh), month, touched)
-
-
-def merge_events(lake: Lake, name: str, fresh: DataFrame, month: str, key: str, gone: DataFrame | None = None) -> DataFrame:
-    """Add events to the months they happened in, late or not; an id that is there already gives way to the fresh row."""
-    if not lake.has(name):
-        return lake.write_partitions(name, fresh, month, [])
-    old = lake.table(name)
-    months = fresh.select(month)
-    if gone is not None:
-        months = months.union(gone.select(month))
-    touched = [r[0] for r in months.distinct().collect()]
-    stays = anti_join(old.filter(F.col(month).isin(touched)), [key], fresh)
-    if gone is not None:
-        stays = anti_join(stays, [key], gone)
-    return lake.write_partitions(name, stays.unionByName(fresh), month, touched)
-
-
-def build_silver(lake: Lake, written: dict[str, DataFrame] | None = None) -> bool:
+    mine = old.filter(F.col("_part").isin(sorted(parts))).withColumn(ENTITY, _entity_of(name))
+    stays = anti_join(mine, [ENTITY], touched).select(*old.columns)
+    return lake.write_partitions(name, stays.unionByName(fresh), "_part", sorted(parts))
+
+
+def note_places(lake: Lake, tables: tuple[str, ...], touched: DataFrame | None) -> None:
+    """Tell the index where the rows just written lie."""
+    now = []
+    for name in tables:
+        rows = lake.pending[name].rows.withColumn(ENTITY, _entity_of(name))
+        rows = rows if touched is None else semi_join(rows, [ENTITY], touched)
+        now.append(places.of_rows(rows, name, F.col(ENTITY), F.col("_part")))
+    found = reduce(DataFrame.unionByName, now)
+    if touched is not None:
+        write_places(lake, places.replaced(found, touched, list(tables)))
+    elif tables == GOLD:
+        write_places(lake, found)
+    else:  # everything is built: the index as well
+        bronze = [places.of_rows(lake.current(t), t, F.col(ENTITY), F.col(k)) for t, k in (("bronze.orders", "_part"), ("bronze.events", "_load_id"))]
+        write_places(lake, reduce(DataFrame.unionByName, [found, *bronze]), whole=True)
+
+
+def newest_events(events: DataFrame) -> DataFrame:
+    """Of events that come under one id with different content, the document received last; copies of it stay."""
+    content, newest = F.md5("payload"), F.struct("_ingested_at", "_record_id")
+    named = events.filter("coalesce(_event_id, '') <> ''").withColumn("_content", content)
+    last = named.groupBy("_event_id").agg(F.max_by("_content", newest).alias("_content"))
+    return semi_join(named, ["_event_id", "_content"], last).drop("_content").unionByName(events.filter("coalesce(_event_id, '') = ''"))
+
+
+def build_silver(lake: Lake, some: bool = True, landed_now: tuple[str, ...] = ()) -> bool:
     """Stage, write accepted and rejected rows and check them; the caller publishes.
 
-    With `written` (what the run landed) only the orders it names, in documents or events, are staged anew, and only the
-    months that hold them are written; whole orders are replaced. Without, everything is built. Customers and
-    products are snapshots and built whole. Returns whether only some orders were touched: those in `silver.touched_orders`.
+    With `some`, only the orders of `bronze.changed_orders` are staged anew, from all their documents and events, and
+    replaced in the partitions that hold them; orders that are gone from bronze leave every table. Otherwise everything is
+    built. Customers and products are snapshots and built whole, if they came or are not there yet (`landed_now`).
+    Returns whether only some orders were touched.
     """
+    some = some and all(map(lake.has, ("silver.order_lines", "bronze.places", "bronze.changed_orders")))
     bronze = {t: lake.current(f"bronze.{t}") for t in ("orders", "customers", "products", "events")}
-    ids, orders, events = None, bronze["orders"], bronze["events"]
-    again = None
-    if written is not None and lake.has("silver.order_lines"):
-        named = [r.select(F.col("_order_id").alias("order_id")) for n, r in written.items() if n == "orders"]
-        if "events" in written:
-            named.append(written["events"].select(F.get_json_object("payload", "$.order_id").alias("order_id")))
-        ids = reduce(DataFrame.unionAll, named).filter("order_id IS NOT NULL").distinct()
-        ids = lake.write("silver.touched_orders", ids)
-        orders = documents_of(lake, ids)
-        if "orders" in written:
-            orders = orders.unionByName(written["orders"].filter("_order_id IS NULL"))
-        events = written.get("events", events.limit(0))
-        # Events that came before their order wait in quarantine.
-        early = lake.table("quarantine.order_events").filter("reason_code = 'unknown_order'")
-        early = early.withColumn("order_id", F.get_json_object("payload", "$.order_id"))
-        again = semi_join(early, ["order_id"], ids)
-    staged_events = staging.order_events(events, bronze["orders"])
-    if again is not None:
-        back = again.select(F.from_json("payload", EVENT_DOC).alias("doc")).select("doc.*")
-        back = back.withColumn("event_ts", F.col("event_ts").cast("timestamp")).select(*staging.STATUS_EVENT)
-        known = semi_join(back, ["order_id"], staging.order_ids(bronze["orders"]))
-        staged_events = staged_events.unionByName(known.withColumn("reason_code", F.lit(None).cast("string")))
-    staged = lake.write_all(
-        {
-            "silver.stg_order_lines": staging.order_lines(orders, bronze["customers"], bronze["products"]),
-            "silver.stg_order_events": staged_events.dropDuplicates(),
-            "silver.stg_customers": staging.customers(bronze["customers"]),
-            "silver.stg_products": staging.products(bronze["products"]),
-        }
-    )
-    lines, events, customers, products = staged.values()
-    ids = None if ids is None else lake.pending["silver.touched_orders"].rows
+    touched = where = None
+    orders, events, known = bronze["orders"], bronze["events"], bronze["orders"]
+    if some:
+        touched = lake.table("bronze.changed_orders").select(ENTITY)
+        where = lake.write("silver.touched_places", places_of(lake, touched))
+        orders = rows_of(lake, "bronze.orders", touched, where)
+        events = rows_of(lake, "bronze.events", touched, where, "_load_id")
+        known = places.known(where, "bronze.orders").withColumnRenamed(ENTITY, "_order_id")
+    references = {t: t in landed_now or not some or not lake.has(f"silver.known_{t}") for t in ("customers", "products")}
+    ids = {t: bronze[t].select(f"{t[:-1]}_id").distinct() for t in references}
+    ids = {t: lake.write(f"silver.known_{t}", ids[t]) if new else lake.table(f"silver.known_{t}") for t, new in references.items()}
+    staged = {
+        "silver.stg_order_lines": staging.order_lines(orders, ids["customers"], ids["products"]),
+        "silver.stg_order_events": staging.order_events(newest_events(events), known),
+    }
+    for t, stage in (("customers", staging.customers), ("products", staging.products)):
+        if references[t]:
+            staged[f"silver.stg_{t}"] = stage(bronze[t])
+    staged = lake.write_all(staged)
+    lines, events = staged["silver.stg_order_lines"], staged["silver.stg_order_events"]
 
     good, bad = silver.status_history(events), silver.status_history_rejected(events)
-    good = good.withColumn("_month", _month_of("event_ts"))
-    moment = F.get_json_object("payload", "$.event_ts").cast("timestamp")
-    bad = bad.withColumn("_at", moment).withColumn("_month", _month_of("_at")).drop("_at")
-    if ids is None:
-        history = lake.write_partitions("silver.order_status_history", good, "_month", lake.partitions("silver.order_status_history"))
-        lake.write_partitions("quarantine.order_events", bad, "_month", lake.partitions("quarantine.order_events"))
-    else:
-        merge_events(lake, "silver.order_status_history", good, "_month", "event_id")
-        history = lake.current("silver.order_status_history")
-        merge_events(lake, "quarantine.order_events", bad, "_month", "quarantine_id", again.select("quarantine_id", "_month"))
-    rejects = silver.order_lines_rejected(lines).withColumn("order_id", F.get_json_object("payload", "$.order_id"))
-    rejects = rejects.withColumn("_at", F.get_json_object("payload", "$.order_ts").cast("timestamp"))
-    order_lines = replace_orders(lake, "silver.order_lines", silver.order_lines(lines).withColumn("_month", _month_of("order_ts")), ids)
-    replace_orders(lake, "quarantine.order_lines", rejects.withColumn("_month", _month_of("_at")).drop("_at"), ids)
-    mine = history if ids is None else semi_join(history, ["order_id"], ids)
-    months = lines.groupBy("order_id").agg(F.min("order_ts").alias("_at"))
-    status = keyed_join(silver.status_reconciliation(lines, mine), months, ["order_id"])
-    replace_orders(lake, "silver.order_status_reconciliation", status.withColumn("_month", _month_of("_at")).drop("_at"), ids)
-    whole = lake.write_all(
-        {
-            "silver.customers": silver.customers(customers),
-            "quarantine.customers": silver.customers_rejected(customers),
-            "silver.products": silver.products(products),
-            "quarantine.products": silver.products_rejected(products),
-        }
-    )
-    clean_customers, clean_products = whole["silver.customers"], whole["silver.products"]
-    history = lake.pending["silver.order_status_history"].rows  # the months that were written
+    field = lambda name: F.get_json_object("payload", f"$.{name}")
+    plan = plan_of(lake, "silver.order_status_history", events.select(layout.day_of("event_ts")))
+    good = layout.placed(good, plan, layout.day_of("event_ts"), places.entity())
+    bad = bad.withColumn(ENTITY, places.entity(field("order_id"), field("event_id"))).withColumn("_at", field("event_ts").cast("timestamp"))
+    bad = layout.placed(bad, plan, layout.day_of("_at"), F.col(ENTITY)).drop("_at")
+    history = replace_orders(lake, "silver.order_status_history", good, touched, where)
+    replace_orders(lake, "quarantine.order_events", bad, touched, where)
+
+    plan = plan_of(lake, "silver.order_lines", lines.select(layout.day_of("order_ts")))
+    rejects = silver.order_lines_rejected(lines).withColumn("order_id", field("order_id")).withColumn(ENTITY, places.entity())
+    rejects = rejects.withColumn("_at", field("order_ts").cast("timestamp"))
+    accepted = layout.placed(silver.order_lines(lines), plan, layout.day_of("order_ts"), places.entity())
+    order_lines = replace_orders(lake, "silver.order_lines", accepted, touched, where)
+    rejects = layout.placed(rejects, plan, layout.day_of("_at"), F.col(ENTITY)).drop("_at")
+    replace_orders(lake, "quarantine.order_lines", rejects, touched, where)
+    times = lines.groupBy("order_id").agg(F.min("order_ts").alias("_at"))
+    status = keyed_join(silver.status_reconciliation(lines, silver.status_history(events)), times, ["order_id"])
+    status = layout.placed(status, plan, layout.day_of("_at"), places.entity()).drop("_at")
+    replace_orders(lake, "silver.order_status_reconciliation", status, touched, where)
+    note_places(lake, SILVER, touched)
+    whole = {}
+    if references["customers"]:
+        whole |= {"silver.customers": silver.customers(staged["silver.stg_customers"]), "quarantine.customers": silver.customers_rejected(staged["silver.stg_customers"])}
+    if references["products"]:
+        whole |= {"silver.products": silver.products(staged["silver.stg_products"]), "quarantine.products": silver.products_rejected(staged["silver.stg_products"])}
+    lake.write_all(whole)
+    clean_customers, clean_products = lake.current("silver.customers"), lake.current("silver.products")
 
     not_null, one_of = quality.not_null, quality.accepted_values
     line_keys = ["order_id", "line_number"]
@@ -310,19 +419,27 @@ def build_silver(lake: Lake, written: dict[str, DataFrame] | None = None) -> boo
             ]
         )
     )
-    return ids is not None
+    return some
+
 
+def _edge_days(lake: Lake, name: str, moment: str) -> DataFrame:
+    """Local days of a table's first and last month of partitions: its first and last day are among them."""
+    labels = [p for p in lake.partitions(name) if p != NONE]
+    ends = {min(labels)[:7], max(labels)[:7]} if labels else set()
+    rows = lake.table(name).filter(F.col("_part").isin([p for p in labels if p[:7] in ends]))
+    return rows.select(local_date(F.col(moment)).alias("day"))
 
-def build_gold(lake: Lake, ids: DataFrame | None, calendar: tuple[str, str] | None = None, priced: bool = True) -> dict[str, tuple[str, ...]]:
+
+def build_gold(lake: Lake, some: bool, calendar: tuple[str, str] | None = None, priced: bool = True) -> dict[str, tuple[str, ...]]:
     """Dimensions and facts, checked before they are published. `priced` also asks for an amount on every line.
 
-    Facts are built for the orders `ids` (None: all) and the events that the run brought. The calendar spans the data
-    unless its first and last day are given.
+    With `some`, facts are built for the orders of `bronze.changed_orders`, which is empty afterwards. The calendar spans
+    the data unless its first and last day are given.
     """
     lines, history = lake.table("silver.order_lines"), lake.table("silver.order_status_history")
     if calendar is None:
-        days = [local_date(F.col(c)).alias("day") for c in ("order_ts", "event_ts")]
-        dates = gold.dim_date(gold.day_bounds(lines.select(days[0]), history.select(days[1])))
+        edges = [_edge_days(lake, "silver.order_lines", "order_ts"), _edge_days(lake, "silver.order_status_history", "event_ts")]
+        dates = gold.dim_date(gold.day_bounds(*edges))
     else:
         dates = gold.calendar(lake.spark, *calendar)
     dimensions = lake.write_all(
@@ -334,21 +451,25 @@ def build_gold(lake: Lake, ids: DataFrame | None, calendar: tuple[str, str] | No
     )
     customers, products, dates = dimensions.values()
     status = lake.table("silver.order_status_reconciliation")
-    if ids is not None:
-        lines, status = semi_join(lines, ["order_id"], ids), semi_join(status, ["order_id"], ids)
+    touched = where = None
+    if some:
+        touched = lake.table("bronze.changed_orders").select(ENTITY)
+        where = lake.write("silver.touched_places", places_of(lake, touched))
+        lines, history, status = (rows_of(lake, n, touched, where) for n in ("silver.order_lines", "silver.order_status_history", "silver.order_status_reconciliation"))
     fact = gold.fct_order_lines(lines, gold.fx_rates(lake.table("bronze.fx_rates")), status, dates, customers)
-    fact = replace_orders(lake, "gold.fct_order_lines", fact.withColumn("_month", _month_of("order_date_baku")), ids)
+    day = F.coalesce(F.col("order_date_baku").cast("string"), F.lit(NONE))
+    fact = lake.write("gold.fresh_lines", layout.placed(fact, plan_of(lake, "silver.order_lines"), day, places.entity()))
+    mine = fact
+    fact = replace_orders(lake, "gold.fct_order_lines", fact, touched, where)
     name = "gold.fct_order_status_events"
-    if ids is not None:
-        history = semi_join(history, ["event_id"], lake.table("silver.stg_order_events").select("event_id"))
-    events = gold.fct_order_status_events(history, dates).withColumn("_month", _month_of("event_date_baku"))
-    if ids is None:
-        events = lake.write_partitions(name, events, "_month", lake.partitions(name))
-    else:
-        events = merge_events(lake, name, events, "_month", "event_id")
+    day = F.coalesce(F.col("event_date_baku").cast("string"), F.lit(NONE))
+    events = layout.placed(gold.fct_order_status_events(history, dates), plan_of(lake, "silver.order_status_history"), day, places.entity())
+    events = replace_orders(lake, name, events, touched, where)
+    note_places(lake, GOLD, touched)
+    del lake.pending["gold.fresh_lines"]
+    lake.write("bronze.changed_orders", lake.table("bronze.changed_orders").limit(0))
     not_null = quality.not_null
     fact_checks = [not_null("order_id"), not_null("line_number")] + ([not_null("gross_amount_azn")] if priced else [])
-    grain = lake.current("gold.fct_order_lines").filter(F.col("order_id").isNotNull())
     lake.check(
         quality.all_results(
             [
@@ -362,7 +483,8 @@ def build_gold(lake: Lake, ids: DataFrame | None, calendar: tuple[str, str] | No
                 quality.relationship("gold.fct_order_lines", fact, "product_id", products, "product_id"),
                 quality.relationship("gold.fct_order_lines", fact, "customer_key", customers, "customer_key"),
                 quality.relationship("gold.fct_order_lines", fact, "order_date_key", dates, "date_key"),
-                quality.same_count("gold.fct_order_lines", "grain", grain.select("order_id"), lake.table("silver.order_lines").select("order_id").filter(F.col("order_id").isNotNull())),
+                # Untouched orders were counted by the run that wrote them.
+                quality.same_count("gold.fct_order_lines", "grain", mine.filter("order_id IS NOT NULL"), lines.filter("order_id IS NOT NULL")),
                 quality.run_row_checks(name, events, [not_null("event_id")]),
                 quality.unique(name, events, ["event_id"]),
             ]
@@ -391,13 +513,75 @@ def run_interval(
     written = land(lake, feeds, since, until, loads)
     lake.check(bronze_checks(written, list(checked), now, lake))
     moved |= lake.publish()
-    some = build_silver(lake, None if full_refresh else written)
+    some = build_silver(lake, not full_refresh, tuple(written))
     moved |= lake.publish()
-    ids = lake.table("silver.touched_orders") if some else None
-    moved |= build_gold(lake, ids, calendar, priced)
+    moved |= build_gold(lake, some, calendar, priced)
     return moved
 
 
+def rearrange(lake: Lake) -> dict[str, tuple[str, ...]]:
+    """Plan the partitions of all tables anew by what they hold, and move the rows whose partition changes.
+
+    Split days that grew heavy, group days that are light. A table that still lies by `_month`, from before days were
+    planned, is brought to the present layout whole. Only partitions that rows leave or join are rewritten.
+    """
+    months = [t for t in (*PARTED, "bronze.fx_rates") if lake.has(t) and "_month" in lake.table(t).columns]
+    events = lake.table("bronze.events")
+    if ENTITY not in events.columns:
+        rows = landed.promoted_events(events).withColumn(ENTITY, places.entity("_order_id", "_event_id"))
+        lake.write_partitions("bronze.events", rows.select(*[c for c in rows.columns if c != "_load_id"], "_load_id"), "_load_id", [])
+        lake.pending["bronze.events"].anew = True
+    plans = []
+    for lead, tables in PLANS.items():
+        held = {t: lake.table(t) for t in tables if lake.has(t)}
+        for t, rows in held.items():
+            if t in months:
+                held[t] = rows.withColumn("_day", _old_day(t))
+            if t in WITH_ENTITY and ENTITY not in rows.columns:
+                held[t] = held[t].withColumn(ENTITY, _old_entity(t))
+        plan = layout.planned(held[lead].groupBy(F.col("_day").alias("day")).agg(F.count("*").alias("n")), None, lake.target)
+        plans.append(plan.select(F.lit(lead).alias("tab"), "*"))
+        for t, rows in held.items():
+            as_is = rows.withColumnRenamed("_month" if t in months else "_part", "_was")
+            now = layout.placed(as_is.withColumnRenamed("_day", "_on"), plan, F.col("_on"), _entity_of(t)).drop("_on")
+            if t in months:
+                lake.write_partitions(t, now.drop("_was"), "_part", [])
+                lake.pending[t].anew = True
+                continue
+            pairs = now.filter("_was <> _part").select("_was", "_part").distinct().collect()  # partitions
+            touched = sorted({p for pair in pairs for p in pair})
+            if touched:
+                lake.write_partitions(t, now.filter(F.col("_was").isin(touched)).drop("_was"), "_part", touched)
+    if "bronze.fx_rates" in months:
+        lake.write_partitions("bronze.fx_rates", lake.table("bronze.fx_rates").withColumnRenamed("_month", "_part"), "_part", [])
+        lake.pending["bronze.fx_rates"].anew = True
+    lake.write("bronze.layout", reduce(DataFrame.unionByName, plans))
+    index = [places.of_rows(lake.current(t).withColumn(ENTITY, _entity_of(t)), t, F.col(ENTITY), F.col("_part")) for t in PARTED if lake.has(t)]
+    index.append(places.of_rows(lake.current("bronze.events"), "bronze.events", F.col(ENTITY), F.col("_load_id")))
+    write_places(lake, reduce(DataFrame.unionByName, index), whole=True)
+    if not lake.has("bronze.changed_orders"):
+        lake.write("bronze.changed_orders", lake.spark.createDataFrame([], f"{ENTITY} string, change string"))
+    return lake.publish()
+
+
+def _old_day(name: str) -> Column:
+    """The day of a row of a table that lay by month, from its own columns; its month's first day where it has none."""
+    moments = {
+        "bronze.orders": F.col("_updated_at"), "silver.order_lines": F.col("order_ts"), "silver.order_status_history": F.col("event_ts"),
+        "quarantine.order_lines": F.get_json_object("payload", "$.order_ts").cast("timestamp"), "quarantine.order_events": F.get_json_object("payload", "$.event_ts").cast("timestamp"),
+        "gold.fct_order_lines": F.col("order_date_baku"), "gold.fct_order_status_events": F.col("event_date_baku"),
+    }
+    first = F.when(F.col("_month") != NONE, F.concat("_month", F.lit("-01"))).otherwise(NONE)
+    return F.coalesce(F.date_format(moments[name], "yyyy-MM-dd"), F.lit(NONE)) if name in moments else first
+
+
+def _old_entity(name: str) -> Column:
+    if name == "bronze.orders":
+        return places.entity("_order_id")
+    field = lambda f: F.get_json_object("payload", f"$.{f}")
+    return places.entity(field("order_id"), field("event_id") if name == "quarantine.order_events" else None)
+
+
 def backfill(lake: Lake, feeds_of, days: list[tuple[str, str]], now, **options) -> None:
     """Run intervals in order; `feeds_of(since, until)` gives the feeds of one."""
     for since, until in days:

@@ -130,6 +130,14 @@ def promoted(records: DataFrame) -> DataFrame:
     return records.withColumns({"_order_id": keys["order_id"], "_updated_at": keys["updated_at"].cast("timestamp")})
 
 
+def promoted_events(records: DataFrame) -> DataFrame:
+    """Adds `_event_id` and `_order_id` of status events, where they are not there already."""
+    if "_event_id" in records.columns:
+        return records
+    keys = F.from_json("payload", "event_id string, order_id string")
+    return records.withColumns({"_event_id": keys["event_id"], "_order_id": keys["order_id"]})
+
+
 def order_slice(records: DataFrame, since: str, until: str) -> DataFrame:
     """Promoted records updated in `[since, until)`."""
     updated = F.col("_updated_at")

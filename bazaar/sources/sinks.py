@@ -1,5 +1,6 @@
 """Table publishing, load replacement, partition layout, compaction and CSV export."""
 
+import json
 import re
 import uuid
 from urllib.parse import unquote
@@ -61,6 +62,30 @@ def publish_partitions(
     spark.catalog.refreshTable(table)
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def write_journal(spark: SparkSession, root: str, moves: list[dict]) -> str:
+    """Note what a publish is about to do, as one file that is there whole or not at all."""
+    name = f"{root}/_journal/{uuid.uuid4().hex}"
+    draft, fs = _file_system(spark, name + ".draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(moves).encode()))
+    out.close()
+    fs.rename(draft, spark._jvm.org.apache.hadoop.fs.Path(name + ".json"))
+    return name + ".json"
+
+
+def journals(spark: SparkSession, root: str) -> dict[str, list[dict]]:
+    """Notes of publishes that did not end, with what they were about to do; at most a few."""
+    where, fs = _file_system(spark, f"{root}/_journal")
+    names = [s.getPath().toString() for s in (fs.listStatus(where) if fs.exists(where) else [])]
+    read = lambda n: spark.read.option("wholetext", True).text(n).first()["value"]
+    return {n: json.loads(read(n)) for n in sorted(names) if n.endswith(".json")}
+
+
 def locations(spark: SparkSession, table: str) -> set[str]:
     """Folders that a table's data lies in."""
     def found(sql: str) -> set[str]:

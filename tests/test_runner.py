@@ -33,7 +33,7 @@ def test_intervals_gate_and_versions(spark, tmp_path):
     assert lines() == [("o1", 2), ("o2", 2)]
 
     # The same interval again replaces its documents instead of doubling them; o2 is gone from the source.
-    run([b.order("o1", {"quantity": 5})], "2026-06-01", "2026-06-02", full_refresh=True)
+    run([b.order("o1", {"quantity": 5})], "2026-06-01", "2026-06-02")
     assert lake.table("bronze.orders").count() == 1
     assert lines() == [("o1", 5)]
 
@@ -71,7 +71,7 @@ def test_a_run_rewrites_only_what_it_touches(spark, tmp_path):
     assert [r.event_id for r in lake.table("silver.order_status_history").collect()] == ["E1"]
     assert lake.table("quarantine.order_events").count() == 0
     assert {r.reason_code for r in lake.table("quarantine.order_lines").collect()} == {"duplicate_order"}
-    plan = lake.table("gold.fct_order_lines").filter("_month = '2026-07'")._jdf.queryExecution().executedPlan().toString()
+    plan = lake.table("gold.fct_order_lines").filter("_part = '2026-07'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan
     # Replaced versions can go: nothing that is left changes.
     assert lake.vacuum("silver.order_lines") + lake.vacuum("gold.dim_date") > 0
