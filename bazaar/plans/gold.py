@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bazaar.functions import joined_key, local_date
 from bazaar.operators.dedup import latest_by
 from bazaar.operators.joins import asof_join_daily, interval_join, keyed_join
-from bazaar.operators.scd2 import scd2
+from bazaar.operators.scd2 import merge_snapshot, scd2
 from bazaar.schemas import (
     BASE_CURRENCY,
     CURRENCIES,
@@ -23,15 +23,27 @@ CUSTOMER_ATTRIBUTES = ["full_name", "country", "segment", "signup_date"]
 
 
 def dim_customer(customers: DataFrame, only_bounds: bool = False) -> DataFrame:
-    versions = scd2(customers, "customer_id", CUSTOMER_ATTRIBUTES, "snapshot_date", FIRST_VERSION_DAY, only_bounds)
+    return customer_versions(scd2(customers, "customer_id", CUSTOMER_ATTRIBUTES, "snapshot_date", FIRST_VERSION_DAY, only_bounds))
+
+
+def customer_versions(versions: DataFrame) -> DataFrame:
+    """The dimension's columns over versions of customers."""
     return versions.select(
         joined_key("customer_id", "valid_from").alias("customer_key"),
         "customer_id",
         *CUSTOMER_ATTRIBUTES,
         "valid_from",
         "valid_to",
-        "is_current",
+        F.col("valid_to").isNull().alias("is_current"),
+    )
+
+
+def merge_customers(dimension: DataFrame, series: list[str], snapshot: DataFrame, day: str, present: bool = True) -> tuple[DataFrame, DataFrame]:
+    """One snapshot into the dimension of a series: (customers that change, their new rows); see `merge_snapshot`."""
+    changed, fresh = merge_snapshot(
+        dimension, series, snapshot, day, "customer_id", CUSTOMER_ATTRIBUTES, "snapshot_date", FIRST_VERSION_DAY, present
     )
+    return changed, customer_versions(fresh)
 
 
 def dim_date(bounds: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from bazaar.functions import local_date
 from bazaar.operators import quality
 from bazaar.operators.diff import changed_keys, digest, version_diff
 from bazaar.operators.joins import anti_join, keyed_join, semi_join
+from bazaar.operators.scd2 import merged_series
 from bazaar.operators.upsert import in_range
 from bazaar.plans import gold, layout, places, silver, staging
 from bazaar.plans.places import ENTITY
@@ -30,6 +31,8 @@ WRITERS = 4
 NONE = layout.NONE
 BRONZE = {"records": "quarantine.records"}
 FOLD = 24  # runs of the index that are kept apart
+BUCKETS = 64  # partitions of the customer dimension
+MERGED_DAYS = 4  # snapshots that are merged one by one; with more, all versions are built
 #: Tables that share a plan of days, after the table whose rows are counted for it.
 PLANS = {
     "bronze.orders": ("bronze.orders",),
@@ -249,6 +252,8 @@ def land(lake: Lake, feeds: dict[str, DataFrame], since: str, until: str, loads:
             if name == "events":
                 rows = landed.promoted_events(rows).withColumn(ENTITY, places.entity("_order_id", "_event_id"))
                 gone = lake.table(table).filter(F.col("_load_id").isin(parts)) if lake.has(table) else None
+            if name == "customers":
+                _note_snapshots(lake, rows, parts)
             written = lake.write_partitions(table, rows, "_load_id", parts)
         if name in ("orders", "fx_rates"):
             records.append(landed.unreadable_documents(rows))
@@ -266,6 +271,20 @@ def land(lake: Lake, feeds: dict[str, DataFrame], since: str, until: str, loads:
     return found
 
 
+def _snapshot_part() -> Column:
+    return F.coalesce(F.col("snapshot_date").cast("string"), F.lit(NONE)).alias("_part")
+
+
+def _note_snapshots(lake: Lake, rows: DataFrame, load_ids: list[str]) -> None:
+    """The days whose customer snapshot comes or gives way wait to be modelled."""
+    days = rows.select(_snapshot_part())
+    if lake.has("bronze.customers"):
+        days = days.union(lake.table("bronze.customers").filter(F.col("_load_id").isin(load_ids)).select(_snapshot_part()))
+    if lake.has("bronze.changed_snapshots"):
+        days = days.union(lake.table("bronze.changed_snapshots"))
+    lake.write("bronze.changed_snapshots", days.distinct())
+
+
 def _note_changes(lake: Lake, diff: DataFrame, moved: dict[str, tuple[DataFrame, list[str]]]) -> None:
     """Changed orders join those that wait to be modelled, and the index learns where their documents lie now."""
     waiting = lake.table("bronze.changed_orders") if lake.has("bronze.changed_orders") else None
@@ -334,6 +353,17 @@ def newest_events(events: DataFrame) -> DataFrame:
     return semi_join(named, ["_event_id", "_content"], last).drop("_content").unionByName(events.filter("coalesce(_event_id, '') = ''"))
 
 
+def judged_anew(lake: Lake, column: str, old: DataFrame, new: DataFrame, reason: str) -> DataFrame:
+    """Orders whose lines may be judged otherwise now: rejected for a reference that came, or accepted with one that went."""
+    old, new = (r.select(column).distinct() for r in (old, new))
+    came, went = anti_join(new, [column], old), anti_join(old, [column], new)
+    rejects = lake.table("quarantine.order_lines").filter(F.col("reason_code") == reason)
+    rejects = rejects.withColumn(column, F.get_json_object("payload", f"$.{column}"))
+    return semi_join(rejects, [column], came).select(ENTITY).union(
+        semi_join(lake.table("silver.order_lines"), [column], went).select(places.entity().alias(ENTITY))
+    )
+
+
 def build_silver(lake: Lake, some: bool = True, landed_now: tuple[str, ...] = ()) -> bool:
     """Stage, write accepted and rejected rows and check them; the caller publishes.
 
@@ -344,24 +374,38 @@ def build_silver(lake: Lake, some: bool = True, landed_now: tuple[str, ...] = ()
     """
     some = some and all(map(lake.has, ("silver.order_lines", "bronze.places", "bronze.changed_orders")))
     bronze = {t: lake.current(f"bronze.{t}") for t in ("orders", "customers", "products", "events")}
+    by_day = some and lake.has("bronze.changed_snapshots") and lake.has("silver.known_customers")
+    if by_day:
+        by_day = all("_part" in lake.table(f"silver.{t}").columns for t in ("customers", "known_customers"))
+    days = [r[0] for r in lake.table("bronze.changed_snapshots").collect()] if by_day else []  # snapshots that came
+    held = {k: lake.table(f"silver.known_{k}s") for k in ("customer", "product") if lake.has(f"silver.known_{k}s")}
+    snapshots = bronze["customers"].withColumn("_part", _snapshot_part())
+    snapshots = snapshots.filter(F.col("_part").isin(days)) if by_day else snapshots
+    replace_days(lake, "silver.known_customers", snapshots.select("customer_id", "_part").distinct(), days, by_day)
+    products = not some or "products" in landed_now or not lake.has("silver.known_products")
+    if products:
+        lake.write("silver.known_products", bronze["products"].select("product_id").distinct())
+    fresh = ["customer"] * bool(by_day and days) + ["product"] * bool(some and products and "product" in held)
+    if fresh:
+        judged = [judged_anew(lake, f"{k}_id", held[k], lake.current(f"silver.known_{k}s"), f"unknown_{k}") for k in fresh]
+        waiting = lake.table("bronze.changed_orders").unionByName(reduce(DataFrame.unionByName, judged).withColumn("change", F.lit("changed")))
+        lake.write("bronze.changed_orders", waiting.groupBy(ENTITY).agg(F.min("change").alias("change")))
     touched = where = None
     orders, events, known = bronze["orders"], bronze["events"], bronze["orders"]
     if some:
-        touched = lake.table("bronze.changed_orders").select(ENTITY)
+        touched = lake.current("bronze.changed_orders").select(ENTITY)
         where = lake.write("silver.touched_places", places_of(lake, touched))
         orders = rows_of(lake, "bronze.orders", touched, where)
         events = rows_of(lake, "bronze.events", touched, where, "_load_id")
         known = places.known(where, "bronze.orders").withColumnRenamed(ENTITY, "_order_id")
-    references = {t: t in landed_now or not some or not lake.has(f"silver.known_{t}") for t in ("customers", "products")}
-    ids = {t: bronze[t].select(f"{t[:-1]}_id").distinct() for t in references}
-    ids = {t: lake.write(f"silver.known_{t}", ids[t]) if new else lake.table(f"silver.known_{t}") for t, new in references.items()}
     staged = {
-        "silver.stg_order_lines": staging.order_lines(orders, ids["customers"], ids["products"]),
+        "silver.stg_order_lines": staging.order_lines(orders, lake.current("silver.known_customers"), lake.current("silver.known_products")),
         "silver.stg_order_events": staging.order_events(newest_events(events), known),
     }
-    for t, stage in (("customers", staging.customers), ("products", staging.products)):
-        if references[t]:
-            staged[f"silver.stg_{t}"] = stage(bronze[t])
+    if days or not by_day:
+        staged["silver.stg_customers"] = staging.customers(snapshots)
+    if products:
+        staged["silver.stg_products"] = staging.products(bronze["products"])
     staged = lake.write_all(staged)
     lines, events = staged["silver.stg_order_lines"], staged["silver.stg_order_events"]
 
@@ -386,13 +430,16 @@ def build_silver(lake: Lake, some: bool = True, landed_now: tuple[str, ...] = ()
     status = layout.placed(status, plan, layout.day_of("_at"), places.entity()).drop("_at")
     replace_orders(lake, "silver.order_status_reconciliation", status, touched, where)
     note_places(lake, SILVER, touched)
-    whole = {}
-    if references["customers"]:
-        whole |= {"silver.customers": silver.customers(staged["silver.stg_customers"]), "quarantine.customers": silver.customers_rejected(staged["silver.stg_customers"])}
-    if references["products"]:
-        whole |= {"silver.products": silver.products(staged["silver.stg_products"]), "quarantine.products": silver.products_rejected(staged["silver.stg_products"])}
-    lake.write_all(whole)
-    clean_customers, clean_products = lake.current("silver.customers"), lake.current("silver.products")
+    if "silver.stg_customers" in staged:
+        found = staged["silver.stg_customers"]
+        rejects = silver.customers_rejected(found).withColumn("snapshot_date", F.get_json_object("payload", "$.snapshot_date"))
+        replace_days(lake, "silver.customers", silver.customers(found).withColumn("_part", _snapshot_part()), days, by_day)
+        replace_days(lake, "quarantine.customers", rejects.withColumn("_part", _snapshot_part()).drop("snapshot_date"), days, by_day)
+    if products:
+        found = staged["silver.stg_products"]
+        lake.write_all({"silver.products": silver.products(found), "quarantine.products": silver.products_rejected(found)})
+    clean_customers = lake.pending["silver.customers"].rows if "silver.customers" in lake.pending else lake.table("silver.customers").limit(0)
+    clean_products = lake.current("silver.products")
 
     not_null, one_of = quality.not_null, quality.accepted_values
     line_keys = ["order_id", "line_number"]
@@ -422,6 +469,52 @@ def build_silver(lake: Lake, some: bool = True, landed_now: tuple[str, ...] = ()
     return some
 
 
+def replace_days(lake: Lake, name: str, rows: DataFrame, days: list[str], by_day: bool) -> None:
+    """Snapshot rows in the place of those of some days; else of all, also where the table has no days yet."""
+    if by_day and not days:
+        return
+    old_form = lake.has(name) and "_part" not in lake.table(name).columns
+    lake.write_partitions(name, rows, "_part", days if by_day else [] if old_form else lake.partitions(name))
+    lake.pending[name].anew = old_form
+
+
+def build_customers(lake: Lake, some: bool) -> tuple[DataFrame | None, str | None]:
+    """Bring `gold.dim_customer` up to date, writing only buckets with a customer that changed.
+
+    Returns those customers (None: any) and the day from which their versions may differ (None: ever).
+    """
+    name, now = "gold.dim_customer", [p for p in lake.partitions("silver.customers") if p != NONE]
+    bucketed = lake.has(name) and "_bucket" in lake.table(name).columns
+    bucket = F.pmod(F.xxhash64("customer_id"), F.lit(BUCKETS)).cast("string").alias("_bucket")
+    days = sorted(r[0] for r in lake.table("bronze.changed_snapshots").filter(F.col("_part") != NONE).collect())  # snapshots that came
+    series = sorted(r[0] for r in lake.table("gold.customer_days").collect()) if lake.has("gold.customer_days") else []
+    days = [d for d in days if d in series or d in now]
+    lake.write("gold.customer_days", lake.spark.createDataFrame([(d,) for d in now], "day string"))
+    lake.write("bronze.changed_snapshots", lake.table("bronze.changed_snapshots").limit(0))
+    if not some or not bucketed or not series or len(days) > MERGED_DAYS or sorted({*series, *days} - ({*days} - {*now})) != now:
+        dimension = gold.dim_customer(lake.table("silver.customers")).withColumn("_bucket", bucket)
+        lake.write_partitions(name, dimension, "_bucket", lake.partitions(name) if bucketed else [])
+        lake.pending[name].anew = lake.has(name) and not bucketed
+        return None, None
+    dimension, changed = lake.table(name).drop("_bucket"), None
+    since = days[0] if days and days[0] > series[0] else None
+    for day in days:
+        present = day in now
+        keys, fresh = gold.merge_customers(dimension, series, lake.table("silver.customers").filter(F.col("_part") == day), day, present)
+        keys = lake.write("gold.changed_customers", keys if changed is None else keys.union(changed).distinct())
+        fresh = lake.write("gold.fresh_customers", fresh)
+        dimension, changed, series = anti_join(dimension, ["customer_id"], keys).unionByName(fresh), keys, merged_series(series, day, present)
+        if len(days) > 1:
+            dimension = lake.write("gold.merged_customers", dimension)
+    if changed is None:
+        return lake.spark.createDataFrame([], "customer_id string"), None
+    buckets = [r[0] for r in changed.select(bucket).distinct().collect()]
+    if buckets:
+        rows = dimension.withColumn("_bucket", bucket).filter(F.col("_bucket").isin(buckets))
+        lake.write_partitions(name, rows, "_bucket", buckets)
+    return changed, since
+
+
 def _edge_days(lake: Lake, name: str, moment: str) -> DataFrame:
     """Local days of a table's first and last month of partitions: its first and last day are among them."""
     labels = [p for p in lake.partitions(name) if p != NONE]
@@ -430,7 +523,7 @@ def _edge_days(lake: Lake, name: str, moment: str) -> DataFrame:
     return rows.select(local_date(F.col(moment)).alias("day"))
 
 
-def build_gold(lake: Lake, some: bool, calendar: tuple[str, str] | None = None, priced: bool = True) -> dict[str, tuple[str, ...]]:
+def build_gold(lake: Lake, some: bool, calendar: tuple[str, str] | None = None, priced: bool = True, newer_products: bool = True) -> dict[str, tuple[str, ...]]:
     """Dimensions and facts, checked before they are published. `priced` also asks for an amount on every line.
 
     With `some`, facts are built for the orders of `bronze.changed_orders`, which is empty afterwards. The calendar spans
@@ -442,18 +535,20 @@ def build_gold(lake: Lake, some: bool, calendar: tuple[str, str] | None = None,
         dates = gold.dim_date(gold.day_bounds(*edges))
     else:
         dates = gold.calendar(lake.spark, *calendar)
-    dimensions = lake.write_all(
-        {
-            "gold.dim_customer": gold.dim_customer(lake.table("silver.customers")),
-            "gold.dim_product": gold.dim_product(lake.table("silver.stg_products")),
-            "gold.dim_date": dates,
-        }
-    )
-    customers, products, dates = dimensions.values()
+    dates = lake.write("gold.dim_date", dates)
+    changed, since = build_customers(lake, some)
+    if not some or not lake.has("gold.dim_product") or newer_products:
+        lake.write("gold.dim_product", gold.dim_product(lake.table("silver.stg_products")))
+    customers, products = lake.current("gold.dim_customer"), lake.current("gold.dim_product")
     status = lake.table("silver.order_status_reconciliation")
     touched = where = None
     if some:
         touched = lake.table("bronze.changed_orders").select(ENTITY)
+        if changed is None or "gold.changed_customers" in lake.pending:  # their orders may belong to another version now
+            theirs = lines if since is None else lines.filter((F.col("_day") >= F.date_sub(F.lit(since).cast("date"), 1).cast("string")) | (F.col("_day") == NONE))
+            theirs = theirs if changed is None else semi_join(theirs, ["customer_id"], changed)
+            touched = touched.union(theirs.select(places.entity().alias(ENTITY))).distinct()
+        touched = lake.write("gold.touched_orders", touched)
         where = lake.write("silver.touched_places", places_of(lake, touched))
         lines, history, status = (rows_of(lake, n, touched, where) for n in ("silver.order_lines", "silver.order_status_history", "silver.order_status_reconciliation"))
     fact = gold.fct_order_lines(lines, gold.fx_rates(lake.table("bronze.fx_rates")), status, dates, customers)
@@ -466,8 +561,10 @@ def build_gold(lake: Lake, some: bool, calendar: tuple[str, str] | None = None,
     events = layout.placed(gold.fct_order_status_events(history, dates), plan_of(lake, "silver.order_status_history"), day, places.entity())
     events = replace_orders(lake, name, events, touched, where)
     note_places(lake, GOLD, touched)
-    del lake.pending["gold.fresh_lines"]
+    for scratch in ("gold.fresh_lines", "gold.fresh_customers", "gold.merged_customers"):
+        lake.pending.pop(scratch, None)
     lake.write("bronze.changed_orders", lake.table("bronze.changed_orders").limit(0))
+    changed_rows = lake.pending["gold.dim_customer"].rows if "gold.dim_customer" in lake.pending else customers.limit(0)
     not_null = quality.not_null
     fact_checks = [not_null("order_id"), not_null("line_number")] + ([not_null("gross_amount_azn")] if priced else [])
     lake.check(
@@ -477,8 +574,8 @@ def build_gold(lake: Lake, some: bool, calendar: tuple[str, str] | None = None,
                 quality.unique("gold.dim_date", dates, ["date_key"]),
                 quality.run_row_checks("gold.dim_product", products, [not_null("product_id")]),
                 quality.unique("gold.dim_product", products, ["product_id"]),
-                quality.run_row_checks("gold.dim_customer", customers, [not_null("customer_key"), not_null("customer_id")]),
-                quality.unique("gold.dim_customer", customers, ["customer_key"]),
+                quality.run_row_checks("gold.dim_customer", changed_rows, [not_null("customer_key"), not_null("customer_id")]),
+                quality.unique("gold.dim_customer", changed_rows, ["customer_key"]),
                 quality.run_row_checks("gold.fct_order_lines", fact, fact_checks),
                 quality.relationship("gold.fct_order_lines", fact, "product_id", products, "product_id"),
                 quality.relationship("gold.fct_order_lines", fact, "customer_key", customers, "customer_key"),
@@ -515,7 +612,7 @@ def run_interval(
     moved |= lake.publish()
     some = build_silver(lake, not full_refresh, tuple(written))
     moved |= lake.publish()
-    moved |= build_gold(lake, some, calendar, priced)
+    moved |= build_gold(lake, some, calendar, priced, "products" in written)
     return moved
 
 

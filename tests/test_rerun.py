@@ -212,3 +212,43 @@ def test_a_lake_by_months_is_brought_to_days(spark):
     for name in TABLES:
         left, right = (sorted(str(sorted(r.asDict().items())) for r in x.table(name).drop(*VOLATILE, *hidden).collect()) for x in (lake, plain))
         assert left == right, name
+
+
+def snapshot(day, rows):
+    return [(c, country, segment, f"{day}T00:00:00Z", day) for c, country, segment in rows]
+
+
+def test_snapshots_merge_into_the_dimension(spark):
+    """A newest and a late snapshot, one again with other rows, and one that is emptied: as if all was built at once."""
+    days = {
+        "2026-05-01": [("C1", "AZE", "SME"), ("C2", "AZE", "SME"), ("C3", "AZE", "SME")],
+        "2026-06-10": [("C1", "AZE", "SME"), ("C2", "AZE", "VIP")],
+        "2026-06-20": [("C1", "AZE", "KEY"), ("C2", "AZE", "VIP"), ("C4", "AZE", "SME")],
+        "2026-06-15": [("C1", "AZE", "SME"), ("C3", "AZE", "SME")],
+    }
+    docs = [b.order(f"o{i}", customer_id=f"C{i % 4 + 1}", order_ts=f"2026-06-{i + 5:02}T08:00:00Z") for i in range(20)]
+
+    def load(day, rows):
+        return {"customers": b.customers(spark, snapshot(day, rows), f"customers_{day}")}
+
+    def both(steps):
+        lake, whole = lake_of(spark, "merge"), lake_of(spark, "built")
+        for n, (day, rows) in enumerate(steps):
+            feed = load(day, rows) | (feeds(spark, docs, EVENTS, whole=False) | {"products": b.products(spark, b.PRODUCTS), "fx_rates": b.fx(spark, {"2026-06-05": {"USD": 1.7}})} if n == 0 else {})
+            options = {"checked": ("orders",), "loads": {"customers": [f"customers_{day}"]}}
+            run(lake, feed, "2026-06-01", "2026-06-02", **options)
+            if n < len(steps) - 1:
+                runner.land(whole, feed, "2026-06-01", "2026-06-02", options["loads"])
+                whole.publish()
+        run(whole, feed, "2026-06-01", "2026-06-02", full_refresh=True, **options)
+        return lake, whole
+
+    again = [("C1", "AZE", "SME"), ("C2", "TURKEY", "VIP"), ("C4", "AZE", "SME")]
+    lake, whole = both([*days.items(), ("2026-06-10", again), ("2026-06-20", [])])
+    for name in ("gold.dim_customer", "gold.fct_order_lines", "silver.customers", "silver.order_lines", "quarantine.order_lines"):
+        assert content(lake, name) == content(whole, name), name
+    assert not lake.table("bronze.changed_snapshots").count()
+    # Only the bucket of the one customer that changes is written.
+    moved = run(lake, load("2026-06-25", [("C1", "AZE", "SME"), ("C3", "AZE", "NEW")]), "2026-06-25", "2026-06-26", checked=("orders",))
+    changed = {r.customer_id for r in lake.table("gold.changed_customers").collect()}
+    assert changed == {"C3"} and len(moved["gold.dim_customer"]) == 1
