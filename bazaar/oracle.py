@@ -576,6 +576,45 @@ SQL: dict[str, str] = {
         UNION ALL SELECT 'gold.fct_order_lines', count(*), round(sum(gross_amount_azn), 2)::DOUBLE FROM fact
         UNION ALL SELECT 'gold.fct_order_status_events', count(*),
                          sum(strftime((event_ts + INTERVAL 4 HOUR)::DATE, '%Y%m%d')::BIGINT) FROM history""",
+    "asof_fx_hot": f"""
+        WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN 'USD' ELSE 'EUR' END AS currency,
+                          make_timestamp(CASE WHEN o_orderkey % 10 <> 0
+                                              THEN 1709251200000000 + o_orderkey * 7919 * 1000003 % 2678400000000
+                                              ELSE (date_diff('day', DATE '1970-01-01', o_orderdate::DATE) + 9500) * 86400000000 END) AS at
+                   FROM orders),
+        slots AS (SELECT currency, rate_date::TIMESTAMP + to_hours((slot * 4)::INTEGER) AS since, rate_azn + slot AS rate
+                  FROM rates, (VALUES (0), (1), (2), (3), (4), (5)) AS s(slot))
+        SELECT o_orderkey, o.currency, {_ts('o.at')} AS at, rate::DOUBLE AS rate
+        FROM o ASOF LEFT JOIN slots ON o.currency = slots.currency AND o.at >= since""",
+    "dim_customer_merge": f"SELECT {DIM_COLUMNS} FROM dim_customer",
+    "stray_rows": """
+        SELECT strftime(updated_at, '%Y-%m') AS month, count(*) AS row_count, 0 AS misplaced FROM docs GROUP BY 1""",
+    "partition_plan": """
+        WITH days AS (SELECT strftime(updated_at, '%Y-%m-%d') AS day, count(*) AS n FROM docs GROUP BY 1),
+        sized AS (SELECT *, coalesce(sum(n) FILTER (n <= target) OVER (PARTITION BY target, left(day, 7)), 0) AS light
+                  FROM days, (VALUES (20), (600), (50000)) AS t(target))
+        SELECT day, CASE WHEN n <= target AND light <= target THEN left(day, 7) ELSE day END AS label,
+               CASE WHEN n <= target THEN 1 ELSE least(1024, pow(2, ceil(log2(n / target)))) END::BIGINT AS splits, n, target FROM sized""",
+    "day_partitions": """
+        SELECT strftime(updated_at, '%Y-%m-%d') AS day, count(*) AS row_count,
+               strftime(updated_at, '%Y-%m-%d') = '2025-03-11'
+               OR bool_or(strftime(updated_at, '%Y-%m-%d') = '2025-03-20' AND order_id LIKE '%-1') AS rewritten
+        FROM docs WHERE updated_at >= DATE '2025-03-01' AND updated_at < DATE '2025-03-22' GROUP BY 1""",
+    "order_places": """
+        SELECT DISTINCT order_id, strftime(updated_at, '%Y-%m') AS part FROM docs""",
+    "moved_events": """
+        SELECT CASE WHEN substr(event_id, 2)::BIGINT % 6 = 1 THEN 'corrected' ELSE 'order-service' END AS source,
+               count(*) AS row_count, count(DISTINCT event_id) AS ids FROM history GROUP BY 1""",
+    "version_diff": """
+        WITH old AS (SELECT o_orderkey, o_custkey || '|' || o_totalprice::VARCHAR AS content FROM orders),
+        new AS (SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 4 THEN o_custkey || '|0' ELSE o_custkey || '|' || o_totalprice::VARCHAR END AS content
+                FROM orders WHERE o_orderkey % 7 <> 3
+                UNION ALL SELECT * FROM old WHERE o_orderkey % 13 = 5
+                UNION ALL SELECT -o_orderkey, content FROM old WHERE o_orderkey % 17 = 1),
+        sides AS (SELECT *, 1 AS o, 0 AS n FROM old UNION ALL SELECT *, 0, 1 FROM new)
+        SELECT o_orderkey, content, sum(o)::BIGINT AS n_old, sum(n)::BIGINT AS n_new,
+               CASE WHEN sum(o) = 0 THEN 'added' WHEN sum(n) = 0 THEN 'removed' ELSE 'recounted' END AS change
+        FROM sides GROUP BY 1, 2 HAVING sum(o) <> sum(n)""",
     "interval_partitions": """
         SELECT DISTINCT 'bronze.orders' AS table_name, strftime(updated_at, '%Y-%m') AS partition
         FROM docs WHERE updated_at >= DATE '2025-06-01'
@@ -588,6 +627,9 @@ SQL: dict[str, str] = {
 }
 
 
+SQL["rerun_interval"] = SQL["medallion_run"]
+
+
 def _needed(sql: str) -> set[str]:
     """Parts a statement mentions, and the parts those mention."""
     found = {name for name in PARTS if re.search(rf"\b{name}\b", sql)}

@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from bazaar import functions as fn
 from bazaar import standin
-from bazaar.operators import dedup, joins, quality, rules, upsert
-from bazaar.plans import gold, governance, incremental, reports, runner, silver, staging
+from bazaar.operators import asof, dedup, diff, joins, quality, rules, upsert
+from bazaar.operators.scd2 import merged_series
+from bazaar.plans import gold, governance, incremental, layout, places, reports, runner, silver, staging
 from bazaar.schemas import CURRENCIES, EVENT_DOC, ORDER_DOC
 from bazaar.session import settle, shared_root, workspace
 from bazaar.sources import landed, sinks
@@ -314,6 +315,27 @@ def _priced_orders(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def asof_fx_hot(i: Inputs) -> DataFrame:
+    """Nine tenths of the left rows at different times of one currency and month; rates six times a day."""
+    key = F.col("o_orderkey")
+    hot = key % 10 != 0
+    rows = i.table("orders").select(
+        key,
+        F.when(hot, "USD").otherwise("EUR").alias("currency"),
+        F.timestamp_micros(
+            F.when(hot, F.lit(1709251200000000) + key * 7919 * 1000003 % 2678400000000)
+            .otherwise(F.unix_date(F.col("o_orderdate").cast("date")).cast("long") * 86400000000 + F.lit(9500 * 86400000000))
+        ).alias("at"),
+    )
+    slots = i.rates.select("currency", "rate_date", "rate_azn", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("slot"))
+    rates = slots.select(
+        "currency", F.timestamp_seconds(F.unix_date("rate_date") * 86400 + F.col("slot") * 14400).alias("since"),
+        (F.col("rate_azn") + F.col("slot")).alias("rate"),
+    )
+    return asof.asof_join_hot(rows, rates, ["currency"], "at", "since", ["rate"], per_range=200)
+
+
 @query
 def fx_missing_days(i: Inputs) -> DataFrame:
     bounds = i.order_days.select(
@@ -333,6 +355,21 @@ def dim_customer_scd2(i: Inputs) -> DataFrame:
     return i.dim_customer
 
 
+@query
+def dim_customer_merge(i: Inputs) -> DataFrame:
+    """The dimension from snapshots that arrive newest first, one after the other, the last one twice."""
+    days = [r["d"] for r in i.customers.select(F.col("snapshot_date").cast("string").alias("d")).distinct().orderBy(F.desc("d")).collect()]
+    dimension, series = gold.dim_customer(i.customers.limit(0)), []
+    for day in [*days, days[0]]:
+        snapshot = i.customers.filter(F.col("snapshot_date") == F.lit(day).cast("date"))
+        changed, fresh = gold.merge_customers(dimension, series, snapshot, day)
+        merged = joins.anti_join(dimension, ["customer_id"], changed).unionByName(fresh)
+        path = workspace(i.spark, "merged-dimension")
+        merged.write.parquet(path)
+        dimension, series = i.spark.read.schema(merged.schema).parquet(path), merged_series(series, day)
+    return dimension
+
+
 @query
 def dim_customer_first_last(i: Inputs) -> DataFrame:
     return gold.dim_customer(i.customers, only_bounds=True)
@@ -863,7 +900,18 @@ def _two_intervals(i: Inputs) -> tuple[runner.Lake, dict[str, tuple[str, ...]]]:
 @query
 def medallion_run(i: Inputs) -> DataFrame:
     """Rows and a sum of values of every published table after a first and an incremental interval."""
-    lake, _ = _two_intervals(i)
+    return _all_tables(_two_intervals(i)[0])
+
+
+@query
+def interval_partitions(i: Inputs) -> DataFrame:
+    """The bronze partitions that the second interval rewrote: the months of its interval, no others."""
+    _, moved = _two_intervals(i)
+    return i.spark.createDataFrame([(n, p) for n in ("bronze.orders", "bronze.fx_rates") for p in moved[n] if p != runner.NONE], "table_name string, partition string")
+
+
+def _all_tables(lake: runner.Lake) -> DataFrame:
+    """Rows and a sum of values of every published table."""
     sums = {
         "silver.order_lines": F.sum(F.col("quantity") * F.col("line_number")),
         "quarantine.order_lines": F.sum(F.length("reason_code")),
@@ -881,11 +929,104 @@ def medallion_run(i: Inputs) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, rows)
 
 
+def _lake(i: Inputs, **options) -> runner.Lake:
+    root = workspace(i.spark, "lake")
+    return runner.Lake(i.spark, root, f"lake_{root[-8:]}_", **options)
+
+
 @query
-def interval_partitions(i: Inputs) -> DataFrame:
-    """The bronze partitions that the second interval rewrote: the months of its interval, no others."""
-    _, moved = _two_intervals(i)
-    return i.spark.createDataFrame([(n, p) for n in ("bronze.orders", "bronze.fx_rates") for p in moved[n] if p != runner.NONE], "table_name string, partition string")
+def rerun_interval(i: Inputs) -> DataFrame:
+    """All tables after an interval ran with other documents and events first: some too many, some changed, some missing.
+
+    The second run replaces the interval; nothing is built from scratch, and nothing of the first version is left.
+    """
+    lake, now = _lake(i), F.lit(standin.LANDED_AT).cast("timestamp")
+    part = lambda n: F.pmod(F.xxhash64("_record_id"), F.lit(n))
+
+    def other(rows: DataFrame, change, more) -> DataFrame:
+        known = rows.filter(part(7) != 0).withColumn("payload", F.when(part(5) == 1, change).otherwise(F.col("payload")))
+        extra = rows.filter(part(9) == 2).withColumn("payload", more).withColumn("_record_id", F.concat("_record_id", F.lit(":x")))
+        return known.unionByName(extra)
+
+    orders = other(i.bronze_orders, F.replace("payload", F.lit('"CREATED"'), F.lit('"SHIPPED"')), F.replace("payload", F.lit('"order_id":"O'), F.lit('"order_id":"Q')))
+    orders = landed.promoted(orders.drop("_order_id", "_updated_at")).select(*i.bronze_orders.columns)
+    events = other(i.bronze_events, F.replace("payload", F.lit("order-service"), F.lit("other-service")), F.replace("payload", F.lit('"event_id":"E'), F.lit('"event_id":"F')))
+    whole = {"customers": i.bronze_customers, "products": i.bronze_products, "fx_rates": i.bronze_fx}
+    runner.run_interval(lake, {"orders": orders, "events": events} | whole, "2019-01-01", "2028-01-01", now, priced=False)
+    runner.run_interval(lake, {"orders": i.bronze_orders, "events": i.bronze_events}, "2019-01-01", "2028-01-01", now, priced=False)
+    return _all_tables(lake)
+
+
+@query
+def stray_rows(i: Inputs) -> DataFrame:
+    """Documents per month after a feed brought, besides its interval, rows of earlier months, and was landed twice."""
+    lake, middle = _lake(i), ORDER_CUT[:10]
+    early = F.col("_updated_at") < F.lit(middle).cast("timestamp")
+    stray = F.col("_order_id").endswith("-3")
+    runner.land(lake, {"orders": i.bronze_orders.filter(early & ~stray)}, "2019-01-01", middle)
+    lake.publish()
+    for _ in range(2):
+        runner.land(lake, {"orders": i.bronze_orders.filter(~early | stray)}, middle, "2028-01-01")
+        lake.publish()
+    rows = lake.table("bronze.orders").groupBy(F.date_format("_updated_at", "yyyy-MM").alias("month"))
+    return rows.agg(F.count("*").alias("row_count"), F.count_if(F.col("_part") != F.date_format("_updated_at", "yyyy-MM")).alias("misplaced"))
+
+
+@query
+def partition_plan(i: Inputs) -> DataFrame:
+    """Labels and splits of the days with documents, for small and for large partitions."""
+    sizes = i.bronze_orders.groupBy(layout.day_of("_updated_at").alias("day")).agg(F.count("*").alias("n"))
+    plans = [layout.planned(sizes, None, target).withColumn("target", F.lit(target)) for target in (20, 600, 50_000)]
+    return functools.reduce(DataFrame.unionByName, plans)
+
+
+@query
+def day_partitions(i: Inputs) -> DataFrame:
+    """What a run of one day rewrites in a lake of days: that day, and the day of a row that strayed into it."""
+    lake = _lake(i, target=1)
+    day = lambda since, until: i.bronze_orders.filter(upsert.in_range(F.col("_updated_at"), *[F.lit(d).cast("timestamp") for d in (since, until)]))
+    runner.land(lake, {"orders": day("2025-03-01", "2025-03-22")}, "2025-03-01", "2025-03-22")
+    lake.publish()
+    again = day("2025-03-11", "2025-03-12")
+    stray = day("2025-03-20", "2025-03-21").filter(F.col("_order_id").endswith("-1"))
+    runner.land(lake, {"orders": again.unionByName(stray)}, "2025-03-11", "2025-03-12")
+    moved = lake.publish()["bronze.orders"]
+    days = sorted({p.split(".")[0] for p in moved} - {runner.NONE})
+    rows = lake.table("bronze.orders").groupBy(F.date_format("_updated_at", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("row_count"))
+    return rows.withColumn("rewritten", F.col("day").isin(days))
+
+
+@query
+def order_places(i: Inputs) -> DataFrame:
+    """The partitions that the index names for each order, without a look at the documents."""
+    lake, middle = _lake(i), ORDER_CUT[:10]
+    early = F.col("_updated_at") < F.lit(middle).cast("timestamp")
+    for rows, since, until in ((i.bronze_orders.filter(early), "2019-01-01", middle), (i.bronze_orders.filter(~early), middle, "2028-01-01")):
+        runner.land(lake, {"orders": rows}, since, until)
+        lake.publish()
+    found = runner.places_of(lake).filter(F.col("tab") == "bronze.orders")
+    return found.select(F.col(places.ENTITY).alias("order_id"), F.explode("parts").alias("part"))
+
+
+@query
+def version_diff(i: Inputs) -> DataFrame:
+    """Orders of two versions of the same table: what was added, removed, or is there more or less often."""
+    old = i.table("orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("string").alias("price"))
+    new = old.filter("o_orderkey % 7 <> 3").withColumn("price", F.when(F.col("o_orderkey") % 11 == 4, "0").otherwise(F.col("price")))
+    new = new.unionByName(old.filter("o_orderkey % 13 = 5")).unionByName(old.filter("o_orderkey % 17 = 1").withColumn("o_orderkey", -F.col("o_orderkey")))
+    found = diff.version_diff(old, new, ["o_orderkey"], F.concat_ws("|", "o_custkey", "price"))
+    return found
+
+
+@query
+def moved_events(i: Inputs) -> DataFrame:
+    """Accepted events after some came again, corrected, under the same id."""
+    later = F.expr("timestampadd(HOUR, 1, _ingested_at)")
+    fixed = i.bronze_events.filter(F.substring(F.get_json_object("payload", "$.event_id"), 2, 20).try_cast("long") % 6 == 1)
+    fixed = fixed.withColumn("payload", F.replace("payload", F.lit("order-service"), F.lit("corrected"))).withColumn("_ingested_at", later).withColumn("_record_id", F.concat("_record_id", F.lit(":c")))
+    both = landed.promoted_events(i.bronze_events.unionByName(fixed))
+    events = silver.status_history(staging.order_events(runner.newest_events(both), i.bronze_orders))
+    return events.groupBy("source").agg(F.count("*").alias("row_count"), F.countDistinct("event_id").alias("ids"))
 
 
 # ---- streaming
