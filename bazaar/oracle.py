@@ -587,6 +587,22 @@ SQL: dict[str, str] = {
         SELECT o_orderkey, o.currency, {_ts('o.at')} AS at, rate::DOUBLE AS rate
         FROM o ASOF LEFT JOIN slots ON o.currency = slots.currency AND o.at >= since""",
     "dim_customer_merge": f"SELECT {DIM_COLUMNS} FROM dim_customer",
+    "erased_lake": """
+        WITH gone AS (SELECT DISTINCT customer_id FROM custs WHERE regexp_matches(customer_id, '^C[0-9]*7$')),
+        lost AS (SELECT DISTINCT order_id FROM docs WHERE customer_id IN (SELECT customer_id FROM gone)),
+        erased AS (SELECT customer_key FROM dim_customer WHERE customer_id IN (SELECT customer_id FROM gone))
+        SELECT 'bronze.orders' AS table_name, count(*) AS row_count, 0::BIGINT AS rows_left FROM docs WHERE order_id NOT IN (SELECT order_id FROM lost)
+        UNION ALL SELECT 'bronze.events', count(*) + count(*) FILTER (event_id % 50 = 7), NULL
+                  FROM (SELECT e.event_id, 'O' || (event_id // 5) || '-' || (event_id // 5 % 7 + 1) AS order_id FROM events e) WHERE order_id NOT IN (SELECT order_id FROM lost)
+        UNION ALL SELECT 'bronze.customers', count(*), 0 FROM custs WHERE customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM gone)
+        UNION ALL SELECT 'silver.order_lines', count(*), 0 FROM lines WHERE order_id NOT IN (SELECT order_id FROM lost)
+        UNION ALL SELECT 'quarantine.order_lines', count(*), 0 FROM staged_lines WHERE reason_code IS NOT NULL AND order_id NOT IN (SELECT order_id FROM lost)
+        UNION ALL SELECT 'silver.order_status_history', count(*), NULL FROM history WHERE order_id NOT IN (SELECT order_id FROM lost)
+        UNION ALL SELECT 'quarantine.order_events', count(*), NULL FROM staged_events WHERE reason_code IS NOT NULL AND order_id NOT IN (SELECT order_id FROM lost)
+        UNION ALL SELECT 'silver.order_status_reconciliation', count(*), NULL FROM reconciled WHERE order_id NOT IN (SELECT order_id FROM lost)
+        UNION ALL SELECT 'gold.dim_customer', count(*), 0 FROM dim_customer WHERE customer_id NOT IN (SELECT customer_id FROM gone)
+        UNION ALL SELECT 'gold.fct_order_lines', count(*), NULL FROM fact WHERE order_id NOT IN (SELECT order_id FROM lost)
+        UNION ALL SELECT 'gold.fct_order_status_events', count(*), NULL FROM history WHERE order_id NOT IN (SELECT order_id FROM lost)""",
     "stray_rows": """
         SELECT strftime(updated_at, '%Y-%m') AS month, count(*) AS row_count, 0 AS misplaced FROM docs GROUP BY 1""",
     "partition_plan": """

@@ -158,9 +158,14 @@ class Lake:
                 self.spark.sql(f"CREATE TABLE {table} ({m['columns']}) USING parquet PARTITIONED BY (`{m['key']}`) LOCATION '{base}'")
             sinks.publish_partitions(self.spark, table, m["key"], m["path"], tuple(m["touched"]), tuple(m["written"]))
 
+    def folders(self) -> list[str]:
+        """Names that have data under the root, tables or what runs left."""
+        found = landed.paths(self.spark, f"{self.root}/*/*")
+        return sorted(".".join(p.rsplit("/", 2)[1:]) for p in found if p.rsplit("/", 2)[1] in sinks.LAYERS)
+
     def vacuum(self, name: str) -> int:
         """Delete the versions of a table that nothing points at any more; returns how many."""
-        live = sinks.locations(self.spark, self.prefix + name)
+        live = sinks.locations(self.spark, self.prefix + name) if self.has(name) else set()
         live |= {c.path for n, c in self.pending.items() if n == name}
         return sinks.drop_versions(self.spark, f"{self.root}/{name.replace('.', '/')}", live)
 

@@ -12,7 +12,7 @@ from bazaar import functions as fn
 from bazaar import standin
 from bazaar.operators import asof, dedup, diff, joins, quality, rules, upsert
 from bazaar.operators.scd2 import merged_series
-from bazaar.plans import gold, governance, incremental, layout, places, reports, runner, silver, staging
+from bazaar.plans import erasure, gold, governance, incremental, layout, places, reports, runner, silver, staging
 from bazaar.schemas import CURRENCIES, EVENT_DOC, ORDER_DOC
 from bazaar.session import settle, shared_root, workspace
 from bazaar.sources import landed, sinks
@@ -957,6 +957,19 @@ def rerun_interval(i: Inputs) -> DataFrame:
     return _all_tables(lake)
 
 
+@query
+def erased_lake(i: Inputs) -> DataFrame:
+    """Rows of every table after persons were erased from a published lake, and how many rows still name one."""
+    lake, now = _lake(i), F.lit(standin.LANDED_AT).cast("timestamp")
+    feeds = {"orders": i.bronze_orders, "customers": i.bronze_customers, "products": i.bronze_products, "events": i.bronze_events, "fx_rates": i.bronze_fx}
+    runner.run_interval(lake, feeds, "2019-01-01", "2028-01-01", now, priced=False)
+    subjects = i.bronze_customers.filter(F.col("customer_id").rlike("^C[0-9]*7$")).select("customer_id").distinct()
+    erasure.erase(lake, subjects)
+    names = ["bronze.orders", "bronze.events", "bronze.customers", "silver.order_lines", "quarantine.order_lines", "silver.order_status_history", "quarantine.order_events", "silver.order_status_reconciliation", "gold.dim_customer", "gold.fct_order_lines", "gold.fct_order_status_events"]
+    left = erasure.left_of(lake, subjects)
+    return runner.table_counts(lake, names).join(left, "table_name", "left")
+
+
 @query
 def stray_rows(i: Inputs) -> DataFrame:
     """Documents per month after a feed brought, besides its interval, rows of earlier months, and was landed twice."""

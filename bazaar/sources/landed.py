@@ -44,11 +44,16 @@ def audited(rows: DataFrame, source: str, load_id: Column, batch_id: str) -> Dat
     )
 
 
-def exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether a path or glob matches anything on its file system."""
+def paths(spark: SparkSession, pattern: str) -> list[str]:
+    """What a path or glob matches on its file system."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     matches = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return matches is not None and len(matches) > 0
+    return [m.getPath().toString() for m in matches or []]
+
+
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or glob matches anything on its file system."""
+    return bool(paths(spark, pattern))
 
 
 def optional(spark: SparkSession, pattern: str, schema: T.StructType, read) -> tuple[DataFrame, bool]:

@@ -101,12 +101,17 @@ def locations(spark: SparkSession, table: str) -> set[str]:
 
 
 def drop_versions(spark: SparkSession, folder: str, live: set[str]) -> int:
-    """Delete the version folders that hold no live location; returns how many."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    plain = [re.sub("^[a-z0-9]+:/+", "/", place) for place in live]
-    old = [s.getPath() for s in (fs.listStatus(where) if fs.exists(where) else []) if s.getPath().getName().startswith("v-")]
-    old = [p for p in old if not any(f"/{p.getName()}/" in f"{place}/" for place in plain)]
+    """Delete what no live location is in: version folders, and partition folders of versions that others of are live."""
+    where, fs = _file_system(spark, folder)
+    plain = {re.sub("^[a-z0-9]+:/+", "/", place).rstrip("/") for place in live}
+    listed = lambda p: [s.getPath() for s in fs.listStatus(p)]
+    old = []
+    for version in [p for p in (listed(where) if fs.exists(where) else []) if p.getName().startswith("v-")]:
+        mine = {place.split(f"/{version.getName()}", 1)[1].strip("/") for place in plain if f"/{version.getName()}" in place}
+        if not mine:
+            old.append(version)
+        elif "" not in mine:
+            old += [p for p in listed(version) if "=" in p.getName() and p.getName() not in mine]
     for path in old:
         fs.delete(path, True)
     return len(old)

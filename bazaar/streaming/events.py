@@ -1,14 +1,15 @@
 """Status events as a stream of landed lines."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bazaar.operators.dedup import latest_by
 from bazaar.plans.staging import STATUS_EVENT
 from bazaar.schemas import EVENT_DOC
 from bazaar.session import remove
-from bazaar.sources.landed import exists, is_json
+from bazaar.sources.landed import exists, is_json, paths
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -28,14 +29,6 @@ def malformed(lines: DataFrame) -> DataFrame:
     return lines.filter(~is_json(F.col("value")))
 
 
-def _batch_sink(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # Overwriting the batch's own folder makes a replayed batch harmless.
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return write
-
-
 DAY = "event_day"
 
 
@@ -87,17 +80,33 @@ def land_events(lines: DataFrame, path: str, checkpoint: str, quarantine: str):
 
 
 def latest_status_changes(events: DataFrame) -> DataFrame:
-    """Latest status per order by event time, whatever the arrival order; state is one row per order."""
+    """Latest status per order by event time, whatever the arrival order."""
     newest = F.max_by(F.struct("event_id", "op", "new_status", "event_ts"), F.struct("event_ts", "event_id"))
     return events.groupBy("order_id").agg(newest.alias("e")).select("order_id", "e.*")
 
 
-def keep_latest_status(lines: DataFrame, path: str, checkpoint: str):
-    """Write the orders whose latest status changed, batch by batch, into `path`."""
+STATUS = "order_id string, event_id string, op string, new_status string, event_ts timestamp"
+
+
+def _status_sink(path: str, quarantine: str | None):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        if quarantine:
+            malformed(batch).select(F.col("value").alias("raw")).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        latest_status_changes(parsed(batch)).write.mode("overwrite").parquet(f"{path}/log/batch={batch_id}")
+        batch.unpersist()
+
+    return write
+
+
+def keep_latest_status(lines: DataFrame, path: str, checkpoint: str, quarantine: str | None = None):
+    """Log the latest status of each batch's orders; lines that are no JSON go to `quarantine`, if it is named.
+
+    There is no state in the stream: the latest of a maximum is the same whatever is folded first and how often, so a
+    batch that is written again, before or after a fold, changes nothing.
+    """
     query = (
-        latest_status_changes(parsed(lines))
-        .writeStream.outputMode("update")
-        .foreachBatch(_batch_sink(path))
+        lines.writeStream.foreachBatch(_status_sink(path, quarantine))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -106,25 +115,36 @@ def keep_latest_status(lines: DataFrame, path: str, checkpoint: str):
     return query
 
 
-def latest_status(spark: SparkSession, path: str) -> DataFrame:
-    """Current status per order from the change log; a tombstone shows as op 'd' without a status."""
-    return latest_by(spark.read.parquet(path), ["order_id"], ["batch"]).drop("batch")
+def _generations(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the snapshots that are whole."""
+    return sorted(int(p.split("gen=")[1].split("/")[0]) for p in paths(spark, f"{path}/snapshot/gen=*/_SUCCESS"))
 
 
-def compact_changes(spark: SparkSession, path: str) -> None:
-    """Fold the change log into one entry per order, as the log's newest batch; run it between runs of the stream.
-
-    Reading the log then costs the orders plus the changes since. The folded batches go only after the new one is whole.
+def latest_status(spark: SparkSession, path: str) -> DataFrame:
+    """Current status per order, from the newest snapshot and the log; a tombstone shows as op 'd' without a status."""
+    parts = [spark.createDataFrame([], STATUS)]
+    if found := _generations(spark, path):
+        parts.append(spark.read.schema(STATUS).parquet(f"{path}/snapshot/gen={found[-1]}"))
+    if exists(spark, f"{path}/log/batch=*"):
+        parts.append(spark.read.schema(STATUS).parquet(f"{path}/log/batch=*"))
+    return latest_status_changes(reduce(DataFrame.unionByName, parts))
+
+
+def compact_changes(spark: SparkSession, path: str, keep_tombstones: str | None = None) -> None:
+    """Fold snapshot and log into the next generation; run it between runs of the stream.
+
+    Reading then costs the orders plus the batches since. The log and older snapshots go only when the new one is whole; until
+    then, and if a folded batch comes back, reading both gives the same. With `keep_tombstones` (an interval such as
+    "30 days"), erased orders leave once their tombstone is that much older than the newest event: an event of theirs that
+    comes later still would show again.
     """
-    log = spark.read.parquet(path)
-    newest = log.agg(F.max("batch").alias("b")).first()["b"]
-    if newest is None:
-        return
-    folded = [r["batch"] for r in log.select("batch").distinct().collect()]  # one per batch of the log
-    spare = f"{path}-folded-{newest}"
-    latest_status(spark, path).write.mode("overwrite").parquet(spare)
-    spark.read.parquet(spare).write.mode("overwrite").parquet(f"{path}/batch={newest}")
-    for batch in folded:
-        if batch != newest:
-            remove(spark, f"{path}/batch={batch}")
-    remove(spark, spare)
+    found = _generations(spark, path)
+    batches = paths(spark, f"{path}/log/batch=*")
+    rows = latest_status(spark, path)
+    if keep_tombstones:
+        newest = rows.agg(F.max("event_ts").alias("t")).scalar()
+        gone = (F.col("op") == "d") & (F.col("event_ts") < newest - F.expr(f"interval {keep_tombstones}"))
+        rows = rows.filter(~F.coalesce(gone, F.lit(False)))
+    rows.write.mode("overwrite").parquet(f"{path}/snapshot/gen={(found[-1] if found else 0) + 1}")
+    for old in [*batches, *[f"{path}/snapshot/gen={g}" for g in found]]:
+        remove(spark, old)
