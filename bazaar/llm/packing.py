@@ -26,7 +26,9 @@ from bazaar.llm import common
 
 CAPACITY = 2048
 END = 0
-_CACHED = 300_000  # chunks of text that a worker remembers the ids of
+_CACHED = 600_000  # chunks of text that a worker remembers the ids of, some 40 bytes each
+_STEP = 2_000  # chunks that the tokenizer gets at a time
+_PROBES = ("a b", "Ab, cd. ef", "it's,\nx  y. 'z'", "é, ü. (x) 12,5", "word. Word word, wordword", "a.b c,d. e-f,", " lead and trail ", "\u00a0x\ty. z")
 
 
 def vocabulary() -> str:
@@ -39,8 +41,10 @@ def vocabulary() -> str:
 class Encoder:
     """Token ids of texts, remembered per chunk between blanks.
 
-    Holds for tokenizers that never join across blanks, such as those that split words before they merge:
-    a text's ids are then its chunks' ids in order.
+    A tokenizer that never joins across blanks, nor a letter with a comma or full stop after it, gives a text the ids of
+    its chunks in order. That is tried on probes; a tokenizer that differs there gets whole texts (`by_chunk` is false).
+    Chunks are found, told apart by 64-bit hashes and length, and put together as arrays; new ones go to the tokenizer many
+    at a time, held apart by one of its special tokens, which no tokenizer joins with its neighbours.
     """
 
     def __init__(self, path: str):
@@ -48,12 +52,22 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.lowers = self.tokenizer.encode("AÀ", add_special_tokens=False).ids == self.tokenizer.encode("aà", add_special_tokens=False).ids
+        self.lowers = self._direct(["AÀ"]) == self._direct(["aà"])
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.apart = next(((t.content, i) for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word)), None)
         self._forget()
+        self.by_chunk = self.apart is not None
+        if self.by_chunk:
+            self.by_chunk = [x.tolist() for x in self._by_chunk(list(_PROBES))] == self._direct(list(_PROBES))
+            self._forget()
+
+    def _direct(self, texts: list[str]) -> list[list[int]]:
+        fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        return [e.ids for e in fast(texts, add_special_tokens=False)]
 
     def _plain(self, text: str) -> str:
         """The text in lower case, where the tokenizer does that anyway and no rule for other scripts can matter."""
-        if not self.lowers or "<|" in text:
+        if not self.lowers or "<" in text:
             return text
         try:
             text.encode("latin-1")
@@ -62,43 +76,98 @@ class Encoder:
         return text.lower()
 
     def _forget(self) -> None:
-        self.index: dict[str, int] = {}
-        self.ids, self.starts = np.empty(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
-
-    def _learn(self, chunks: list[str]) -> None:
-        """Remember the ids of new chunks; those that only add a comma or full stop to a word take the word's."""
-        stems = {c[:-1]: c for c in chunks if len(c) > 1 and c[-1] in ",." and c[-2].isalpha()}
-        plain = list(set(chunks).difference(stems.values()).union(stems).difference(self.index))
-        fast = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        self._add(plain, [e.ids for e in fast(plain, add_special_tokens=False)])
-        marked = [c for c in chunks if c not in self.index]
-        ends = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ",."} if marked else {}
-        words = [self.index[c[:-1]] for c in marked]
-        self._add(marked, [[*self.ids[self.starts[w] : self.starts[w + 1]], *ends[c[-1]]] for c, w in zip(marked, words, strict=True)])
-
-    def _add(self, chunks: list[str], ids: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(sizes.sum()))
-        self.index.update(zip(chunks, range(len(self.index), len(self.index) + len(chunks)), strict=True))
-        self.ids, self.starts = np.concatenate((self.ids, flat)), np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
+        """Drop what is remembered. Chunk k of `keys` (sorted) has ids[first[k] : first[k] + count[k]] and `length` bytes."""
+        self.keys, self.length = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
+        self.first, self.count, self.ids = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint32)
+
+    def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks one after the other, and how many each has."""
+        word, mark = self.apart
+        flat, counts = [], []
+        for low in range(0, len(chunks), _STEP):
+            part = chunks[low : low + _STEP]
+            if any(word[0] in c for c in part):  # might hold a special token
+                found = self._direct(part)
+                flat += [np.array(x, dtype=np.uint32) for x in found]
+                counts.append(np.array([len(x) for x in found], dtype=np.int64))
+                continue
+            ids = np.array([*self._direct([word.join(part)])[0], mark], dtype=np.uint32)
+            cuts = np.flatnonzero(ids == mark)
+            counts.append(np.diff(cuts, prepend=-1) - 1)
+            flat.append(ids[ids != mark])
+        return np.concatenate(flat), np.concatenate(counts)
+
+    def _find(self, keys: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key among those remembered, and whether it is there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), dtype=np.int64), np.zeros(len(keys), dtype=bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, (self.keys[at] == keys) & (self.length[at] == length)
+
+    def _add(self, keys: np.ndarray, length: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> None:
+        first = len(self.ids) + np.cumsum(counts) - counts
+        self.ids = np.concatenate((self.ids, flat))
+        merged = np.concatenate((self.keys, keys))
+        by = np.argsort(merged, kind="stable")
+        self.keys = merged[by]
+        self.length, self.first, self.count = (np.concatenate(x)[by] for x in ((self.length, length), (self.first, first), (self.count, counts)))
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of remembered chunks one after the other, and how many each has."""
+        sizes = self.count[at]
+        ends = np.cumsum(sizes)
+        return self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[at] - ends + sizes, sizes)], sizes
+
+    def _learn(self, a: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Remember new chunks; those that only add a comma or full stop to a word take the word's ids."""
+        before = a[np.maximum(ends - 2, 0)]
+        third = a[np.maximum(ends - 3, 0)]
+        letter = ((before | 32) >= 97) & ((before | 32) <= 122) & (before < 128)
+        letter |= (third == 0xC3) & (before >= 0x80) & (before != 0x97) & (before != 0xB7) & (ends - starts > 2)  # À to ÿ
+        marked = (ends - starts > 1) & ((a[ends - 1] == 44) | (a[ends - 1] == 46)) & letter
+        stems, stem_ends = starts[marked], ends[marked] - 1
+        stem_keys = common.hash_spans(a, stems, stem_ends) if len(stems) else keys[:0]
+        every = np.concatenate((keys[~marked], stem_keys))
+        low, high = np.concatenate((starts[~marked], stems)), np.concatenate((ends[~marked], stem_ends))
+        every, one = np.unique(every, return_index=True)
+        low, high = low[one], high[one]
+        new = ~self._find(every, high - low)[1]
+        every, low, high = every[new], low[new], high[new]
+        if len(every):
+            raw = a.tobytes()
+            self._add(every, high - low, *self._encoded([raw[s:e].decode() for s, e in zip(low.tolist(), high.tolist(), strict=True)]))
+        if len(stems):
+            at, _ = self._find(stem_keys, stem_ends - stems)
+            flat, sizes = self._gather(at)
+            comma, stop = (np.array(x, dtype=np.uint32) for x in self._direct([",", "."]))
+            # One id per mark goes behind the ids of each word.
+            tail = np.where(a[ends[marked] - 1] == 44, comma[0], stop[0])
+            self._add(keys[marked], (ends - starts)[marked], np.insert(flat, np.cumsum(sizes), tail), sizes + 1)
+
+    def _by_chunk(self, texts: list[str]) -> list[np.ndarray]:
+        raw = [self._plain(t).replace("\n", " ").encode() for t in texts]
+        a = np.frombuffer(b" ".join(raw), dtype=np.uint8)
+        starts, ends = common.spans(a != 32)
+        keys = common.hash_spans(a, starts, ends)
+        unique, one, which = np.unique(keys, return_index=True, return_inverse=True)
+        length = (ends - starts)[one]
+        at, known = self._find(unique, length)
+        if not known.all():
+            if len(self.keys) + len(unique) > _CACHED:
+                self._forget()
+                known[:] = False
+            new = np.sort(one[~known])
+            self._learn(a, keys[new], starts[new], ends[new])
+            at, _ = self._find(unique, length)
+        flat, sizes = self._gather(at[which])
+        bounds = np.cumsum([0, *[len(r) + 1 for r in raw]])  # where each text begins
+        cuts = np.concatenate(([0], np.cumsum(sizes)))[np.searchsorted(starts, bounds)]
+        return [flat[cuts[i] : cuts[i + 1]] for i in range(len(texts))]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, without special tokens of the tokenizer's own."""
-        split = [self._plain(t or "").replace("\n", " ").split(" ") for t in texts]
-        chunks = [c for s in split for c in s]
-        new = set(chunks).difference(self.index)
-        if new and len(self.index) + len(new) > _CACHED:
-            self._forget()
-            new = set(chunks)
-        if new:
-            self._learn(sorted(new))
-        at = np.fromiter(map(self.index.__getitem__, chunks), dtype=np.int64, count=len(chunks))
-        sizes = self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(sizes)
-        flat = self.ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - ends + sizes, sizes)]
-        per_text = np.concatenate(([0], np.cumsum([len(s) for s in split])))
-        cuts = np.concatenate(([0], ends))[per_text]
-        return [flat[cuts[i] : cuts[i + 1]] for i in range(len(texts))]
+        plain = [t or "" for t in texts]
+        return self._by_chunk(plain) if self.by_chunk else [np.array(x, dtype=np.uint32) for x in self._direct(plain)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -213,7 +282,8 @@ def packed(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
     totals = counts.groupBy("length").agg(F.sum("n").alias("n")).collect()  # at most `capacity` rows
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    ranked = rows.join(first, ["task", "length"]).withColumn("rank", F.col("first") + F.col("number"))
+    # Never broadcast: these rows grow with the tasks.
+    ranked = rows.join(first.hint("shuffle_hash"), ["task", "length"]).withColumn("rank", F.col("first") + F.col("number"))
     names = [c.split()[0] for c in PIECE.split(", ")] + ["ids"] * keep_ids
     schema = PIECE + ", ids array<long>" * keep_ids + ", sequence_id long, offset long"
     places = Places(plan({r["length"]: r["n"] for r in totals}, capacity)) if totals else None

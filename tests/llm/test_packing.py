@@ -37,6 +37,22 @@ def test_encoder_on_any_text(text):
     assert list(e.encode([text])[0]) == e.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("cached", [0, 3, 10**6])
+def test_encoder_forgets_and_goes_on(tokenizer, monkeypatch, cached):
+    monkeypatch.setattr(packing, "_CACHED", cached)
+    e, rng = packing.Encoder(packing.vocabulary()), random.Random(3)
+    words = ["ab", "ab,", "ab.", "é.", "É,", "a×.", "1.", "x..", ",", ".", "it's,", "<|endoftext|>.", "<", "ﬁ.", "ñandú,", "漢.", "\t", "a\tb,", "”."]
+    for _ in range(40):
+        texts = [rng.choice([" ", "\n", "  "]).join(rng.choice(words) for _ in range(rng.randrange(9))) for _ in range(4)]
+        assert [[*g, 0] for g in e.encode(texts)] == [direct(tokenizer, t) for t in texts]
+
+
+def test_tokenizers_that_join_across_blanks_get_whole_texts():
+    other = packing.Encoder(packing.vocabulary().replace("word_bpe_49k", "byte_bpe_50k"))
+    assert packing.Encoder(packing.vocabulary()).by_chunk and not other.by_chunk
+    assert [g.tolist() for g in other.encode(TEXTS)] == [other.tokenizer.encode(t or "", add_special_tokens=False).ids for t in TEXTS]
+
+
 def best_fit_decreasing(histogram):
     rooms = []
     for x in sorted((k for k, v in histogram.items() for _ in range(v)), reverse=True):
