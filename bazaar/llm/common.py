@@ -1,10 +1,11 @@
 """Whole texts as arrays of word hashes, and tables that cut lineage."""
 
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaar.session import workspace
@@ -114,6 +115,20 @@ def saved(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def large_batches(spark: SparkSession, rows: int = 50_000, size: str = "4MB") -> Iterator[None]:
+    """More rows at a time between the JVM and Python while narrow rows are worked on, bounded in bytes."""
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {n: spark.conf.get(n, None) for n in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def with_ids(rows: DataFrame) -> DataFrame:
     """doc_id without nulls, which `_no_id` marks: pandas would make floats of a column that holds one, and round ids."""
     return rows.withColumn("_no_id", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0).cast("long")))

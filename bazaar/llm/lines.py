@@ -1,10 +1,10 @@
 """Line dedup: an exact set-similarity join over the lines of all documents.
 
 A line's tokens are its distinct runs of WIDTH neighbouring words (A-Z as a-z). Single words would be too common: their
-vocabulary stops growing while the corpus goes on, so that ever more lines share even their rarest ones. With
-`short`, a line of fewer words has one token, its whole sequence of words; without, it has none. Lines without tokens, such
-as those without words, always stay. A line is removed if an earlier line, in the order of (doc_id, line number), has
-the same set of tokens or one of Jaccard similarity PERCENT / 100 or more; the first of its kind stays.
+vocabulary stops growing while the corpus goes on, so that ever more lines share even their rarest ones. A line of fewer
+words has one token, its whole sequence of words; lines without words always stay. A line is removed if an earlier line,
+in the order of (doc_id, text hash, line number), has the same set of tokens or one of Jaccard similarity PERCENT / 100 or
+more; the first of its kind stays.
 
 Tokens are ordered by rarity in the corpus. One shuffle brings the prefix tokens of all lines together, sorted, and is
 read as a stream: it yields the later ones of equal lines, and the tokens that different lines share. There, a line is
@@ -12,8 +12,9 @@ first verified against the earliest line of each token, which settles most; line
 earlier lines of their tokens. Length and positional filters come before any set is fetched.
 
 Defined cases: null text stays null; rows without doc_id are left as they are and match nothing; rows that share a doc_id
-are one document (a line number removed from one is removed from all); documents that lose every word are dropped,
-unless asked for; other columns pass through, and n_chars, where there is one, is counted anew for changed texts.
+are told apart by their text, and equal rows are one document; an empty table gives none; documents that lose every word
+are dropped, unless asked for; other columns pass through, whatever their names, and n_chars, where there is one, is
+counted anew for changed texts.
 """
 
 from collections.abc import Iterable, Iterator
@@ -24,22 +25,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaar.llm import bitmap, common, rarity
+from bazaar.llm import common, rarity
 from bazaar.operators.joins import keyed_join
 
 WIDTH = 5
 PERCENT = 80
 
 
-def tokens(text: str | None, width: int = WIDTH, short: bool = False) -> np.ndarray:
-    """All tokens of a text's lines, repeats included."""
-    return _line_tokens([text], width, short)[1]
+def tokens(texts: list[str | None], width: int = WIDTH) -> np.ndarray:
+    """All tokens of texts' lines, repeats included."""
+    return _line_tokens(texts, width)[1]
 
 
-def _line_tokens(
-    texts: list[str | None], width: int = WIDTH, short: bool = False
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Line (index over all texts) and hash per token, in text order; and per line its text and its number there."""
+def _line_tokens(texts: list[str | None], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Line (index over all texts) and hash per token, by line; and per line its text and its number there."""
     raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
     a = np.frombuffer(b"\n".join(raw), dtype=np.uint8)
     starts, ends = common.word_spans(a)
@@ -52,7 +51,7 @@ def _line_tokens(
     first = np.cumsum(words) - words
     full = np.flatnonzero(np.arange(len(h)) - first[line] <= words[line] - width)
     found, hashes = [line[full]], [common.windows(h, width)[full] if len(full) else h[:0]]
-    for k in range(1, width if short else 1):  # shorter lines: one run of all their words
+    for k in range(1, width):  # shorter lines: one run of all their words
         at = np.flatnonzero(words == k)
         found.append(at)
         hashes.append(common.windows(h[(first[at, None] + np.arange(k)).ravel()], k)[::k])
@@ -64,17 +63,32 @@ def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
-def _entries(docs: DataFrame, table: np.ndarray, width: int, percent: int, short: bool) -> DataFrame:
+PLACE = ["doc", "th", "line"]
+_PLACE = "doc long, th int, line int"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc, th, text: documents by id and text, which tell rows apart that share an id."""
+    text_hash = F.shiftright(F.xxhash64("text"), 32).cast("int").alias("th")
+    return docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc"), text_hash, "text")
+
+
+def _entries(rows: DataFrame, table: np.ndarray, width: int, percent: int) -> DataFrame:
     """Prefix tokens of all lines: token, the line's signature, size and place, and the token's position.
 
-    Lines are equal if token, position, signature and size are: some 100 bits.
+    A token's bits are put in another order: the rank of its bucket's rarity, then the rest of the hash, so that numbers
+    ascend as tokens do in the global order. Lines are equal if token, position, signature and size are: some 100 bits.
     """
-    order = docs.sparkSession.sparkContext.broadcast(table)  # fixed size
     bits = len(table).bit_length() - 1
-
-    def of(ids: np.ndarray, texts: list[str | None]) -> pa.RecordBatch:
-        line, h, text_of, number = _line_tokens(texts, width, short)
-        by = np.lexsort((h, order.value[rarity.bucket(h, bits)], line))
+    rank = np.empty(len(table), dtype=np.uint64)
+    rank[np.argsort(table, kind="stable")] = np.arange(len(table), dtype=np.uint64)
+    ranks, rest = docs_ranks(rows, rank << np.uint64(64 - bits)), np.uint64((1 << (64 - bits)) - 1)
+
+    def of(ids: np.ndarray, th: np.ndarray, texts: list[str | None]) -> pa.RecordBatch:
+        line, h, text_of, number = _line_tokens(texts, width)
+        h = ranks.value[rarity.bucket(h, bits)] | (h & rest)
+        by = np.argsort(h)
+        by = by[np.argsort(line[by].astype(np.uint16 if len(text_of) < 1 << 16 else np.int64), kind="stable")]
         line, h = line[by], h[by]
         new = np.ones(len(h), dtype=bool)
         new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
@@ -88,20 +102,25 @@ def _entries(docs: DataFrame, table: np.ndarray, width: int, percent: int, short
         pos = np.arange(len(h)) - first[line]
         head = pos < _prefix(n, percent)[line]
         line, h, pos = line[head], h[head], pos[head]
+        text = text_of[line]
         columns = [
-            pa.array(common.signed(h)), pa.array((signature[line] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[text_of[line]]),
+            pa.array(common.signed(h)), pa.array((signature[line] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[text]), pa.array(th[text]),
             pa.array(number[line].astype(np.int32)), pa.array(n[line].astype(np.int32)), pa.array(pos.astype(np.int32)),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["token", "sig", "doc", "line", "n", "pos"])
+        return pa.RecordBatch.from_arrays(columns, names=["token", "sig", *PLACE, "n", "pos"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 128):
                 part = batch.slice(low, 128)
-                yield of(part.column(0).to_numpy(zero_copy_only=False), part.column(1).to_pylist())
+                yield of(*(part.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)), part.column(2).to_pylist())
+
+    return rows.mapInArrow(run, f"token long, sig int, {_PLACE}, n int, pos int")
+
 
-    schema = "token long, sig int, doc long, line int, n int, pos int"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+def docs_ranks(rows: DataFrame, ranks: np.ndarray):
+    """The order of the buckets for all tasks: a table of fixed size."""
+    return rows.sparkSession.sparkContext.broadcast(ranks)
 
 
 def _met(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,13 +134,13 @@ def _met(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
         if not len(rows):
             continue
-        token, sig, doc, line = (rows[c].to_numpy() for c in ("token", "sig", "doc", "line"))
+        token, sig, doc, th, line = (rows[c].to_numpy() for c in ("token", "sig", *PLACE))
         same_token = np.concatenate(([False], token[1:] == token[:-1]))
         n = rows["n"].to_numpy()
         first = ~(same_token & np.concatenate(([False], (sig[1:] == sig[:-1]) & (n[1:] == n[:-1]))))
         at = np.flatnonzero(first)
         owner = at[np.cumsum(first) - 1]
-        later = ~first & (rows["pos"].to_numpy() == 0) & ((doc != doc[owner]) | (line != line[owner]))
+        later = ~first & (rows["pos"].to_numpy() == 0) & ((doc != doc[owner]) | (th != th[owner]) | (line != line[owner]))
         again = token[at[1:]] == token[at[:-1]]  # another line of the same token
         keep = np.zeros(len(rows), dtype=bool)
         keep[at[1:][again]] = True
@@ -136,9 +155,7 @@ def _met(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _ordered(a: str, b: str) -> Column:
     """Line a is earlier than line b."""
-    return (F.col(f"doc_{a}") < F.col(f"doc_{b}")) | (
-        (F.col(f"doc_{a}") == F.col(f"doc_{b}")) & (F.col(f"line_{a}") < F.col(f"line_{b}"))
-    )
+    return F.struct(*[f"{c}_{a}" for c in PLACE]) < F.struct(*[f"{c}_{b}" for c in PLACE])
 
 
 def _fits(percent: int) -> Column:
@@ -147,111 +164,107 @@ def _fits(percent: int) -> Column:
     return (F.least(n_x, n_y) * 100 >= F.greatest(n_x, n_y) * percent) & (rest * (100 + percent) >= (n_x + n_y) * percent)
 
 
+def _named(rows: DataFrame, side: str) -> list[Column]:
+    return [F.col(c).alias(f"{c}_{side}") for c in PLACE]
+
+
 def _side(rows: DataFrame, name: str) -> DataFrame:
-    return rows.select("token", *[F.col(c).alias(f"{c}_{name}") for c in ("doc", "line", "n", "pos")])
+    return rows.select("token", *_named(rows, name), *[F.col(c).alias(f"{c}_{name}") for c in ("n", "pos")])
 
 
-_PAIR = ("doc_x", "line_x", "doc_y", "line_y")
+_PAIR = tuple(f"{c}_{side}" for side in "xy" for c in PLACE)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(doc, line) of the lines x that some pair's y is similar to."""
-    for side in ("x", "y"):
-        place = F.xxhash64(f"doc_{side}", f"line_{side}").alias("place")
-        may = bitmap.may_hold(pairs.select(place), "place")  # only sets that are asked for are shuffled
-        named = sets.filter(may(F.xxhash64("doc", "line"))).select(F.col("doc").alias(f"doc_{side}"), F.col("line").alias(f"line_{side}"), F.col("set").alias(f"set_{side}"))
-        pairs = keyed_join(pairs, named, [f"doc_{side}", f"line_{side}"], "inner")
+    """Places of the lines x that some pair's y is similar to."""
+    for side in "xy":
+        named = sets.select(*_named(sets, side), F.col("set").alias(f"set_{side}"))
+        # One way of joining at every size: sets grow with the corpus and are never broadcast.
+        pairs = keyed_join(pairs, named.hint("shuffle_hash"), [f"{c}_{side}" for c in PLACE], "inner")
 
-    def work(batch: pd.DataFrame) -> pd.DataFrame:
-        keep = []
-        for x, y in zip(batch["set_x"], batch["set_y"], strict=True):
-            a, b = np.frombuffer(x, dtype="<u4"), np.frombuffer(y, dtype="<u4")
-            keep.append((100 + percent) * len(np.intersect1d(a, b, assume_unique=True)) >= percent * (len(a) + len(b)))
-        keep = np.array(keep, dtype=bool)
-        return pd.DataFrame({"doc": batch["doc_x"][keep], "line": batch["line_x"][keep]})
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("set_x").to_pylist(), batch.column("set_y").to_pylist(), strict=True):
+                a, b = np.frombuffer(x, dtype="<u8"), np.frombuffer(y, dtype="<u8")
+                both = np.sort(np.concatenate((a, b)))
+                keep.append((100 + percent) * int((both[1:] == both[:-1]).sum()) >= percent * (len(a) + len(b)))
+            yield batch.select([f"{c}_x" for c in PLACE]).filter(pa.array(keep, pa.bool_())).rename_columns(PLACE)
 
-    rows = pairs.select("doc_x", "line_x", "set_x", "set_y")
-    return common.saved(common.over_batches(rows, work, "doc long, line int", 4096).distinct(), "similar-lines")
+    rows = pairs.select(*[f"{c}_x" for c in PLACE], "set_x", "set_y")
+    return common.saved(rows.mapInArrow(work, _PLACE).distinct(), "similar-lines")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, width: int, short: bool) -> DataFrame:
-    """Token sets of the wanted (doc, line), 32 bits of each token.
+def _sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """Token sets of the wanted lines, sorted."""
+    per = wanted.select(*PLACE).distinct().groupBy("doc", "th").agg(F.collect_list("line").alias("lines"))
+    texts = keyed_join(rows, per.hint("shuffle_hash"), ["doc", "th"], "inner")
 
-    Two different tokens of a pair look equal in fewer than one in a million pairs of lines.
-    """
-    per = wanted.select("doc", "line").distinct().groupBy("doc").agg(F.collect_list("line").alias("lines"))
-    per = common.saved(per, "candidate-lines")
-    may = bitmap.may_hold(per, "doc")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").filter(may(F.col("doc"))).join(per, "doc")
-
-    def work(batch: pd.DataFrame) -> pd.DataFrame:
-        line, h, text_of, number = _line_tokens(list(batch["text"]), width, short)
-        text, place = text_of[line], number[line]
-        cuts = np.searchsorted(text, np.arange(len(batch) + 1))
-        out = []
-        for i, (doc, lines) in enumerate(zip(batch["doc"], batch["lines"], strict=True)):
-            mine, mine_h = place[cuts[i] : cuts[i + 1]], h[cuts[i] : cuts[i + 1]]
-            for x in lines:
-                lo, hi = np.searchsorted(mine, x), np.searchsorted(mine, x, side="right")
-                out.append((doc, x, np.unique((mine_h[lo:hi] >> np.uint64(32)).astype("<u4")).tobytes()))
-        return pd.DataFrame(out, columns=["doc", "line", "set"])
-
-    # Rows that share a doc_id may differ: any of their lines of that number will do.
-    return common.saved(common.over_batches(texts, work, "doc long, line int, set binary", 128), "line-sets")
-
-
-def removed(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, short: bool = False) -> DataFrame:
-    """(doc, line) of every line to remove."""
-    rows = docs.filter("doc_id IS NOT NULL")
-    table = rarity.counts(rows, lambda t: tokens(t, width, short))
-    order = ["token", "sig", "n", "doc", "line"]
-    sorted_ = _entries(rows, table, width, percent, short).repartition("token").sortWithinPartitions(*order)
-    schema = "token long, sig int, doc long, line int, n int, pos int, later boolean"
-    met = common.saved(sorted_.mapInPandas(_met, schema), "met")
-    later = met.filter("later").select("doc", "line")
-    entries = met.filter("NOT later").select("token", "doc", "line", "n", "pos")
-    sets = _sets(rows, entries, width, short)
-
-    head = entries.groupBy("token").agg(F.min(F.struct("doc", "line", "n", "pos")).alias("h"))
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 128):
+                part = batch.slice(low, 128)
+                line, h, text_of, number = _line_tokens(part.column("text").to_pylist(), width)
+                ids, th = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "th"))
+                cuts = np.searchsorted(line, np.arange(len(text_of) + 1))
+                start = np.searchsorted(text_of, np.arange(part.num_rows))  # a text's first line
+                at = [(i, start[i] + x) for i, xs in enumerate(part.column("lines").to_pylist()) for x in sorted(set(xs))]
+                text = np.array([i for i, _ in at], dtype=np.int64)
+                every = np.array([k for _, k in at], dtype=np.int64)
+                found = [np.unique(h[cuts[k] : cuts[k + 1]]).astype("<u8").tobytes() for k in every]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[text]), pa.array(th[text]), pa.array(number[every].astype(np.int32)), pa.array(found, pa.binary())],
+                    names=[*PLACE, "set"],
+                )
+
+    return common.saved(texts.select("doc", "th", "text", "lines").mapInArrow(work, f"{_PLACE}, set binary"), "line-sets")
+
+
+def removed(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """(doc, th, line) of every line to remove: its document's id and text hash, and its number there."""
+    rows, spark = _keyed(docs), docs.sparkSession
+    table = rarity.counts(rows, lambda t: tokens(t, width), many=True)
+    order = ["token", "sig", "n", *PLACE]
+    sorted_ = _entries(rows, table, width, percent).repartition("token").sortWithinPartitions(*order)
+    schema = f"token long, sig int, {_PLACE}, n int, pos int, later boolean"
+    with common.large_batches(spark):
+        met = common.saved(sorted_.mapInPandas(_met, schema), "met")
+    later = met.filter("later").select(*PLACE)
+    entries = met.filter("NOT later").select("token", *PLACE, "n", "pos")
+    sets = _sets(rows, entries, width)
+
+    head = entries.groupBy("token").agg(F.min(F.struct(*PLACE, "n", "pos")).alias("h"))
     head = _side(head.select("token", "h.*"), "y")
-    pairs = keyed_join(_side(entries, "x"), head, ["token"], "inner", _fits(percent) & _ordered("y", "x"))
+    pairs = keyed_join(_side(entries, "x"), head.hint("shuffle_hash"), ["token"], "inner", _fits(percent) & _ordered("y", "x"))
     pairs = common.saved(pairs.select(*_PAIR).distinct(), "line-pairs")
-    settled = _verified(pairs, sets, percent)
+    with common.large_batches(spark):
+        settled = _verified(pairs, sets, percent)
 
-    known = settled.unionByName(later).distinct()
-    open_ = keyed_join(entries, known, ["doc", "line"], "left_anti")
-    rest = keyed_join(_side(open_, "x"), _side(entries, "y"), ["token"], "inner", _fits(percent) & _ordered("y", "x"))
-    rest = keyed_join(rest.select(*_PAIR).distinct(), pairs, list(_PAIR), "left_anti")
-    return known.unionByName(_verified(rest, sets, percent)).distinct()
+    known = common.saved(settled.unionByName(later).distinct(), "settled-lines")
+    open_ = keyed_join(entries, known.hint("shuffle_hash"), PLACE, "left_anti")
+    rest = keyed_join(_side(open_, "x"), _side(entries, "y").hint("shuffle_hash"), ["token"], "inner", _fits(percent) & _ordered("y", "x"))
+    rest = keyed_join(rest.select(*_PAIR).distinct(), pairs.hint("shuffle_hash"), list(_PAIR), "left_anti")
+    with common.large_batches(spark):
+        more = _verified(rest, sets, percent)
+    return known.unionByName(more).distinct()
 
 
-def deduplicated(
-    docs: DataFrame, keep_empty: bool = False, width: int = WIDTH, percent: int = PERCENT, short: bool = False
-) -> DataFrame:
+def deduplicated(docs: DataFrame, keep_empty: bool = False, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The documents, with all their columns, without their removed lines."""
-    per = removed(docs, width, percent, short).groupBy("doc").agg(F.sort_array(F.collect_list("line")).alias("_lines"))
-    per = common.saved(per.withColumnRenamed("doc", "_doc"), "removed-lines")
-    may = bitmap.may_hold(per, "_doc")
-    hit = F.coalesce(may(F.col("doc_id")), F.lit(False))
-
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, lines: pd.Series) -> pd.Series:
-        out = []
-        for text, gone in zip(texts, lines, strict=True):
-            if text is None or gone is None:
-                out.append(text)
-                continue
-            parts, gone = text.split("\n"), set(gone)
-            out.append("\n".join(p for i, p in enumerate(parts) if i not in gone))
-        return pd.Series(out, dtype=object)
-
-    flagged = docs.withColumn("_hit", hit)
-    joined = flagged.filter("_hit").join(per, F.col("doc_id").cast("long") == F.col("_doc"), "left")
+    per = removed(docs, width, percent).groupBy("doc", "th").agg(F.collect_list("line").alias("gone"))
+    per = common.saved(per, "removed-lines")
     names = docs.columns
-    changed = joined.filter("_lines IS NOT NULL").withColumn("text", cut("text", "_lines"))
+    key = F.shiftright(F.xxhash64("text"), 32).cast("int").alias("th")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").cast("long").alias("doc"), key)
+    # Documents with removed lines meet their numbers; a wrong row never does, and no text is shuffled if they are few.
+    joined = keyed_join(rows, per, ["doc", "th"])
+    parts = F.split("row.text", "\n", -1)
+    kept = F.filter(F.transform(parts, lambda x, i: F.struct(x.alias("x"), F.array_contains("gone", i).alias("gone"))), lambda p: ~p["gone"])
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, lambda p: p["x"]), "\n"))
+    joined = joined.withColumn("left", text).withColumn("changed", F.col("gone").isNotNull())
     if not keep_empty:
-        changed = changed.filter(F.col("text").rlike(common.WORD))
+        joined = joined.filter(~F.col("changed") | F.col("left").rlike(common.WORD))
+    out = {c: F.col(f"row.`{c}`") for c in names} | {"text": F.col("left")}
     if "n_chars" in names:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    same = joined.filter("_lines IS NULL").select(*names)
-    return flagged.filter("NOT _hit").select(*names).unionByName(same).unionByName(changed.select(*names))
+        out["n_chars"] = F.when(F.col("changed"), F.length("left").cast(docs.schema["n_chars"].dataType)).otherwise(out["n_chars"])
+    return joined.select(*[v.alias(c) for c, v in out.items()])

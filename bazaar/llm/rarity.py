@@ -23,19 +23,24 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), dtype="<u4").astype(np.int64)
 
 
-def counts(texts: DataFrame, tokens: Callable[[str | None], np.ndarray], bits: int = BITS, fan: int = 32) -> np.ndarray:
+def counts(
+    texts: DataFrame, tokens: Callable[[str | None], np.ndarray] | Callable[[list[str | None]], np.ndarray], bits: int = BITS, fan: int = 32,
+    many: bool = False,
+) -> np.ndarray:
     """Tokens of all rows of `text` counted by the first bits of their hash.
 
     Tokens of one bucket count together, so a bucket bounds each of its tokens from above. Every task counts into one
     array; the arrays are added in a tree. The result has 2 to the number of bits entries, whatever the corpus.
+    `many`: `tokens` takes a list of texts.
     """
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(1 << bits, dtype=np.int64)
         for batch in batches:
             for low in range(0, len(batch), 256):
-                found = [tokens(t) for t in batch["text"].iloc[low : low + 256]]
-                total += np.bincount(bucket(np.concatenate(found), bits), minlength=1 << bits)
+                part = list(batch["text"].iloc[low : low + 256])
+                found = tokens(part) if many else np.concatenate([tokens(t) for t in part])
+                total += np.bincount(bucket(found, bits), minlength=1 << bits)
         yield pd.DataFrame({"part": [int(total.sum() % fan)], "counts": [_packed(np.minimum(total, 2**32 - 1))]})
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:

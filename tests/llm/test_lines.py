@@ -12,11 +12,11 @@ from bazaar.llm import bitmap, lines, mixing, queries
 
 def line_set(line):
     w = line.encode().lower().split()
-    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set())
 
 
 def all_pairs(rows):
-    """Removed (doc, line) by comparing every line with every earlier one."""
+    """Removed (doc, line) by comparing every line with every earlier one; ids do not repeat with other texts here."""
     every = sorted({(d, i): x for d, t in rows if d is not None for i, x in enumerate((t or "").split("\n"))}.items())
     sets, gone = [(k, line_set(x)) for k, x in every], set()
     for j, (key, b) in enumerate(sets):
@@ -62,7 +62,7 @@ def test_against_all_pairs(spark, seed):
 
 def test_stream_in_any_batches():
     rng = np.random.default_rng(5)
-    rows = pd.DataFrame({"token": rng.integers(0, 40, 300), "sig": rng.integers(0, 4, 300), "doc": rng.integers(0, 30, 300), "line": 0, "n": 9, "pos": 0})
+    rows = pd.DataFrame({"token": rng.integers(0, 40, 300), "sig": rng.integers(0, 4, 300), "doc": rng.integers(0, 30, 300), "th": 1, "line": 0, "n": 9, "pos": 0})
     rows = rows.sort_values(["token", "sig", "n", "doc", "line"], ignore_index=True)
 
     def found(size):
@@ -130,4 +130,15 @@ def test_short_lines_against_all_pairs(spark):
                 repeats |= {(d, i)} if w in seen else set()
                 seen.add(w)
     assert repeats
-    assert {(r["doc"], r["line"]) for r in lines.removed(docs, short=True).collect()} == all_pairs(rows) | repeats
+    assert {(r["doc"], r["line"]) for r in lines.removed(docs).collect()} == all_pairs(rows) >= repeats
+
+
+def test_unlike_rows_of_one_id_and_clashing_columns(spark):
+    """What goes from one row of an id stays in another; no column's name matters."""
+    long = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(4)]
+    rows = [(1, long[0]), (2, long[0] + "\n" + long[1]), (2, long[2] + "\n" + long[3]), (2, long[2] + "\n" + long[3]), (3, long[3]), (3, None), (3, "")]
+    docs = spark.createDataFrame([(d, t, 1, 2, 3, 4, 5) for d, t in rows], "doc_id long, text string, _lines int, _doc int, _hit int, gone int, th int")
+    got = lines.deduplicated(docs, keep_empty=True)
+    assert got.columns == docs.columns and {tuple(r)[2:] for r in got.collect()} == {(1, 2, 3, 4, 5)}
+    want = [(1, long[0]), (2, long[1]), *[(2, long[2] + "\n" + long[3])] * 2, (3, ""), (3, ""), (3, None)]
+    assert sorted([(r["doc_id"], r["text"]) for r in got.collect()], key=str) == sorted(want, key=str)
