@@ -63,8 +63,13 @@ def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-percent * n // 100) + 1
 
 
-PLACE = ["doc", "th", "line"]
-_PLACE = "doc long, th int, line int"
+#: A line's place: its document's id, and a hash of the document's text (32 bits) followed by the line number (32 bits).
+PLACE = ["doc", "at"]
+_PLACE = "doc long, at long"
+
+
+def _at(th: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return (th.astype(np.int64) << 32) | line
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -74,7 +79,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _entries(rows: DataFrame, table: np.ndarray, width: int, percent: int) -> DataFrame:
-    """Prefix tokens of all lines: token, the line's signature, size and place, and the token's position.
+    """Prefix tokens of all lines: token, kind (the line's signature and size, 32 bits each), place and the token's position.
 
     A token's bits are put in another order: the rank of its bucket's rarity, then the rest of the hash, so that numbers
     ascend as tokens do in the global order. Lines are equal if token, position, signature and size are: some 100 bits.
@@ -104,10 +109,10 @@ def _entries(rows: DataFrame, table: np.ndarray, width: int, percent: int) -> Da
         line, h, pos = line[head], h[head], pos[head]
         text = text_of[line]
         columns = [
-            pa.array(common.signed(h)), pa.array((signature[line] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(ids[text]), pa.array(th[text]),
-            pa.array(number[line].astype(np.int32)), pa.array(n[line].astype(np.int32)), pa.array(pos.astype(np.int32)),
+            pa.array(common.signed(h)), pa.array((common.signed(signature[line]) & ~0xFFFFFFFF) | n[line]), pa.array(ids[text]),
+            pa.array(_at(th[text], number[line])), pa.array(pos.astype(np.int32)),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["token", "sig", *PLACE, "n", "pos"])
+        return pa.RecordBatch.from_arrays(columns, names=["token", "kind", *PLACE, "pos"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,7 +120,7 @@ def _entries(rows: DataFrame, table: np.ndarray, width: int, percent: int) -> Da
                 part = batch.slice(low, 128)
                 yield of(*(part.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)), part.column(2).to_pylist())
 
-    return rows.mapInArrow(run, f"token long, sig int, {_PLACE}, n int, pos int")
+    return rows.mapInArrow(run, f"token long, kind long, {_PLACE}, pos int")
 
 
 def docs_ranks(rows: DataFrame, ranks: np.ndarray):
@@ -134,13 +139,12 @@ def _met(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
         if not len(rows):
             continue
-        token, sig, doc, th, line = (rows[c].to_numpy() for c in ("token", "sig", *PLACE))
+        token, kind, doc, at_ = (rows[c].to_numpy() for c in ("token", "kind", *PLACE))
         same_token = np.concatenate(([False], token[1:] == token[:-1]))
-        n = rows["n"].to_numpy()
-        first = ~(same_token & np.concatenate(([False], (sig[1:] == sig[:-1]) & (n[1:] == n[:-1]))))
+        first = ~(same_token & np.concatenate(([False], kind[1:] == kind[:-1])))
         at = np.flatnonzero(first)
         owner = at[np.cumsum(first) - 1]
-        later = ~first & (rows["pos"].to_numpy() == 0) & ((doc != doc[owner]) | (th != th[owner]) | (line != line[owner]))
+        later = ~first & (rows["pos"].to_numpy() == 0) & ((doc != doc[owner]) | (at_ != at_[owner]))
         again = token[at[1:]] == token[at[:-1]]  # another line of the same token
         keep = np.zeros(len(rows), dtype=bool)
         keep[at[1:][again]] = True
@@ -195,9 +199,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return common.saved(rows.mapInArrow(work, _PLACE).distinct(), "similar-lines")
 
 
+def _parts() -> list[Column]:
+    """Text hash and line number of a place."""
+    return [F.shiftright("at", 32).cast("int").alias("th"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("line")]
+
+
 def _sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """Token sets of the wanted lines, sorted."""
-    per = wanted.select(*PLACE).distinct().groupBy("doc", "th").agg(F.collect_list("line").alias("lines"))
+    per = wanted.select(*PLACE).distinct().select("doc", *_parts()).groupBy("doc", "th").agg(F.collect_list("line").alias("lines"))
     texts = keyed_join(rows, per.hint("shuffle_hash"), ["doc", "th"], "inner")
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +222,7 @@ def _sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 every = np.array([k for _, k in at], dtype=np.int64)
                 found = [np.unique(h[cuts[k] : cuts[k + 1]]).astype("<u8").tobytes() for k in every]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[text]), pa.array(th[text]), pa.array(number[every].astype(np.int32)), pa.array(found, pa.binary())],
+                    [pa.array(ids[text]), pa.array(_at(th[text], number[every])), pa.array(found, pa.binary())],
                     names=[*PLACE, "set"],
                 )
 
@@ -224,13 +233,14 @@ def removed(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     """(doc, th, line) of every line to remove: its document's id and text hash, and its number there."""
     rows, spark = _keyed(docs), docs.sparkSession
     table = rarity.counts(rows, lambda t: tokens(t, width), many=True)
-    order = ["token", "sig", "n", *PLACE]
+    order = ["token", "kind", *PLACE]
     sorted_ = _entries(rows, table, width, percent).repartition("token").sortWithinPartitions(*order)
-    schema = f"token long, sig int, {_PLACE}, n int, pos int, later boolean"
+    schema = f"token long, kind long, {_PLACE}, pos int, later boolean"
     with common.large_batches(spark):
         met = common.saved(sorted_.mapInPandas(_met, schema), "met")
     later = met.filter("later").select(*PLACE)
-    entries = met.filter("NOT later").select("token", *PLACE, "n", "pos")
+    size = F.col("kind").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("n")
+    entries = met.filter("NOT later").select("token", *PLACE, size, "pos")
     sets = _sets(rows, entries, width)
 
     head = entries.groupBy("token").agg(F.min(F.struct(*PLACE, "n", "pos")).alias("h"))
@@ -246,7 +256,7 @@ def removed(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     rest = keyed_join(rest.select(*_PAIR).distinct(), pairs.hint("shuffle_hash"), list(_PAIR), "left_anti")
     with common.large_batches(spark):
         more = _verified(rest, sets, percent)
-    return known.unionByName(more).distinct()
+    return known.unionByName(more).distinct().select("doc", *_parts())
 
 
 def deduplicated(docs: DataFrame, keep_empty: bool = False, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

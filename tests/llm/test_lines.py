@@ -62,8 +62,8 @@ def test_against_all_pairs(spark, seed):
 
 def test_stream_in_any_batches():
     rng = np.random.default_rng(5)
-    rows = pd.DataFrame({"token": rng.integers(0, 40, 300), "sig": rng.integers(0, 4, 300), "doc": rng.integers(0, 30, 300), "th": 1, "line": 0, "n": 9, "pos": 0})
-    rows = rows.sort_values(["token", "sig", "n", "doc", "line"], ignore_index=True)
+    rows = pd.DataFrame({"token": rng.integers(0, 40, 300), "kind": rng.integers(0, 4, 300), "doc": rng.integers(0, 30, 300), "at": 0, "pos": 0})
+    rows = rows.sort_values(["token", "kind", "doc", "at"], ignore_index=True)
 
     def found(size):
         out = pd.concat(list(lines._met(rows.iloc[i : i + size] for i in range(0, len(rows), size))))
