@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaar.llm import bitmap, common, graph, rarity
@@ -259,10 +259,27 @@ def components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Dat
 def one_of_each(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The documents without near duplicates: of each component the row with the smallest doc_id stays.
 
-    Rows without doc_id stay. Of rows that share the smallest doc_id, the one with the smallest content stays.
+    Rows without doc_id stay. Where ids repeat, rows are told apart: unlike rows of one id stay both, equal ones once.
     """
-    rows = components(docs, k, percent).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    best = Window.partitionBy("_kept").orderBy(F.xxhash64(*docs.columns))
-    some = docs.join(rows, F.col("doc_id").cast("long") == F.col("_kept"))
-    first = some.withColumn("_nth", F.row_number().over(best)).filter("_nth = 1")
-    return first.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    names = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    known = F.col("doc_id").isNotNull()
+    repeats = rows.filter(known).groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count()
+    if repeats:  # numbers of rows, fixed by writing them; equal rows share one
+        numbers = rows.filter(known).select("doc_id", F.xxhash64("text").alias("th")).distinct().withColumn("node", F.monotonically_increasing_id())
+        numbers = common.saved(numbers, "numbered-rows")
+        rows = keyed_join(rows.withColumn("th", F.xxhash64("text")), numbers, ["doc_id", "th"])
+    else:
+        rows = rows.withColumn("node", F.col("doc_id"))
+    found = components(rows.select(F.col("node").alias("doc_id"), "text"), k, percent).filter("doc_id IS NOT NULL")
+    found = found.select(F.col("doc_id").alias("node"), "component_id").distinct()
+    if repeats:
+        first = F.min(F.struct("doc_id", "node")).alias("first")
+        kept = keyed_join(found, numbers, ["node"], "inner").groupBy("component_id").agg(first).select("first.node")
+    else:
+        kept = found.filter("node = component_id").select("node")
+    some = keyed_join(rows, common.saved(kept, "kept-rows"), ["node"], "left_semi").select("row", "node")
+    if repeats:  # equal rows of a node
+        some = some.groupBy("node").agg(F.min_by("row", F.md5(F.to_json("row"))).alias("row"))
+    out = some.select("row").unionByName(rows.filter("node IS NULL").select("row"))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in names])

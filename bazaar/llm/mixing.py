@@ -8,8 +8,9 @@ the words taken differ from the target by less than that document. Residuals com
 `GROUP` units by a hash of their id, then groups of residuals, until one per source is left; a source that owns
 most of the corpus is just more groups.
 
-A unit is the rows that share doc_id, source and size (one row, where ids are unique): they get the same copies.
-Draws come from hashes of the ids, so reruns agree.
+A unit is the rows that share doc_id, source and size (one row, where ids are unique). Of n rows with probability p, the
+whole part of n * p rows is settled at once, and only the fraction of one row enters the tree; the rows that get a copy
+more are the first by a hash of their text. Draws come from hashes of the ids, so reruns agree.
 
 Defined cases: null text has size 0; documents without words are never taken; null source is a source, the last
 one; an empty table gives none; only doc_id, source and text are read, other columns pass through `mixed`.
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaar.llm import common
+from bazaar.operators.joins import keyed_join
 
 GROUP = 16_384
 FAN = 1_024
@@ -83,7 +85,7 @@ def settled(a: np.ndarray, p: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray,
     return out, at
 
 
-_UNIT = "doc_id long, source string, n_words long, weight long, whole long, p double, bucket long, _no_id boolean"
+_UNIT = "doc_id long, source string, n_words long, weight long, whole long, n long, more long, p double, bucket long, _no_id boolean"
 
 
 def _level(rows: pd.DataFrame) -> pd.DataFrame:
@@ -98,14 +100,18 @@ def _level(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def copies(sizes: DataFrame, shares: DataFrame) -> DataFrame:
-    """(doc_id, source, n_words, copies) per unit, of rows (doc_id, source, n_words) and their sources' targets."""
+    """(doc_id, source, n_words, copies, n, more) per unit, of rows (doc_id, source, n_words) and their sources' targets.
+
+    Each of the unit's n rows has `copies`, and `more` of them have one copy more.
+    """
     rate = F.least(F.lit(float(LIMIT)), F.col("target") / F.col("source_size"))
     units = sizes.filter("n_words > 0").groupBy("doc_id", "source", "n_words").agg(F.count("*").alias("n"))
     units = _with_source(units, shares).withColumn("rate", rate)
+    expected = F.col("n") * (F.col("rate") - F.floor("rate"))  # rows with a copy more
     groups = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / GROUP))
     rows = units.select(
-        "doc_id", "source", "n_words", (F.col("n") * F.col("n_words")).alias("weight"),
-        F.floor("rate").alias("whole"), (F.col("rate") - F.floor("rate")).alias("p"),
+        "doc_id", "source", "n_words", F.col("n_words").alias("weight"), F.floor("rate").alias("whole"),
+        "n", F.floor(expected).alias("more"), (expected - F.floor(expected)).alias("p"),
         F.pmod(F.xxhash64("doc_id", "n_words"), groups).alias("bucket"),
     )
     rows = common.with_ids(rows)
@@ -126,7 +132,9 @@ def copies(sizes: DataFrame, shares: DataFrame) -> DataFrame:
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select("doc_id", "source", "n_words", (F.col("whole") + F.col("p").cast("long")).alias("copies"))
+    more = F.col("more") + F.col("p").cast("long")
+    every = more == F.col("n")  # then all rows have it
+    return out.select("doc_id", "source", "n_words", (F.col("whole") + every.cast("long")).alias("copies"), "n", F.when(every, 0).otherwise(more).alias("more"))
 
 
 def _with_source(rows: DataFrame, shares: DataFrame) -> DataFrame:
@@ -134,17 +142,40 @@ def _with_source(rows: DataFrame, shares: DataFrame) -> DataFrame:
     return rows.join(side, rows["source"].eqNullSafe(side["_source"]), "left").drop("_source")
 
 
+_BINS = 4_096  # of the rows of a unit
+
+
 def _with_copies(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows (doc_id, source, n_words, order, ...) with their copies. `order` ranks the rows of a unit."""
     names = ("doc_id", "source", "n_words")
     side = found.withColumnsRenamed({n: f"_{n}" for n in names})
     on = [rows[n].eqNullSafe(side[f"_{n}"]) for n in names]
     joined = rows.join(side, on, "left").drop(*[f"_{n}" for n in names])
-    return joined.withColumn("copies", F.coalesce("copies", F.lit(0)).cast("long"))
+    joined = joined.withColumn("copies", F.coalesce("copies", F.lit(0)).cast("long"))
+    split = F.coalesce(F.col("more"), F.lit(0)) > 0
+    if not found.filter("more > 0").limit(1).count():
+        return joined.drop("order", "n", "more")
+    # Rows of a unit that differ in copies: whole bins of the hash first, then the first rows of one bin.
+    some = joined.filter(split).withColumn("_bin", F.pmod("order", F.lit(_BINS)))
+    key = [F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), F.coalesce("source", F.lit("")), F.col("source").isNull(), F.col("n_words")]
+    some = some.withColumn("_unit", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(key)]))
+    sizes = some.groupBy("_unit", "_bin").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy("_unit").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)  # at most _BINS rows
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    # Both scans see the same bins, as a bin follows from the row alone.
+    some = keyed_join(some, sizes, ["_unit", "_bin"], "inner").withColumn("_room", F.col("more") - F.col("_before"))
+    cut = (F.col("_room") > 0) & (F.col("_room") < F.col("_size"))
+    nth = F.row_number().over(Window.partitionBy("_unit", "_bin").orderBy("order"))
+    partly = some.filter(cut).withColumn("_extra", (nth <= F.col("_room")).cast("long"))
+    wholly = some.filter(~cut).withColumn("_extra", (F.col("_room") >= F.col("_size")).cast("long"))
+    plain = joined.filter(~split)
+    done = partly.unionByName(wholly).withColumn("copies", F.col("copies") + F.col("_extra")).select(*plain.columns)
+    return plain.unionByName(done).drop("order", "n", "more")
 
 
 def decided(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(doc_id, source, n_words) per row, the sources' targets, and the copies per unit."""
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), size().alias("n_words"))
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), size().alias("n_words"), F.xxhash64("text").alias("order"))
     sizes = common.saved(narrow, "sizes")
     per = sizes.groupBy("source").agg(F.sum("n_words").alias("source_size"), F.count("*").alias("n_docs"))
     per = common.saved(per, "sources")
@@ -170,8 +201,8 @@ def mixed(docs: DataFrame) -> DataFrame:
     names = docs.columns
     keyed = docs.select(
         F.struct(*[docs[n] for n in names]).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").cast("string").alias("source"), size().alias("n_words"),
+        F.col("source").cast("string").alias("source"), size().alias("n_words"), F.xxhash64("text").alias("order"),
     )
-    rows = _with_copies(keyed, found.filter("copies > 0")).filter("copies > 0")
+    rows = _with_copies(keyed, found.filter("copies + more > 0")).filter("copies > 0")
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
     return rows.select("_row", each.alias("_copy")).select(*[F.col("_row")[n].alias(n) for n in names])

@@ -79,3 +79,14 @@ def test_components_of_a_chain_and_a_hub(spark):
     root = {r["node"]: r["root"] for r in rows}
     assert all(root[i] == 0 for i in range(1, 61)) and all(root[1000 + i] == 1000 for i in range(1, 50)) and root[2000] == 1999
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_unlike_rows_of_one_id_stay(spark):
+    text = [" ".join(f"w{i}x{j}" for j in range(40)) for i in range(4)]
+    rows = [(1, text[0]), (2, text[0] + " end"), (2, text[1]), (2, text[2]), (2, text[2]), (3, text[2]), (4, None), (4, ""), (None, text[0])]
+    docs = spark.createDataFrame([(d, t, 1, 2) for d, t in rows], "doc_id long, text string, _kept int, node int")
+    got = jaccard.one_of_each(docs, 5, 80)
+    assert got.columns == docs.columns and {tuple(r)[2:] for r in got.collect()} == {(1, 2)}
+    want = [(1, text[0]), (2, text[1]), (2, text[2]), (4, None), (4, ""), (None, text[0])]
+    assert sorted([(r["doc_id"], r["text"]) for r in got.collect()], key=str) == sorted(want, key=str)
+    assert jaccard.one_of_each(docs.limit(0), 5, 80).count() == 0

@@ -78,7 +78,7 @@ def test_planted_copies_and_clean_documents(spark):
 
 def test_names():
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.queries()) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("key", list(statements.statements()))
