@@ -116,8 +116,8 @@ def _date_keys(dates: DataFrame, day: str, key: str) -> DataFrame:
 
 
 def _with_date_key(rows: DataFrame, dates: DataFrame, day: str, key: str) -> DataFrame:
-    # One row per calendar day: bounded, so broadcast.
-    return rows.join(F.broadcast(_date_keys(dates, day, key)), day, "left")
+    # One row per calendar day. No hint: the calendar follows the data, and one stray day in the far future makes it long.
+    return rows.join(_date_keys(dates, day, key), day, "left")
 
 
 def is_recognized(status: Column) -> Column:

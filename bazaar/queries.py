@@ -151,6 +151,9 @@ class Inputs:
     @cached_property
     def dates(self) -> DataFrame:
         """A calendar that spans the data: order days and event days, and a day more on each side for the local zone."""
+        return self.built("calendar", self._calendar)
+
+    def _calendar(self) -> DataFrame:
         shifted = F.date_add(F.col("o_orderdate").cast("date"), standin.ORDER_SHIFT_DAYS)
         bounds = gold.day_bounds(self.table("orders").select(shifted), self.table("events").select(F.col("ts").cast("date")))
         return gold.dim_date(bounds.select(F.date_sub("first_day", 1).alias("first_day"), F.date_add("last_day", 2).alias("last_day")))

@@ -76,6 +76,12 @@ def remove(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder within its file system."""
+    where, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).rename(where, target)
+
+
 def clean(spark: SparkSession) -> None:
     """Delete every work folder of this application. Results that still read them end here."""
     remove(spark, _home(spark))

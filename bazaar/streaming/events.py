@@ -1,5 +1,6 @@
 """Status events as a stream of landed lines."""
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,8 +9,9 @@ from pyspark.sql import types as T
 
 from bazaar.plans.staging import STATUS_EVENT
 from bazaar.schemas import EVENT_DOC
-from bazaar.session import remove
+from bazaar.session import move, remove
 from bazaar.sources.landed import exists, is_json, paths
+from bazaar.sources.sinks import journals, write_journal
 
 
 def stream_lines(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -30,14 +32,16 @@ def malformed(lines: DataFrame) -> DataFrame:
 
 
 DAY = "event_day"
+DIGEST = ("_one", "_two")  # 128 bits of an event, over all its fields
+MOST_BATCHES = 8  # folders of a day that stay apart
 
 
 def _landing(path: str, quarantine: str):
     """Each batch: lines that are no JSON to quarantine, events that are not there yet to the table.
 
     A repeat is equal in every field, as in the batch form; on the id alone, events that lack one would merge. The table
-    lies by batch and event day, so a batch is compared with the days it holds, however late they are; there is no
-    watermark behind which events are lost, and no state that grows.
+    lies by event day and batch, so a batch lists and reads its own days, however late they are, and of them the digests of
+    the events only; there is no watermark behind which events are lost, and no state that grows.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -45,30 +49,63 @@ def _landing(path: str, quarantine: str):
         batch = batch.persist()
         malformed(batch).select(F.col("value").alias("raw")).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
         found = parsed(batch).distinct().withColumn(DAY, F.coalesce(F.to_date("event_ts").cast("string"), F.lit("none")))
+        found = found.withColumns({c: F.xxhash64(F.lit(c), *[F.coalesce(F.col(x).cast("string"), F.lit("\u0000")) for x in STATUS_EVENT]) for c in DIGEST})
         days = [r[DAY] for r in found.select(DAY).distinct().collect()]  # days of one batch
-        if exists(spark, f"{path}/batch=*/{DAY}=*"):
-            there = spark.read.option("basePath", path).schema(_landed_schema(found)).parquet(path)
-            there = there.filter((F.col("batch") != batch_id) & F.col(DAY).isin(days))
-            same = [F.col(f"n.{c}").eqNullSafe(F.col(f"t.{c}")) for c in [*STATUS_EVENT, DAY]]
-            found = found.alias("n").join(there.alias("t"), same, "left_anti")
-        # Overwriting the batch's own folder makes a replayed batch harmless.
-        found.write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/batch={batch_id}")
+        if there := [f"{path}/{DAY}={d}" for d in days if exists(spark, f"{path}/{DAY}={d}/batch=*")]:
+            schema = T.StructType([*[found.schema[c] for c in DIGEST], T.StructField(DAY, T.StringType()), T.StructField("batch", T.LongType())])
+            old = spark.read.option("basePath", path).schema(schema).parquet(*there).filter(F.col("batch") != batch_id)
+            found = found.join(old.select(*DIGEST), [*DIGEST], "left_anti")
+        # Overwriting the batch's own folders makes a replayed batch harmless.
+        rows = found.select(*STATUS_EVENT, *DIGEST, DAY, F.lit(batch_id).cast("long").alias("batch"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY, "batch").parquet(path)
         batch.unpersist()
 
     return write
 
 
-def _landed_schema(found: DataFrame) -> T.StructType:
-    return T.StructType([*found.schema.fields, T.StructField("batch", T.LongType())])
-
-
 def landed_events(spark: SparkSession, path: str) -> DataFrame:
     """The events that `land_events` has written."""
-    return spark.read.option("basePath", path).parquet(path).select(*STATUS_EVENT)
+    return spark.read.option("basePath", path).parquet(f"{path}/{DAY}=*").select(*STATUS_EVENT)
+
+
+def _finish_merges(spark: SparkSession, path: str) -> None:
+    """Do what notes of merges say: the merged folder takes the place of those it was made of."""
+    for note, merges in journals(spark, path).items():
+        for m in merges:
+            if exists(spark, m["merged"]):  # else it is in its place already
+                for old in m["gone"]:
+                    remove(spark, old)
+                move(spark, m["merged"], m["place"])
+        remove(spark, note)
+
+
+def compact_landed(spark: SparkSession, path: str, most: int = MOST_BATCHES) -> list[str]:
+    """Merge the batches of days that have more than `most` folders; returns those days. Run it between runs of the stream.
+
+    So files and listings stay in proportion to days, not batches. A merge that stops is ended by the next start of
+    either; a batch that comes back after its folder was merged finds its events there.
+    """
+    _finish_merges(spark, path)
+    folders: dict[str, list[str]] = {}
+    for place in paths(spark, f"{path}/{DAY}=*/batch=*"):
+        folders.setdefault(place.rsplit("/", 1)[0], []).append(place)
+    merges = []
+    for day, held in folders.items():
+        if len(held) <= most:
+            continue
+        lowest = min(int(p.rsplit("=", 1)[1]) for p in held)
+        merged = f"{day}/_merged-{uuid.uuid4().hex}"  # not read while its name begins so
+        spark.read.parquet(*held).hint("rebalance").write.parquet(merged)
+        merges.append({"merged": merged, "place": f"{day}/batch={min(lowest, 0) - 1}", "gone": held})
+    if merges:
+        write_journal(spark, path, merges)
+        _finish_merges(spark, path)
+    return [m["place"].split(f"{DAY}=")[1].split("/")[0] for m in merges]
 
 
 def land_events(lines: DataFrame, path: str, checkpoint: str, quarantine: str):
     """Run what is there: events once each into `path`, other lines into `quarantine`; returns the finished query."""
+    _finish_merges(lines.sparkSession, path)
     query = (
         lines.writeStream.foreachBatch(_landing(path, quarantine))
         .option("checkpointLocation", checkpoint)

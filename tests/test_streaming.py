@@ -64,3 +64,33 @@ def test_a_folded_batch_may_come_back(spark, tmp_path):
     assert status() == want
     streaming.compact_changes(spark, out, "30 days")
     assert status() == {k: v for k, v in want.items() if k != "o5"}
+
+
+def test_many_small_batches_stay_few_folders(spark, tmp_path, monkeypatch):
+    source, out, state, bad = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "bad")
+    source.mkdir()
+    want, sent = set(), []
+    day = tmp_path / "out/event_day=2026-06-01"
+    for n in range(14):
+        rows = [(f"E{n}", "2026-06-01"), (f"F{n}", f"2026-06-{n % 3 + 2:02}"), (f"E{n // 2}", "2026-06-01")]
+        want |= {(i, d) for i, d in rows}
+        sent.append([b.event(i, "o1", "PACKED", f"{d}T00:00:00Z") for i, d in rows])
+        write(source, f"{n:02}.ndjson", sent[-1])
+        streaming.land_events(streaming.stream_lines(spark, str(source)), out, state, bad)
+        if n % 5 == 4:
+            assert "2026-06-01" in streaming.compact_landed(spark, out, most=3)
+        assert len(list(day.glob("batch=*"))) <= 8
+    found = lambda: sorted((r.event_id, str(r.event_ts)[:10]) for r in streaming.landed_events(spark, out).collect())
+    assert found() == sorted(want)
+    # A batch that was merged comes back; a merge that stops after its note is ended by the next start.
+    replay = spark.createDataFrame([(x,) for x in sent[2]], "value string")
+    streaming._landing(out, bad)(replay, 2)
+    assert found() == sorted(want)
+    monkeypatch.setattr(streaming, "move", lambda *a: 1 / 0)
+    try:
+        streaming.compact_landed(spark, out, most=1)
+        raise AssertionError
+    except ZeroDivisionError:
+        monkeypatch.undo()
+    assert streaming.compact_landed(spark, out, most=99) == [] and found() == sorted(want)
+    assert all(len(list((tmp_path / "out").glob(f"event_day=2026-06-0{d}/batch=*"))) == 1 for d in (1, 2, 3, 4))
