@@ -1,5 +1,11 @@
 """A training corpus from raw documents: toxic texts go, repeated lines and near copies go, sources are mixed, and what
-is left is packed into token sequences. Each stage is one operator of bazaar.llm over all that its predecessor kept."""
+is left is packed into token sequences. Each stage is one operator of bazaar.llm over all that its predecessor kept.
+
+Defined cases: null and blank texts are no lines and no near copies of each other; they pass the first three stages, the mix
+takes none of them, as they have no words. Rows without doc_id match nothing and stay until the mix. Rows that share a
+doc_id are told apart by their text; of equal rows one stays. Further columns, whatever their names, pass through the
+first four stages. An empty table gives no piece, and so does a table without any words.
+"""
 
 from collections.abc import Callable
 
