@@ -76,6 +76,30 @@ def test_planted_copies_and_clean_documents(spark):
     assert {r["doc_id"]: r["text"] for r in docs.collect()} == dict(enumerate(clean))
 
 
+def test_odd_rows_and_columns(spark, tmp_path):
+    """Null ids and texts, ids that repeat, columns that operators use for themselves, and no rows at all."""
+    rng = random.Random(8)
+    text = [" ".join(rng.choices([f"w{i}" for i in range(3000)], k=80)) for _ in range(8)]
+    rows = [(1, text[0]), (1, text[1]), (2, text[2]), (2, text[2]), (3, text[2] + " more"), (None, text[3]), (None, text[3]), (4, None), (5, ""), (6, " \n"), (7, "x" * 200_000 + " " + text[4])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _kept int, th int, row string, node long, copies int, `a.b` int"
+    docs = spark.createDataFrame([(d, t, "en", None if d == 2 else "s", len(t or ""), 1, 2, "r", 3, 4, 5) for d, t in rows], schema).repartition(3)
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        docs = saved(stage(spark, docs, SF), "stage")
+        assert docs.columns == columns
+        assert docs.filter("th <> 2 OR `a.b` <> 5 OR row <> 'r'").count() == 0
+        left = sorted({(r["doc_id"], r["text"]) for r in docs.collect()}, key=str)
+        want = [(1, text[0]), (1, text[1]), (2, text[2]), (None, text[3]), (7, "x" * 200_000 + " " + text[4])]
+        assert {x for x in left if x[1] and x[1].strip()} <= set(want), stage
+    assert {r["doc_id"] for r in docs.collect()} <= {1, 2, 7, None}
+    none = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, none, SF).count() == 0
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_names():
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
     assert sorted(int(q[2:].split("_")[0]) for q in queries.queries()) == list(range(1, 14))
