@@ -644,6 +644,7 @@ SQL: dict[str, str] = {
 
 
 SQL["rerun_interval"] = SQL["medallion_run"]
+SQL["revenue_after_runs"] = SQL["report_monthly_revenue"]
 
 
 def _needed(sql: str) -> set[str]:

@@ -21,7 +21,7 @@ from bazaar.operators.diff import changed_keys, digest, version_diff
 from bazaar.operators.joins import anti_join, keyed_join, semi_join
 from bazaar.operators.scd2 import merged_series
 from bazaar.operators.upsert import in_range
-from bazaar.plans import gold, layout, places, silver, staging
+from bazaar.plans import gold, layout, places, reports, silver, staging
 from bazaar.plans.places import ENTITY
 from bazaar.schemas import CURRENCIES
 from bazaar.session import remove
@@ -528,6 +528,33 @@ def _edge_days(lake: Lake, name: str, moment: str) -> DataFrame:
     return rows.select(local_date(F.col(moment)).alias("day"))
 
 
+def refresh_revenue(lake: Lake, some: bool) -> None:
+    """Bring `gold.monthly_revenue` up to date: with `some`, only the months whose lines were written."""
+    name, change = "gold.monthly_revenue", lake.pending["gold.fct_order_lines"]
+    fact = lake.current("gold.fct_order_lines")
+    some = some and lake.has(name)
+    months = sorted({p[:7] for p in (*change.touched, *change.written) if p != NONE})
+    if some:
+        fact = fact.filter(F.left("_part", F.lit(7)).isin(months))
+    rows = reports.monthly_revenue(fact, *[lake.current(f"gold.dim_{d}") for d in ("date", "product", "customer")])
+    lake.write_partitions(name, rows.withColumn("_month", F.date_format("month", "yyyy-MM")), "_month", months if some else lake.partitions(name))
+
+
+def compact(lake: Lake, name: str, key: str = "_part", files: int = 4, target: int = 64 << 20) -> list[str]:
+    """Rewrite the partitions of a published table that lie in more than `files` files and need fewer; returns them.
+
+    Files are counted from their own names and sizes, without reading a column; files of `target` bytes or more are enough. The rewrite makes
+    files of Spark's advisory size.
+    """
+    held = lake.table(name).select(key, "_metadata.file_path", "_metadata.file_size").distinct()
+    held = held.groupBy(key).agg(F.count("*").alias("n"), F.sum("file_size").alias("size"))
+    crowded = sorted(r[key] for r in held.filter((F.col("n") > files) & (F.col("n") > 2 * F.col("size") / target)).collect())
+    if crowded:
+        lake.write_partitions(name, lake.table(name).filter(F.col(key).isin(crowded)), key, crowded)
+        lake.publish()
+    return crowded
+
+
 def build_gold(lake: Lake, some: bool, calendar: tuple[str, str] | None = None, priced: bool = True, newer_products: bool = True) -> dict[str, tuple[str, ...]]:
     """Dimensions and facts, checked before they are published. `priced` also asks for an amount on every line.
 
@@ -566,6 +593,7 @@ def build_gold(lake: Lake, some: bool, calendar: tuple[str, str] | None = None,
     events = layout.placed(gold.fct_order_status_events(history, dates), plan_of(lake, "silver.order_status_history"), day, places.entity())
     events = replace_orders(lake, name, events, touched, where)
     note_places(lake, GOLD, touched)
+    refresh_revenue(lake, some and not newer_products)
     for scratch in ("gold.fresh_lines", "gold.fresh_customers", "gold.merged_customers"):
         lake.pending.pop(scratch, None)
     lake.write("bronze.changed_orders", lake.table("bronze.changed_orders").limit(0))

@@ -906,6 +906,12 @@ def medallion_run(i: Inputs) -> DataFrame:
     return _all_tables(_two_intervals(i)[0])
 
 
+@query
+def revenue_after_runs(i: Inputs) -> DataFrame:
+    """The revenue table that runs keep, after a first and an incremental interval."""
+    return _two_intervals(i)[0].table("gold.monthly_revenue").select("month", "category", "country", "recognized_revenue_azn")
+
+
 @query
 def interval_partitions(i: Inputs) -> DataFrame:
     """The bronze partitions that the second interval rewrote: the months of its interval, no others."""

@@ -10,7 +10,7 @@ from bazaar.sources import sinks
 
 CUSTOMERS = [row for row in b.CUSTOMERS if row[0]]
 VOLATILE = ("_ingested_at", "quarantined_at", "_record_id", "_batch_id", "_run", "quarantine_id")
-TABLES = [t for t in runner.PARTED if t != "bronze.orders"] + ["bronze.orders", "bronze.events", "gold.dim_date", "gold.dim_customer"]
+TABLES = [t for t in runner.PARTED if t != "bronze.orders"] + ["bronze.orders", "bronze.events", "gold.dim_date", "gold.dim_customer", "gold.monthly_revenue"]
 
 
 def lake_of(spark, name, **options):
@@ -252,3 +252,15 @@ def test_snapshots_merge_into_the_dimension(spark):
     moved = run(lake, load("2026-06-25", [("C1", "AZE", "SME"), ("C3", "AZE", "NEW")]), "2026-06-25", "2026-06-26", checked=("orders",))
     changed = {r.customer_id for r in lake.table("gold.changed_customers").collect()}
     assert changed == {"C3"} and len(moved["gold.dim_customer"]) == 1
+
+
+def test_crowded_partitions_are_compacted(spark, conf):
+    lake = lake_of(spark, "crowded")
+    rows = spark.range(400).selectExpr("id", "if(id % 2 = 0, 'a', 'b') as _part")
+    lake.write_partitions("gold.numbers", rows.filter("_part = 'a'").repartition(9).hint("rebalance").unionByName(rows.filter("_part = 'b'").coalesce(1)), "_part", [])
+    path = lake.pending["gold.numbers"].path
+    rows.filter("_part = 'a'").repartition(9).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(path)
+    lake.publish()
+    before = lake.table("gold.numbers").count()
+    assert runner.compact(lake, "gold.numbers") == ["a"] and lake.table("gold.numbers").count() == before == 400
+    assert len(lake.table("gold.numbers").filter("_part = 'a'").inputFiles()) < 4 and runner.compact(lake, "gold.numbers") == []
