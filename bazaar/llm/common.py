@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from bazaar.session import workspace
 
 WORD = r"[^\x20\x09-\x0D]+"
-_CHUNK = 1 << 20  # bytes hashed at a time
+_CHUNK = 1 << 17  # bytes hashed at a time: its sums stay in a core's cache
 _BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 

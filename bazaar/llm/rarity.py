@@ -35,12 +35,16 @@ def counts(
     """
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << bits, dtype=np.int64)
+        total, held = np.zeros(1 << bits, dtype=np.int64), []
         for batch in batches:
-            for low in range(0, len(batch), 256):
-                part = list(batch["text"].iloc[low : low + 256])
-                found = tokens(part) if many else np.concatenate([tokens(t) for t in part])
-                total += np.bincount(bucket(found, bits), minlength=1 << bits)
+            for low in range(0, len(batch), 128):
+                part = list(batch["text"].iloc[low : low + 128])
+                held += [tokens(part)] if many else [tokens(t) for t in part]
+                if sum(map(len, held)) >= 1 << bits:  # a count costs as much as the table is long
+                    total += np.bincount(bucket(np.concatenate(held), bits), minlength=1 << bits)
+                    held = []
+        if held:
+            total += np.bincount(bucket(np.concatenate(held), bits), minlength=1 << bits)
         yield pd.DataFrame({"part": [int(total.sum() % fan)], "counts": [_packed(np.minimum(total, 2**32 - 1))]})
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:

@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from bazaar.llm import bitmap, lines, mixing, queries
+from bazaar.llm import bitmap, common, lines, mixing, queries
 
 
 def line_set(line):
@@ -142,3 +142,13 @@ def test_unlike_rows_of_one_id_and_clashing_columns(spark):
     assert got.columns == docs.columns and {tuple(r)[2:] for r in got.collect()} == {(1, 2, 3, 4, 5)}
     want = [(1, long[0]), (2, long[1]), *[(2, long[2] + "\n" + long[3])] * 2, (3, ""), (3, ""), (3, None)]
     assert sorted([(r["doc_id"], r["text"]) for r in got.collect()], key=str) == sorted(want, key=str)
+
+
+def test_hashes_do_not_depend_on_chunks(monkeypatch):
+    """Long texts are hashed chunk by chunk; words longer than a chunk too."""
+    rng = random.Random(3)
+    text = " ".join("x" * rng.choice([1, 5, 40, 3000]) + str(rng.random()) for _ in range(400)) + "\n" + "long" * 20_000 + " end"
+    want = common.word_hashes(text)
+    for chunk in (1, 64, 1000, 1 << 20):
+        monkeypatch.setattr(common, "_CHUNK", chunk)
+        assert (common.word_hashes(text) == want).all()
