@@ -268,9 +268,8 @@ def deduplicated(docs: DataFrame, keep_empty: bool = False, width: int = WIDTH,
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").cast("long").alias("doc"), key)
     # Documents with removed lines meet their numbers; a wrong row never does, and no text is shuffled if they are few.
     joined = keyed_join(rows, per, ["doc", "th"])
-    parts = F.split("row.text", "\n", -1)
-    kept = F.filter(F.transform(parts, lambda x, i: F.struct(x.alias("x"), F.array_contains("gone", i).alias("gone"))), lambda p: ~p["gone"])
-    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.transform(kept, lambda p: p["x"]), "\n"))
+    kept = F.filter(F.split("row.text", "\n", -1), lambda _, i: ~F.array_contains("gone", i))
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
     joined = joined.withColumn("left", text).withColumn("changed", F.col("gone").isNotNull())
     if not keep_empty:
         joined = joined.filter(~F.col("changed") | F.col("left").rlike(common.WORD))
