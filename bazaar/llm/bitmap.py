@@ -5,6 +5,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ def may_hold(keys: DataFrame, column: str, bits: int = BITS, fan: int = 32):
             np.bitwise_or.at(bitmap, at >> 3, (1 << (at & 7)).astype(np.uint8))
             some += len(batch)
         if some:
-            yield pd.DataFrame({"part": [some % fan], "bits": [zlib.compress(bitmap.tobytes(), 1)]})
+            yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "bits": [zlib.compress(bitmap.tobytes(), 1)]})
 
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         bitmap = np.zeros(1 << (bits - 3), dtype=np.uint8)
@@ -39,9 +40,8 @@ def may_hold(keys: DataFrame, column: str, bits: int = BITS, fan: int = 32):
         return pd.DataFrame({"part": [0], "bits": [zlib.compress(bitmap.tobytes(), 1)]})
 
     schema = "part int, bits binary"
-    level = keys.select(F.col(column).cast("long").alias("key")).filter("key IS NOT NULL").mapInPandas(mark, schema)
-    level = level.groupBy("part").applyInPandas(join, schema)
-    top = level.groupBy(F.lit(0).alias("all")).applyInPandas(join, schema).collect()  # one row
+    wanted = keys.select(F.col(column).cast("long").alias("key")).filter("key IS NOT NULL")
+    top = common.in_tree(wanted.mapInPandas(mark, schema), join, "bitmaps", fan).collect()  # one row
     packed = bytes(top[0]["bits"]) if top else zlib.compress(bytes(1 << (bits - 3)), 1)
     shared = keys.sparkSession.sparkContext.broadcast(packed)
 

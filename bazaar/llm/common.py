@@ -129,6 +129,23 @@ def large_batches(spark: SparkSession, rows: int = 50_000, size: str = "4MB") ->
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def in_tree(parts: DataFrame, add: Callable[[pd.DataFrame], pd.DataFrame], purpose: str, fan: int = 32) -> DataFrame:
+    """Rows (part, data), one per task and numbered by it, added `fan` at a time, level by level, until one row is left.
+
+    add: rows of one group -> one row with any part. However many tasks there are, none holds more than `fan` rows.
+    """
+
+    def group(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return add(rows).assign(part=key[0])
+
+    parts = saved(parts, purpose)
+    n = 1 + (parts.agg(F.max("part").alias("n")).first()["n"] or 0)
+    while n > 1:
+        n = -(-n // fan)
+        parts = parts.withColumn("part", F.floor(F.col("part") / fan).cast("int")).groupBy("part").applyInPandas(group, parts.schema)
+    return parts
+
+
 def with_ids(rows: DataFrame) -> DataFrame:
     """doc_id without nulls, which `_no_id` marks: pandas would make floats of a column that holds one, and round ids."""
     return rows.withColumn("_no_id", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0).cast("long")))

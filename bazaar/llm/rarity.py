@@ -5,8 +5,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from bazaar.llm import common
 
 BITS = 20
 
@@ -45,7 +47,7 @@ def counts(
                     held = []
         if held:
             total += np.bincount(bucket(np.concatenate(held), bits), minlength=1 << bits)
-        yield pd.DataFrame({"part": [int(total.sum() % fan)], "counts": [_packed(np.minimum(total, 2**32 - 1))]})
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "counts": [_packed(np.minimum(total, 2**32 - 1))]})
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(1 << bits, dtype=np.int64)
@@ -53,9 +55,8 @@ def counts(
             total += _unpacked(data)
         return pd.DataFrame({"part": [0], "counts": [_packed(np.minimum(total, 2**32 - 1))]})
 
-    schema = "part int, counts binary"
-    level = texts.select("text").mapInPandas(count, schema).groupBy("part").applyInPandas(add, schema)
-    top = level.groupBy(F.lit(0).alias("all")).applyInPandas(add, schema).collect()
+    parts = texts.select("text").mapInPandas(count, "part int, counts binary")
+    top = common.in_tree(parts, add, "token-counts", fan).collect()  # one row
     return _unpacked(bytes(top[0]["counts"])) if top else np.zeros(1 << bits, dtype=np.int64)
 
 

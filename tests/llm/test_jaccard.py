@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from bazaar.llm import graph, jaccard
+from bazaar.llm import common, graph, jaccard, rarity
 
 
 def word_set(text):
@@ -90,3 +90,12 @@ def test_unlike_rows_of_one_id_stay(spark):
     want = [(1, text[0]), (2, text[1]), (2, text[2]), (4, None), (4, ""), (None, text[0])]
     assert sorted([(r["doc_id"], r["text"]) for r in got.collect()], key=str) == sorted(want, key=str)
     assert jaccard.one_of_each(docs.limit(0), 5, 80).count() == 0
+
+
+def test_counts_add_up_in_any_tree(spark):
+    texts = [f"a{i % 7} b{i % 5} c d" for i in range(300)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    count = lambda parts, fan: rarity.counts(docs.repartition(parts), lambda t: common.word_hashes(t), bits=12, fan=fan)
+    want = count(1, 32)
+    assert want.sum() == 1200 and all((count(n, fan) == want).all() for n, fan in ((9, 2), (9, 3), (13, 32)))
+    assert rarity.counts(docs.limit(0), lambda t: common.word_hashes(t), bits=12).sum() == 0
