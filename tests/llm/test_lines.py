@@ -152,3 +152,17 @@ def test_hashes_do_not_depend_on_chunks(monkeypatch):
     for chunk in (1, 64, 1000, 1 << 20):
         monkeypatch.setattr(common, "_CHUNK", chunk)
         assert (common.word_hashes(text) == want).all()
+
+
+def test_word_hashes_tell_words_apart():
+    rng = random.Random(6)
+    words = ["a" * n for n in range(1, 40)] + ["a" * n + "b" for n in range(40)] + [("x" * 8) * n + "y" * m for n in range(5) for m in range(9) if n + m] + ["z" * 5000, "z" * 5001]
+    words = list(dict.fromkeys(words))
+    for _ in range(3):
+        rng.shuffle(words)
+        a = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+        found = dict(zip(words, lines._word_hashes(a, *common.word_spans(a)).tolist(), strict=True))
+        assert len(set(found.values())) == len(words)
+        assert found == {w: lines._word_hashes(np.frombuffer(w.encode(), dtype=np.uint8), np.array([0]), np.array([len(w)]))[0] for w in words}
+    none = np.array([], dtype=np.int64)
+    assert len(lines._word_hashes(np.array([], dtype=np.uint8), none, none)) == 0
