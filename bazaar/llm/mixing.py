@@ -200,9 +200,9 @@ def mixed(docs: DataFrame) -> DataFrame:
     _, _, found = decided(docs)
     names = docs.columns
     keyed = docs.select(
-        F.struct(*[docs[n] for n in names]).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.struct(*[F.col(f"`{n}`") for n in names]).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"), size().alias("n_words"), F.xxhash64("text").alias("order"),
     )
     rows = _with_copies(keyed, found.filter("copies + more > 0")).filter("copies > 0")
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return rows.select("_row", each.alias("_copy")).select(*[F.col("_row")[n].alias(n) for n in names])
+    return rows.select("_row", each.alias("_copy")).select(*[F.col(f"_row.`{n}`").alias(n) for n in names])
