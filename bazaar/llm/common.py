@@ -1,10 +1,13 @@
 """Whole texts as arrays of word hashes, and tables that cut lineage."""
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -129,6 +132,27 @@ def large_batches(spark: SparkSession, rows: int = 50_000, size: str = "4MB") ->
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def slices(texts: list[str | None], rows: int, size: int = 1 << 20) -> Iterator[slice]:
+    """The texts in runs of at most `rows` and, beyond the first of a run, about `size` characters."""
+    low = total = 0
+    for i, t in enumerate(texts):
+        n = len(t or "")
+        if i > low and (i - low >= rows or total + n > size):
+            yield slice(low, i)
+            low, total = i, 0
+        total += n
+    if low < len(texts):
+        yield slice(low, len(texts))
+
+
+def release() -> None:
+    """Give a worker's free memory back: it goes on with other work, beside a JVM that needs it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # other C libraries
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def in_tree(parts: DataFrame, add: Callable[[pd.DataFrame], pd.DataFrame], purpose: str, fan: int = 32) -> DataFrame:
     """Rows (part, data), one per task and numbered by it, added `fan` at a time, level by level, until one row is left.
 

@@ -141,6 +141,7 @@ def _chunked(k: int, percent: int) -> Callable[[Iterable[pd.DataFrame]], Iterato
             out = rows[["id"]].assign(root=root, blob=[_compact(s) for s in rows["set"]])
             out.loc[rows["pivot"].to_numpy(), "blob"] = None
             yield out
+        common.release()
 
     return run
 

@@ -134,9 +134,11 @@ def _entries(rows: DataFrame, table: np.ndarray, width: int, percent: int) -> Da
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 128):
-                part = batch.slice(low, 128)
-                yield of(*(part.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)), part.column(2).to_pylist())
+            texts = batch.column(2).to_pylist()
+            ids, th = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for part in common.slices(texts, 128):
+                yield of(ids[part], th[part], texts[part])
+        common.release()
 
     return rows.mapInArrow(run, f"token long, kind long, {_PLACE}, pos int")
 
@@ -229,9 +231,10 @@ def _sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 128):
-                part = batch.slice(low, 128)
-                line, h, text_of, number = _line_tokens(part.column("text").to_pylist(), width)
+            texts = batch.column("text").to_pylist()
+            for run in common.slices(texts, 128):
+                part = batch.slice(run.start, run.stop - run.start)
+                line, h, text_of, number = _line_tokens(texts[run], width)
                 ids, th = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "th"))
                 cuts = np.searchsorted(line, np.arange(len(text_of) + 1))
                 start = np.searchsorted(text_of, np.arange(part.num_rows))  # a text's first line

@@ -27,6 +27,7 @@ from bazaar.llm import common
 CAPACITY = 2048
 END = 0
 _CACHED = 600_000  # chunks of text that a worker remembers the ids of, some 40 bytes each
+_LONG = 1 << 20  # characters of a text that are looked at together
 _STEP = 2_000  # chunks that the tokenizer gets at a time
 _PROBES = ("a b", "Ab, cd. ef", "it's,\nx  y. 'z'", "é, ü. (x) 12,5", "word. Word word, wordword", "a.b c,d. e-f,", " lead and trail ", "\u00a0x\ty. z")
 
@@ -38,6 +39,21 @@ def vocabulary() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _parts(text: str) -> Iterator[str]:
+    """A long text in parts that end at blanks."""
+    low = 0
+    while len(text) - low > _LONG:
+        cut = max(text.rfind(" ", low, low + _LONG), text.rfind("\n", low, low + _LONG))
+        if cut < 0:  # one chunk longer than a part
+            found = [k for k in (text.find(" ", low), text.find("\n", low)) if k >= 0]
+            if not found:
+                break
+            cut = min(found)
+        yield text[low:cut]
+        low = cut + 1
+    yield text[low:]
+
+
 class Encoder:
     """Token ids of texts, remembered per chunk between blanks.
 
@@ -167,7 +183,11 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, without special tokens of the tokenizer's own."""
         plain = [t or "" for t in texts]
-        return self._by_chunk(plain) if self.by_chunk else [np.array(x, dtype=np.uint32) for x in self._direct(plain)]
+        if not self.by_chunk:
+            return [np.array(x, dtype=np.uint32) for x in self._direct(plain)]
+        if max(map(len, plain), default=0) <= _LONG:
+            return self._by_chunk(plain)
+        return [np.concatenate([self._by_chunk([part])[0] for part in _parts(t)]) for t in plain]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -193,10 +213,11 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, task = np.zeros(capacity + 1, dtype=np.int64), TaskContext.get().partitionId()
         for batch in batches:
-            for low in range(0, len(batch), 256):
-                part = batch.iloc[low : low + 256]
+            texts = list(batch["text"])
+            for run in common.slices(texts, 256):
+                part = batch.iloc[run]
                 rows = []
-                for doc_id, none, ids in zip(part["doc_id"], part["_no_id"], encoder(path).encode(list(part["text"])), strict=True):
+                for doc_id, none, ids in zip(part["doc_id"], part["_no_id"], encoder(path).encode(texts[run]), strict=True):
                     ids = np.append(ids, np.uint32(END)).astype("<u4")
                     for k, start in enumerate(range(0, len(ids), capacity)):
                         one = ids[start : start + capacity]
@@ -206,7 +227,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
                 out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
-        encoder(path)._forget()  # the worker goes on with other work
+        encoder(path)._forget()
+        common.release()
 
     rows = common.with_ids(docs.select(F.col("doc_id").cast("long"), "text"))
     return common.ids_back(rows.mapInPandas(run, schema))

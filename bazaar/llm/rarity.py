@@ -39,14 +39,17 @@ def counts(
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, held = np.zeros(1 << bits, dtype=np.int64), []
         for batch in batches:
-            for low in range(0, len(batch), 128):
-                part = list(batch["text"].iloc[low : low + 128])
+            texts = list(batch["text"])
+            for run in common.slices(texts, 128):
+                part = texts[run]
                 held += [tokens(part)] if many else [tokens(t) for t in part]
                 if sum(map(len, held)) >= 1 << bits:  # a count costs as much as the table is long
                     total += np.bincount(bucket(np.concatenate(held), bits), minlength=1 << bits)
                     held = []
         if held:
             total += np.bincount(bucket(np.concatenate(held), bits), minlength=1 << bits)
+        held.clear()
+        common.release()
         yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "counts": [_packed(np.minimum(total, 2**32 - 1))]})
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:

@@ -47,6 +47,14 @@ def test_encoder_forgets_and_goes_on(tokenizer, monkeypatch, cached):
         assert [[*g, 0] for g in e.encode(texts)] == [direct(tokenizer, t) for t in texts]
 
 
+def test_long_texts_in_parts(tokenizer, monkeypatch):
+    e, rng = packing.Encoder(packing.vocabulary()), random.Random(9)
+    texts = ["".join(rng.choice(["ab", "cd,", "é.", "x" * 30, " ", " ", "\n", "  "]) for _ in range(n)) for n in (0, 1, 7, 60, 300)] + [" " * 50, "y" * 90, None]
+    for long in (1, 5, 20, 64):
+        monkeypatch.setattr(packing, "_LONG", long)
+        assert [[*g, 0] for g in e.encode(texts)] == [direct(tokenizer, t) for t in texts]
+
+
 def test_tokenizers_that_join_across_blanks_get_whole_texts():
     other = packing.Encoder(packing.vocabulary().replace("word_bpe_49k", "byte_bpe_50k"))
     assert packing.Encoder(packing.vocabulary()).by_chunk and not other.by_chunk
