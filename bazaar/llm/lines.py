@@ -51,30 +51,38 @@ def _word_hashes(a: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 
 def tokens(texts: list[str | None], width: int = WIDTH) -> np.ndarray:
-    """All tokens of texts' lines, repeats included."""
-    return _line_tokens(texts, width)[1]
+    """All tokens of texts' lines, repeats included, in any order."""
+    h, words, _ = _hashed_words(texts)
+    return np.concatenate([hashes for _, hashes in _runs(h, words, width)])
 
 
-def _line_tokens(texts: list[str | None], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Line (index over all texts) and hash per token, by line; and per line its text and its number there."""
+def _hashed_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash per word, number of words per line (of all texts), number of lines per text."""
     raw = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
     a = np.frombuffer(b"\n".join(raw), dtype=np.uint8)
     starts, ends = common.word_spans(a)
-    h = _word_hashes(a, starts, ends)
-    per_text = np.array([r.count(b"\n") + 1 for r in raw], dtype=np.int64)
-    text_of = np.repeat(np.arange(len(raw)), per_text)
-    number = np.arange(len(text_of)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-    line = np.searchsorted(np.flatnonzero(a == 10), starts)
-    words = np.bincount(line, minlength=len(text_of))
+    before = np.searchsorted(starts, np.flatnonzero(a == 10))  # words before the end of each line
+    words = np.diff(before, prepend=0, append=len(starts))
+    return _word_hashes(a, starts, ends), words, np.array([r.count(b"\n") + 1 for r in raw], dtype=np.int64)
+
+
+def _runs(h: np.ndarray, words: np.ndarray, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Line and hash of the runs of `width` words within a line; then of shorter lines: one run of all their words."""
     first = np.cumsum(words) - words
-    full = np.flatnonzero(np.arange(len(h)) - first[line] <= words[line] - width)
-    found, hashes = [line[full]], [common.windows(h, width)[full] if len(full) else h[:0]]
-    for k in range(1, width):  # shorter lines: one run of all their words
+    full = np.flatnonzero(np.arange(len(h)) <= np.repeat(first + words - width, words))
+    yield np.repeat(np.arange(len(words)), np.maximum(words - width + 1, 0)), common.windows(h, width)[full] if len(full) else h[:0]
+    for k in range(1, width):
         at = np.flatnonzero(words == k)
-        found.append(at)
-        hashes.append(common.windows(h[(first[at, None] + np.arange(k)).ravel()], k)[::k])
-    by = np.argsort(np.concatenate(found), kind="stable")
-    return np.concatenate(found)[by], np.concatenate(hashes)[by], text_of, number
+        yield at, common.windows(h[(first[at, None] + np.arange(k)).ravel()], k)[::k]
+
+
+def _line_tokens(texts: list[str | None], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Line (index over all texts) and hash per token, in any order; and per line its text and its number there."""
+    h, words, per_text = _hashed_words(texts)
+    text_of = np.repeat(np.arange(len(per_text)), per_text)
+    number = np.arange(len(text_of)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+    line, hashes = (np.concatenate(x) for x in zip(*_runs(h, words, width), strict=True))
+    return line, hashes, text_of, number
 
 
 def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
@@ -235,6 +243,8 @@ def _sets(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             for run in common.slices(texts, 128):
                 part = batch.slice(run.start, run.stop - run.start)
                 line, h, text_of, number = _line_tokens(texts[run], width)
+                by = np.argsort(line, kind="stable")
+                line, h = line[by], h[by]
                 ids, th = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "th"))
                 cuts = np.searchsorted(line, np.arange(len(text_of) + 1))
                 start = np.searchsorted(text_of, np.arange(part.num_rows))  # a text's first line

@@ -5,6 +5,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -36,10 +37,10 @@ def counts(
     `many`: `tokens` takes a list of texts.
     """
 
-    def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, held = np.zeros(1 << bits, dtype=np.int64), []
         for batch in batches:
-            texts = list(batch["text"])
+            texts = batch.column(0).to_pylist()
             for run in common.slices(texts, 128):
                 part = texts[run]
                 held += [tokens(part)] if many else [tokens(t) for t in part]
@@ -50,7 +51,8 @@ def counts(
             total += np.bincount(bucket(np.concatenate(held), bits), minlength=1 << bits)
         held.clear()
         common.release()
-        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "counts": [_packed(np.minimum(total, 2**32 - 1))]})
+        packed = _packed(np.minimum(total, 2**32 - 1))
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([packed], pa.binary())], names=["part", "counts"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(1 << bits, dtype=np.int64)
@@ -58,7 +60,7 @@ def counts(
             total += _unpacked(data)
         return pd.DataFrame({"part": [0], "counts": [_packed(np.minimum(total, 2**32 - 1))]})
 
-    parts = texts.select("text").mapInPandas(count, "part int, counts binary")
+    parts = texts.select("text").mapInArrow(count, "part int, counts binary")
     top = common.in_tree(parts, add, "token-counts", fan).collect()  # one row
     return _unpacked(bytes(top[0]["counts"])) if top else np.zeros(1 << bits, dtype=np.int64)
 

@@ -166,3 +166,17 @@ def test_word_hashes_tell_words_apart():
         assert found == {w: lines._word_hashes(np.frombuffer(w.encode(), dtype=np.uint8), np.array([0]), np.array([len(w)]))[0] for w in words}
     none = np.array([], dtype=np.int64)
     assert len(lines._word_hashes(np.array([], dtype=np.uint8), none, none)) == 0
+
+
+def test_words_and_tokens_at_every_byte():
+    every = bytes(range(256)) + b"ab" + bytes(reversed(range(256))) + b"z"
+    starts, ends = common.word_spans(np.frombuffer(every, dtype=np.uint8))
+    assert [every[s:e] for s, e in zip(starts, ends, strict=True)] == every.translate(bytes.maketrans(bytes(range(9, 14)), b" " * 5)).strip(b" ").split()
+    assert len(common.word_spans(np.zeros(0, dtype=np.uint8))[0]) == len(lines.tokens([])) == 0
+    texts = ["a b c d e f\n\n A  b\tc D e", None, "", "x\ny", "a\n" * 3 + "a b c d e"]
+    per_line = [line_set(line) for t in texts for line in (t or "").split("\n")]
+    line, h, text_of, number = lines._line_tokens(texts)
+    assert [len(set(h[line == k])) for k in range(len(text_of))] == list(map(len, per_line))
+    assert text_of.tolist() == [0, 0, 0, 1, 2, 3, 3, 4, 4, 4, 4] and number.tolist() == [0, 1, 2, 0, 0, 0, 1, 0, 1, 2, 3]
+    assert sorted(h) == sorted(lines.tokens(texts))
+    assert len(set(h)) == len(set().union(*per_line))
