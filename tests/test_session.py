@@ -1,6 +1,7 @@
 """The shared work folder, where the session runs on a cluster."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from bazaar import session
@@ -30,3 +31,17 @@ def test_folder_that_lacks_rows_is_refused(cluster, monkeypatch):
     monkeypatch.setattr(session, "_come_back", lambda spark, root: False)
     with pytest.raises(ValueError, match="shared by all executors"):
         session.workspace(cluster, "rows")
+
+
+def test_shared_tables_are_written_again_after_cleaning(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "_home", lambda spark: f"{tmp_path}/shared")
+    orders = [(1, 1, "F", "1996-02-07"), (2, 1, "O", "1996-02-12")]  # a Wednesday and a Monday, as shifted too
+    orders = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string")
+    orders.withColumn("o_orderdate", F.to_timestamp_ntz("o_orderdate")).write.parquet(f"{tmp_path}/in/orders.parquet")
+    found = [entry.queries()["asof_fx"](spark, f"{tmp_path}/in").collect()]
+    session.clean(spark)
+    found.append(entry.queries()["asof_fx"](spark, f"{tmp_path}/in").collect())
+    for part in [p for p in tmp_path.glob("shared/bronze_fx-*/*") if p.name.startswith("part-")]:
+        part.unlink()  # the folder stays, its rows are gone
+    found.append(entry.queries()["asof_fx"](spark, f"{tmp_path}/in").collect())
+    assert [sorted(r["rate_azn"] is not None for r in rows) for rows in found] == [[True, True]] * 3
