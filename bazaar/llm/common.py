@@ -119,6 +119,16 @@ def saved(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of plans that have run.
+
+    It deletes them once the driver's garbage is collected, which by itself may come long after the next large shuffle.
+    The files of the very last plan stay; another must have run since.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 @contextmanager
 def large_batches(spark: SparkSession, rows: int = 50_000, size: str = "4MB") -> Iterator[None]:
     """More rows at a time between the JVM and Python while narrow rows are worked on, bounded in bytes."""

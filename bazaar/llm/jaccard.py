@@ -146,20 +146,36 @@ def _chunked(k: int, percent: int) -> Callable[[Iterable[pd.DataFrame]], Iterato
     return run
 
 
+def _hopeful(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Suffix filter: pairs whose counts by range leave room for enough common shingles."""
+
+    def work(batch: pd.DataFrame) -> pd.DataFrame:
+        pa, pb = (np.frombuffer(b"".join(batch[c]), dtype="<u4").astype(np.int64).reshape(-1, _PARTS) for c in ("parts_a", "parts_b"))
+        total = pa.sum(axis=1) + pb.sum(axis=1)
+        most = (total - np.abs(pa - pb).sum(axis=1)) // 2
+        return batch.loc[(100 + percent) * most >= percent * total, ["a", "b"]]
+
+    return work
+
+
 def _verify(percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def work(batch: pd.DataFrame) -> pd.DataFrame:
         keep = []
         for one, other in zip(batch["blob_a"], batch["blob_b"], strict=True):
-            (pa, a), (pb, b) = _opened(one), _opened(other)
-            total = len(a) + len(b)
-            most = (total - int(np.abs(pa - pb).sum())) // 2  # suffix filter
-            ok = (100 + percent) * most >= percent * total
-            keep.append(ok and (100 + percent) * len(np.intersect1d(a, b, assume_unique=True)) >= percent * total)
+            (_, a), (_, b) = _opened(one), _opened(other)
+            keep.append((100 + percent) * len(np.intersect1d(a, b, assume_unique=True)) >= percent * (len(a) + len(b)))
         return batch.loc[np.array(keep, dtype=bool), ["a", "b"]]
 
     return work
 
 
+def _both(pairs: DataFrame, blobs: DataFrame, column: str) -> DataFrame:
+    """Pairs with a column of both their documents."""
+    for side in ("a", "b"):
+        pairs = pairs.join(blobs.select(F.col("id").alias(side), F.col(column).alias(f"{column}_{side}")), side)
+    return pairs.select("a", "b", f"{column}_a", f"{column}_b")
+
+
 def linked(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, component_id) per row, and the (node, root) table behind it."""
     rows = docs.filter("doc_id IS NOT NULL")
@@ -197,9 +213,11 @@ def linked(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[D
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     grouped = texts.filter(bitmap.may_hold(member, "id")(F.col("id"))).join(dealt, "id").repartition("chunk").sortWithinPartitions("chunk")
     grouped = grouped.select("chunk", "id", "pivot", "sig", "text")
+    common.let_go(docs.sparkSession)
     done = common.saved(grouped.mapInPandas(_chunked(k, percent), "id long, root long, blob binary"), "chunks")
     edges = done.select(F.col("id").alias("a"), F.col("root").alias("b"))
     roots = graph.components(edges)
+    common.let_go(docs.sparkSession)
 
     # Pairs from different chunks that nothing connects yet: the join proper.
     placed = member.select("id", chunk).join(roots.withColumnRenamed("node", "id"), "id", "left")
@@ -223,9 +241,12 @@ def linked(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> tuple[D
     pairs = keyed_join(a, b, ["token"], "inner", fits)
     pairs = pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
     blobs = _blobs(done, docs, pairs := common.saved(pairs, "pairs"), k)
-    for side in ("a", "b"):
-        pairs = pairs.join(blobs.select(F.col("id").alias(side), F.col("blob").alias(f"blob_{side}")), side)
-    late = common.over_batches(pairs.select("a", "b", "blob_a", "blob_b"), _verify(percent), "a long, b long")
+    common.let_go(docs.sparkSession)
+    # The few counts travel first, and whole sets only for the pairs that they leave.
+    parts = blobs.select("id", F.substring("blob", 1, 4 * _PARTS).alias("parts"))
+    pairs = common.over_batches(_both(pairs, parts, "parts"), _hopeful(percent), "a long, b long").distinct()
+    pairs = common.saved(pairs, "hopeful-pairs")
+    late = common.over_batches(_both(pairs, blobs, "blob"), _verify(percent), "a long, b long")
     late = common.saved(late, "links")
     if late.limit(1).count():
         roots = graph.components(edges.unionByName(late))
@@ -249,7 +270,7 @@ def _blobs(done: DataFrame, docs: DataFrame, pairs: DataFrame, k: int) -> DataFr
     def work(batch: pd.DataFrame) -> pd.DataFrame:
         return batch[["id"]].assign(blob=[_compact(shingles(t, k)) for t in batch["text"]])
 
-    return have.unionByName(common.over_batches(texts, work, "id long, blob binary"))
+    return have.unionByName(common.saved(common.over_batches(texts, work, "id long, blob binary"), "late-blobs"))
 
 
 def components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

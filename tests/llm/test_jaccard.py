@@ -99,3 +99,40 @@ def test_counts_add_up_in_any_tree(spark):
     want = count(1, 32)
     assert want.sum() == 1200 and all((count(n, fan) == want).all() for n, fan in ((9, 2), (9, 3), (13, 32)))
     assert rarity.counts(docs.limit(0), lambda t: common.word_hashes(t), bits=12).sum() == 0
+
+
+def test_pairs_are_told_apart_by_their_counts_before_sets_travel(spark, monkeypatch):
+    """Of pairs that share a rare shingle and little else, hardly any set is fetched; links stay those of all pairs."""
+    fetched, both = {}, jaccard._both
+
+    def watched(pairs, blobs, column):
+        fetched[column] = pairs.count()
+        return both(pairs, blobs, column)
+
+    monkeypatch.setattr(jaccard, "_both", watched)
+    monkeypatch.setattr(jaccard, "CHUNK", 2)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices("abcdefgh", k=70)) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts + [texts[3] + " a"])]
+    found = jaccard.components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in found) == sorted(all_pairs(rows))
+    assert fetched["parts"] > 50 and fetched["blob"] < fetched["parts"] / 5
+
+
+def test_shuffle_files_of_earlier_plans_go(spark):
+    """Once another plan has run, the files of those before it are deleted."""
+    import time
+    from pathlib import Path
+
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {p for d in folders for p in Path(d).rglob("shuffle_*.data")}
+    before = files()
+    common.saved(spark.range(5000).repartition(7, "id"), "shuffled")
+    mine = files() - before
+    assert mine
+    spark.range(3).count()
+    common.let_go(spark)
+    end = time.time() + 30
+    while mine & files() and time.time() < end:
+        time.sleep(0.2)
+    assert not mine & files()
