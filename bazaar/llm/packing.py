@@ -26,7 +26,7 @@ from bazaar.llm import common
 
 CAPACITY = 2048
 END = 0
-_CACHED = 600_000  # chunks of text that a worker remembers the ids of, some 40 bytes each
+_CACHED = 600_000  # chunks of text that a worker remembers the ids of, some 50 bytes each; those that come again stay
 _LONG = 1 << 20  # characters of a text that are looked at together
 _STEP = 2_000  # chunks that the tokenizer gets at a time
 _PROBES = ("a b", "Ab, cd. ef", "it's,\nx  y. 'z'", "é, ü. (x) 12,5", "word. Word word, wordword", "a.b c,d. e-f,", " lead and trail ", "\u00a0x\ty. z")
@@ -92,9 +92,22 @@ class Encoder:
         return text.lower()
 
     def _forget(self) -> None:
-        """Drop what is remembered. Chunk k of `keys` (sorted) has ids[first[k] : first[k] + count[k]] and `length` bytes."""
+        """Drop what is remembered. Chunk k of `keys` (sorted) has ids[first[k] : first[k] + count[k]] and `length` bytes.
+
+        `again` marks those that came again after the call that learned them, or since the last thinning.
+        """
         self.keys, self.length = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64)
         self.first, self.count, self.ids = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.uint32)
+        self.again = np.empty(0, dtype=bool)
+
+    def _thin(self) -> None:
+        """Drop the chunks that did not come again; all, where too few would go."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > _CACHED // 2:
+            return self._forget()
+        self.ids, self.count = self._gather(kept)
+        self.first = np.cumsum(self.count) - self.count
+        self.keys, self.length, self.again = self.keys[kept], self.length[kept], np.zeros(len(kept), dtype=bool)
 
     def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of chunks one after the other, and how many each has."""
@@ -127,6 +140,7 @@ class Encoder:
         by = np.argsort(merged, kind="stable")
         self.keys = merged[by]
         self.length, self.first, self.count = (np.concatenate(x)[by] for x in ((self.length, length), (self.first, first), (self.count, counts)))
+        self.again = np.concatenate((self.again, np.zeros(len(keys), dtype=bool)))[by]
 
     def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of remembered chunks one after the other, and how many each has."""
@@ -168,10 +182,12 @@ class Encoder:
         unique, one, which = np.unique(keys, return_index=True, return_inverse=True)
         length = (ends - starts)[one]
         at, known = self._find(unique, length)
+        if len(self.keys):
+            self.again[at[known]] = True
         if not known.all():
             if len(self.keys) + len(unique) > _CACHED:
-                self._forget()
-                known[:] = False
+                self._thin()
+                known = self._find(unique, length)[1]
             new = np.sort(one[~known])
             self._learn(a, keys[new], starts[new], ends[new])
             at, _ = self._find(unique, length)
@@ -227,8 +243,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool
                 out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
-        encoder(path)._forget()
-        common.release()
+        common.release()  # what the encoder remembers stays, for the worker's next task
 
     rows = common.with_ids(docs.select(F.col("doc_id").cast("long"), "text"))
     return common.ids_back(rows.mapInPandas(run, schema))

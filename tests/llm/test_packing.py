@@ -47,6 +47,16 @@ def test_encoder_forgets_and_goes_on(tokenizer, monkeypatch, cached):
         assert [[*g, 0] for g in e.encode(texts)] == [direct(tokenizer, t) for t in texts]
 
 
+def test_encoder_keeps_chunks_that_come_again(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHED", 6)
+    e, asked = packing.Encoder(packing.vocabulary()), []
+    encoded = e._encoded
+    monkeypatch.setattr(e, "_encoded", lambda chunks: asked.extend(chunks) or encoded(chunks))
+    for text in ("ab cd", "ab ef", "gh ij kl mn", "ab gh"):  # the third is one too many: those that came once go
+        e.encode([text])
+    assert asked.count("ab") == 1 and sorted(set(asked)) == ["ab", "cd", "ef", "gh", "ij", "kl", "mn"]
+
+
 def test_long_texts_in_parts(tokenizer, monkeypatch):
     e, rng = packing.Encoder(packing.vocabulary()), random.Random(9)
     texts = ["".join(rng.choice(["ab", "cd,", "é.", "x" * 30, " ", " ", "\n", "  "]) for _ in range(n)) for n in (0, 1, 7, 60, 300)] + [" " * 50, "y" * 90, None]
